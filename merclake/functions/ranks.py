@@ -143,11 +143,13 @@ def exact_quantiles(
     return wide.select(*by, "n", F.array(*q).alias("q"))
 
 
-def smallest_share(df: DataFrame, value: str, share: float, by: list[str]) -> DataFrame:
+def smallest_share(
+    df: DataFrame, value: str, share: float, by: list[str], few_groups: bool = False
+) -> DataFrame:
     """``(by..., n, cut)``: the value at rank ``ceil(share*n)`` (counted from 1), so that
     ``value <= cut`` keeps exactly that many rows of each group when values differ."""
     pick = lambda n: F.array(
         F.struct(F.lit(0).alias("slot"), (F.ceil(F.lit(float(share)) * n) - 1).cast("bigint").alias("rank"))
     )
-    found = values_at(df, value, pick, by, few_groups=not by)
+    found = values_at(df, value, pick, by, few_groups or not by)
     return found.select(*by, "n", F.col("x").alias("cut"))
