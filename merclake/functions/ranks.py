@@ -15,89 +15,86 @@ nothing is sampled, so the result is exact and repeatable.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-_SLICES = 4096  # slices of a bucket
-_STEPS_PER_E = 1024.0 * _SLICES  # a bucket spans a factor of e**(1/1024), about 0.1 %
-_OFFSET = 800 * 1024 * _SLICES  # keeps the code of the smallest double above zero
-_LARGEST = 1.7976931348623157e308
+_SLICES = 4096  # slices of a bucket; 12 bits of the code
+_STEPS_PER_E = 1024 * _SLICES  # a bucket spans a factor of e**(1/1024), about 0.1 %
+_OFFSET = 800 * _STEPS_PER_E  # keeps the code of the smallest double above zero
 
+# BIGINT, non-decreasing in _x. Its upper part is the bucket (at most about 3 million
+# different ones), its lower 12 bits are the slice.
+_SIZE = f"floor(ln(least(abs(_x), 1.7976931348623157e308D)) * {_STEPS_PER_E}D) + {_OFFSET}L"
+_CODE = f"CASE WHEN _x > 0 THEN {_SIZE} WHEN _x < 0 THEN -({_SIZE}) ELSE 0L END"
 
-def _code(x: Column) -> Column:
-    """BIGINT, non-decreasing in ``x``. Its upper part is the bucket (at most about
-    3 million different ones), its lower part the slice."""
-    size = F.least(F.abs(x), F.lit(_LARGEST))
-    code = F.floor(F.ln(size) * F.lit(_STEPS_PER_E)) + F.lit(_OFFSET)
-    return F.when(x > 0, code).when(x < 0, -code).otherwise(F.lit(0).cast("bigint"))
 
-
-def _targets(probs: list[float], n: Column, interpolation: str) -> Column:
-    """Array of (slot, rank), ranks counted from 0. Slot 2k is the lower value of
-    ``probs[k]``, slot 2k+1 the upper one (linear only)."""
+def _targets(probs: list[float], interpolation: str) -> str:
+    """SQL array of (slot, rank), ranks counted from 0, for groups of ``n`` values. Slot 2k is
+    the lower value of ``probs[k]``, slot 2k+1 the upper one (linear only)."""
     slots = []
     for k, p in enumerate(probs):
-        position = F.lit(float(p)) * (n - 1)
+        at = f"{float(p)!r}D * (n - 1)"
         if interpolation == "nearest":
-            slots.append((2 * k, F.floor(position + 0.5)))
+            slots.append((2 * k, f"floor({at} + 0.5D)"))
         else:
-            slots.append((2 * k, F.floor(position)))
-            slots.append((2 * k + 1, F.least(F.floor(position) + 1, n - 1)))
-    return F.array(*[F.struct(F.lit(s).alias("slot"), r.cast("bigint").alias("rank")) for s, r in slots])
+            slots.append((2 * k, f"floor({at})"))
+            slots.append((2 * k + 1, f"least(floor({at}) + 1, n - 1)"))
+    return "array(" + ", ".join(f"struct({s} AS slot, CAST({r} AS BIGINT) AS rank)" for s, r in slots) + ")"
 
 
-def _holding(df: DataFrame) -> DataFrame:
-    """Keep the (row, rank) pairs whose rank falls into the row's run of ``_n`` positions
-    ending at ``_upto``, and make the rank relative to that run."""
-    first = F.col("_upto") - F.col("_n")
-    return df.where((F.col("_rank") >= first) & (F.col("_rank") < F.col("_upto"))).withColumn(
-        "_rank", F.col("_rank") - first
-    )
+#: Keep the (row, rank) pairs whose rank falls into the row's run of ``_n`` positions that ends
+#: at ``_upto``; the rank relative to that run is ``_rank - (_upto - _n)``.
+_HOLDS = "_rank >= _upto - _n AND _rank < _upto"
 
 
-def values_at(df: DataFrame, value: str, targets, by: list[str], few_groups: bool) -> DataFrame:
+def values_at(df: DataFrame, value: str, targets: str, by: list[str], few_groups: bool) -> DataFrame:
     """``(by..., slot, x, n)``: the value at each wanted rank of each group.
 
-    ``targets`` maps the column of group sizes to an array of (slot, rank).
+    ``targets`` is a SQL array of (slot, rank) over the group size ``n``.
     """
     hint = F.broadcast if few_groups else (lambda d: d)
+    names = [f"`{c}`" for c in by]
+    within = ", ".join(names) or "0"
     rows = (
-        df.select(*by, F.col(value).cast("double").alias("_x"))
-        .where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-        .withColumn("_c", _code(F.col("_x")))
-        .select(*by, "_x", F.shiftright("_c", 12).alias("_b"), F.col("_c").bitwiseAND(F.lit(_SLICES - 1)).alias("_s"))
+        df.selectExpr(*names, f"CAST(`{value}` AS DOUBLE) AS _x")
+        .where("_x IS NOT NULL AND NOT isnan(_x)")
+        .selectExpr(*names, "_x", f"{_CODE} AS _c")
+        .selectExpr(*names, "_x", "shiftright(_c, 12) AS _b", f"_c & {_SLICES - 1} AS _s")
     )
     # Per group at most as many rows as there are buckets, whatever the data size.
-    group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     buckets = (
         rows.groupBy(*by, "_b")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(group.orderBy("_b")))
-        .withColumn("n", F.sum("_n").over(group))
-        .withColumn("_t", F.explode(targets(F.col("n"))))
-        .select(*by, "_b", "_n", "_upto", "n", F.col("_t.slot").alias("slot"), F.col("_t.rank").alias("_rank"))
-        .transform(_holding)
-        .select(*by, "slot", "_b", "_rank", "n")
+        .agg(F.expr("count(1) AS _n"))
+        .selectExpr(
+            *names, "_b", "_n",
+            f"sum(_n) OVER (PARTITION BY {within} ORDER BY _b) AS _upto", f"sum(_n) OVER (PARTITION BY {within}) AS n",
+        )
+        .selectExpr(*names, "_b", "_n", "_upto", "n", f"inline({targets})")
+        .withColumnRenamed("rank", "_rank")
+        .where(_HOLDS)
+        .selectExpr(*names, "slot", "_b", "_rank - (_upto - _n) AS _rank", "n")
     )
     # One row per wanted rank and group. Equal values are counted before the shuffle,
     # so ties of any size cost one row per task.
-    key = [*by, "slot"]
+    key, keys = [*by, "slot"], [*names, "slot"]
     counted = (
-        rows.join(hint(buckets), [*by, "_b"]).groupBy(*key, "_rank", "n", "_s", "_x").agg(F.count(F.lit(1)).alias("_n"))
+        rows.join(hint(buckets), [*by, "_b"]).groupBy(*key, "_rank", "n", "_s", "_x").agg(F.expr("count(1) AS _n"))
     )
     # At most 4096 rows per wanted rank.
     slices = (
         counted.groupBy(*key, "_rank", "n", "_s")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(W.partitionBy(*key).orderBy("_s")))
-        .transform(_holding)
-        .select(*key, "_s", "_rank")
+        .agg(F.expr("sum(_n) AS _n"))
+        .selectExpr(*keys, "_s", "_rank", "_n", f"sum(_n) OVER (PARTITION BY {', '.join(keys)} ORDER BY _s) AS _upto")
+        .where(_HOLDS)
+        .selectExpr(*keys, "_s", "_rank - (_upto - _n) AS _rank")
     )
     return (
         counted.drop("_rank")
         .join(hint(slices), [*key, "_s"])
-        .withColumn("_upto", F.sum("_n").over(W.partitionBy(*key).orderBy("_x")))
-        .transform(_holding)
-        .select(*key, F.col("_x").alias("x"), "n")
+        .selectExpr(
+            *keys, "n", "_x AS x", "_rank", "_n", f"sum(_n) OVER (PARTITION BY {', '.join(keys)} ORDER BY _x) AS _upto"
+        )
+        .where(_HOLDS)
+        .select(*key, "x", "n")
     )
 
 
@@ -119,28 +116,24 @@ def exact_quantiles(
     construction (a fixed list of metric names, say), which allows a broadcast.
     """
     by = list(by or [])
+    names = [f"`{c}`" for c in by]
     if interpolation == "approx":
-        clean = df.select(*by, F.col(value).cast("double").alias("_x")).where(
-            F.col("_x").isNotNull() & ~F.isnan("_x")
-        )
+        clean = df.selectExpr(*names, f"CAST(`{value}` AS DOUBLE) AS _x").where("_x IS NOT NULL AND NOT isnan(_x)")
         return clean.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", [float(p) for p in probs], 10000).alias("q")
+            F.expr("count(1) AS n"), F.percentile_approx("_x", [float(p) for p in probs], 10000).alias("q")
         )
     if interpolation not in ("linear", "nearest"):
         raise ValueError(f"unknown interpolation: {interpolation}")
-    found = values_at(df, value, lambda n: _targets(probs, n, interpolation), by, few_groups or not by)
-    at = lambda s: F.max(F.when(F.col("slot") == s, F.col("x")))
-    low = [at(2 * k).alias(f"_l{k}") for k in range(len(probs))]
-    high = [at(2 * k + 1).alias(f"_h{k}") for k in range(len(probs))] if interpolation == "linear" else []
-    wide = found.groupBy(*by).agg(F.max("n").alias("n"), *low, *high)
+    found = values_at(df, value, _targets(probs, interpolation), by, few_groups or not by)
+    at = lambda slot: f"max(CASE WHEN slot = {slot} THEN x END)"
     if interpolation == "nearest":
-        q = [F.col(f"_l{k}") for k in range(len(probs))]
+        q = [at(2 * k) for k in range(len(probs))]
     else:
-        q = []
-        for k, p in enumerate(probs):
-            position = F.lit(float(p)) * (F.col("n") - 1)
-            q.append(F.col(f"_l{k}") + (F.col(f"_h{k}") - F.col(f"_l{k}")) * (position - F.floor(position)))
-    return wide.select(*by, "n", F.array(*q).alias("q"))
+        part = lambda p: f"({float(p)!r}D * (max(n) - 1) - floor({float(p)!r}D * (max(n) - 1)))"
+        q = [
+            f"{at(2 * k)} + ({at(2 * k + 1)} - {at(2 * k)}) * {part(p)}" for k, p in enumerate(probs)
+        ]
+    return found.groupBy(*by).agg(F.expr("max(n) AS n"), F.expr(f"array({', '.join(q)}) AS q"))
 
 
 def smallest_share(
@@ -148,8 +141,6 @@ def smallest_share(
 ) -> DataFrame:
     """``(by..., n, cut)``: the value at rank ``ceil(share*n)`` (counted from 1), so that
     ``value <= cut`` keeps exactly that many rows of each group when values differ."""
-    pick = lambda n: F.array(
-        F.struct(F.lit(0).alias("slot"), (F.ceil(F.lit(float(share)) * n) - 1).cast("bigint").alias("rank"))
-    )
+    pick = f"array(struct(0 AS slot, CAST(ceil({float(share)!r}D * n) - 1 AS BIGINT) AS rank))"
     found = values_at(df, value, pick, by, few_groups or not by)
     return found.select(*by, "n", F.col("x").alias("cut"))

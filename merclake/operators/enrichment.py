@@ -17,20 +17,13 @@ def attach_quantiles(df: DataFrame, probs: dict[str, list[float]], interpolation
     All columns go through one distributed rank search (they are unpivoted into
     (column, value) rows); the single result row is a scalar subquery, not a join.
     """
-    cols = list(probs)
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("m"), F.col(c).cast("double").alias("v")) for c in cols]))
-    long = df.select(pairs.alias("p")).select("p.m", "p.v")
+    cells = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in probs)
+    long = df.selectExpr(f"stack({len(probs)}, {cells}) AS (m, v)")
     every = sorted({p for ps in probs.values() for p in ps})
     found = exact_quantiles(long, "v", every, by=["m"], interpolation=interpolation, few_groups=True)
-    row = found.agg(
-        F.struct(
-            *[
-                F.array(*[F.max(F.when(F.col("m") == c, F.col("q")[every.index(p)])) for p in probs[c]]).alias(c)
-                for c in cols
-            ]
-        ).alias("s")
-    )
-    return df.withColumn(name, row.scalar())
+    pick = lambda c, p: f"max(CASE WHEN m = '{c}' THEN q[{every.index(p)}] END)"
+    fields = [f"array({', '.join(pick(c, p) for p in ps)}) AS `{c}`" for c, ps in probs.items()]
+    return df.withColumn(name, found.agg(F.expr(f"struct({', '.join(fields)}) AS s")).scalar())
 
 
 def _steps(value: str, cuts: str, high_is_good: bool) -> Column:

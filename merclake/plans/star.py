@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from merclake.functions.columns import date_key
+from merclake.functions.columns import date_key, exact_sum
+from merclake.operators.enrichment import customer_lifetime_value, enrich_customers, order_time_features, with_location
+from merclake.streaming.windows import sessionize
 
 #: "Today" for every recency and trailing window: the day after the last order.
 REFERENCE_DATE = "2001-08-02"
@@ -142,3 +144,106 @@ def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts").alias("order_timestamp"),
         F.col("value").alias("total_amount"),
     )
+
+
+def customer_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with lifetime value and order counts only."""
+    value = customer_lifetime_value(fact_orders(spark, sf_dir), REFERENCE_DATE)
+    return dim_customers_base(spark, sf_dir).join(value, "customer_id", "left")
+
+
+def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with location, segment, lifetime value, order counts and acquisition month."""
+    base = with_location(dim_customers_base(spark, sf_dir), dim_locations(spark, sf_dir))
+    orders = fact_orders(spark, sf_dir)
+    return enrich_customers(base, orders, REFERENCE_DATE).withColumnRenamed("customer_segment", "segment")
+
+
+def orders_for_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide orders with time features, as the feature operators expect them."""
+    return order_time_features(fact_orders_wide(spark, sf_dir))
+
+
+def session_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sessionize(page_views(spark, sf_dir))
+
+
+def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in: one campaign per market segment; views, clicks and purchases of its customers
+    are impressions, clicks and conversions, the value of its clicks is the spend."""
+    people = dim_customers_base(spark, sf_dir).select("customer_id", "market_segment")
+    seen = page_views(spark, sf_dir).groupBy("customer_id").agg(
+        F.count_if(F.col("event_type") == "view").alias("impressions"),
+        F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.count_if(F.col("event_type") == "purchase").alias("conversions"),
+        exact_sum(F.when(F.col("event_type") == "click", F.col("value"))).alias("spend"),
+    )
+    return (
+        people.join(seen, "customer_id")
+        .groupBy(F.col("market_segment").alias("campaign_id"))
+        .agg(
+            F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+            F.sum("conversions").alias("conversions"), F.coalesce(exact_sum("spend"), F.lit(0.0)).alias("spend"),
+        )
+    )
+
+
+def campaign_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    people = dim_customers_base(spark, sf_dir).select("customer_id", F.col("market_segment").alias("campaign_id"))
+    return fact_orders(spark, sf_dir).join(people, "customer_id")
+
+
+def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders as a careless export would hold them: blanks around text, five date formats,
+    currency signs, missing discounts, and every seventh order twice."""
+    o = table(spark, sf_dir, "orders")
+    kind = F.pmod("o_orderkey", F.lit(5))
+    text = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    for i, fmt in enumerate(["yyyy-MM-dd", "MM/dd/yyyy", "dd-MM-yyyy", "yyyy-MM-dd'T'HH:mm:ss"], start=1):
+        text = F.when(kind == i, F.date_format("o_orderdate", fmt)).otherwise(text)
+    times = F.when(F.pmod("o_orderkey", F.lit(7)) == 0, 2).otherwise(1)
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.concat(F.lit("  ORD-"), F.col("o_orderkey").cast("string"), F.lit("\t")).alias("order_number"),
+        F.col("o_custkey").alias("customer_id"),
+        text.alias("order_timestamp"),
+        F.concat(F.lit(" "), F.lower("o_orderpriority"), F.lit("\n")).alias("payment_method"),
+        F.concat(F.lit("$"), F.format_number("o_totalprice", 2)).alias("total_amount"),
+        F.concat(F.format_number("o_totalprice", 2), F.lit(" €")).alias("subtotal"),
+        F.when(kind == 0, F.lit("£1.50")).alias("discount_amount"),
+        F.explode(F.array_repeat(F.lit(1), times)).alias("_copy"),
+    ).drop("_copy")
+
+
+def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with untidy names, addresses (every tenth broken), phones and countries."""
+    c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    key = F.col("c_custkey").cast("string")
+    email = F.concat(F.lit(" User."), key, F.lit("@Example.COM "))
+    return c.select(
+        F.col("c_custkey").alias("customer_id"),
+        F.concat(F.col("c_name"), F.lit("  ")).alias("customer_key"),
+        F.when(F.pmod("c_custkey", F.lit(10)) == 0, F.concat(F.lit("user"), key, F.lit(" at example"))).otherwise(email).alias("email"),
+        F.concat(F.lit("+1 (555) 0"), key).alias("phone"),
+        F.concat(F.lit(" o'"), F.lower("c_mktsegment"), F.lit("-JANE")).alias("first_name"),
+        F.upper("c_mktsegment").alias("last_name"),
+        F.lower("n_name").alias("country"),
+        F.when(F.pmod("c_custkey", F.lit(3)) > 0, F.lit(4).cast("bigint")).alias("total_orders"),
+        F.col("c_acctbal").alias("lifetime_value"),
+    )
+
+
+def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products with text prices; every fiftieth has none and every ninth no stock figure."""
+    p = table(spark, sf_dir, "part")
+    key = F.col("p_partkey")
+    price = F.concat(F.lit("€ "), F.format_number("p_retailprice", 2))
+    return p.select(
+        key.alias("product_id"),
+        F.concat(F.lit(" SKU-"), key.cast("string")).alias("sku"),
+        F.concat(F.lit("\t"), F.col("p_name"), F.lit(" ")).alias("name"),
+        F.col("p_type").alias("category"),
+        F.when(F.pmod(key, F.lit(50)) == 0, "0").otherwise(price).alias("unit_price"),
+        F.format_number(F.rint(F.col("p_retailprice") * 60) / 100, 2).alias("cost_price"),
+        F.when(F.pmod(key, F.lit(9)) > 0, F.col("p_size")).alias("stock_quantity"),
+    )
