@@ -10,6 +10,7 @@ from merclake.functions.columns import Instant, within_days
 from merclake.functions.ranks import smallest_share
 from merclake.functions.sequence import with_dense_index
 from merclake.operators.features import churn_features, clv_features, customer_features
+from merclake.session import materialize
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 ID_COLUMNS = ("customer_id", "product_id", "order_id")
@@ -58,7 +59,8 @@ def churn_dataset(
 
     def labelled(days: tuple[Instant, Instant]) -> DataFrame:
         window = orders.where(within_days("order_timestamp", *days))
-        return churn_features(customer_features(window, reference_date))
+        # one row per customer, read by both rank searches and the result
+        return churn_features(materialize(customer_features(window, reference_date)))
 
     rows = labelled(train)
     names = [c for c in select_features(rows, include, exclude) if c != "is_churned"]
@@ -75,7 +77,7 @@ def clv_dataset(
 ) -> DataFrame:
     """``customer_id, split, y, features...`` with the projected value (NULL as 0) as target."""
     window = orders.where(within_days("order_timestamp", *train))
-    rows = clv_features(customer_features(window, reference_date))
+    rows = clv_features(materialize(customer_features(window, reference_date)))
     target = ["projected_clv", "historical_clv", "clv_quartile"]
     names = [c for c in select_features(rows, include, [*(exclude or []), *target])]
     shaped = rows.select("customer_id", F.coalesce("projected_clv", F.lit(0.0)).alias("y"), *names)

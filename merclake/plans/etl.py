@@ -18,6 +18,7 @@ from merclake.operators.cleaning import (
 from merclake.operators.enrichment import (
     enrich_customers, hash_pii, order_time_features, product_sales_metrics, session_metrics,
 )
+from merclake.session import materialize
 from merclake.sources import writers
 from merclake.sources.readers import FileSpec, recent_rows
 
@@ -138,13 +139,25 @@ def validate_data(df: DataFrame, data_type: str, strict: bool = False) -> DataFr
     return suite.summary(suite.run(df))
 
 
+def write_daily_aggregate(orders: DataFrame, path: str) -> None:
+    """The daily table from scratch, one partition (and file) per month."""
+    days = daily_sales(orders).withColumn("month_key", F.floor(F.col("date_key") / 100).cast("int"))
+    days.repartition("month_key").write.mode("overwrite").partitionBy("month_key").parquet(path)
+
+
 def update_daily_aggregate(orders: DataFrame, day: Instant, path: str) -> DataFrame:
-    """Recompute one day and replace its partition of the daily table. A day without orders
-    leaves the table as it is."""
-    key = as_date(day).strftime("%Y%m%d")
-    row = daily_sales(orders, int(key))
-    writers.replace_partitions(row, path, ["date_key"])
-    return row
+    """Recompute one day and replace its row of the daily table. Only the partition of its
+    month, at most 31 rows, is rewritten; it is set aside before it is overwritten. A day
+    without orders leaves the table as it is."""
+    key = int(as_date(day).strftime("%Y%m%d"))
+    row = daily_sales(orders, key).withColumn("month_key", F.lit(key // 100))
+    stored = writers.read_table(orders.sparkSession, path, row.schema)
+    others = stored.where((F.col("month_key") == key // 100) & (F.col("date_key") != key))
+    fresh = materialize(row)
+    month = materialize(fresh.unionByName(others.select(*fresh.columns)).coalesce(1))
+    if fresh.count():
+        writers.replace_partitions(month, path, ["month_key"])
+    return fresh
 
 
 def daily_batch_etl(

@@ -7,7 +7,7 @@ by the function that needs them, so a query over order totals never reads line i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from merclake.functions.columns import date_key, exact_sum
 from merclake.operators.enrichment import customer_lifetime_value, enrich_customers, order_time_features, with_location
@@ -247,3 +247,65 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.format_number(F.rint(F.col("p_retailprice") * 60) / 100, 2).alias("cost_price"),
         F.when(F.pmod(key, F.lit(9)) > 0, F.col("p_size")).alias("stock_quantity"),
     )
+
+
+def _json_event(**fields) -> Column:
+    return F.to_json(F.struct(*[c.alias(name) for name, c in fields.items()]))
+
+
+def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as ``(topic, value)`` messages: views and clicks of the shop, orders, and
+    registrations. Error events become broken JSON (even ids) or an unknown type (odd ids)."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    kind = (
+        F.when(F.col("event_type") == "view", "page_view")
+        .when(F.col("event_type") == "click", "add_to_cart")
+        .when(F.col("event_type") == "purchase", "order_created")
+        .when(F.col("event_type") == "signup", "user_registered")
+        .otherwise("unheard_of")
+    )
+    user = F.col("user_id").cast("string")
+    value = _json_event(
+        event_id=F.col("event_id").cast("string"), event_type=kind,
+        event_timestamp=F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        order_id=F.concat(F.lit("ORD-"), F.col("event_id").cast("string")), customer_id=user,
+        total_amount=F.col("value"), session_id=F.concat(F.lit("s-"), user), visitor_id=user,
+        page_url=F.concat(F.lit("http://store.com/p/"), k), page_path=F.concat(F.lit("/p/"), k),
+        product_id=k, product_name=F.concat(F.lit("item "), k), quantity=F.lit(1), unit_price=F.col("value"),
+    )
+    broken = (F.col("event_type") == "error") & (F.pmod("event_id", F.lit(2)) == 0)
+    topic = F.when(F.col("event_type") == "purchase", "orders").when(
+        F.col("event_type").isin("view", "click"), "clickstream"
+    ).otherwise("events")
+    return e.select(topic.alias("topic"), F.when(broken, F.concat(F.lit("{"), "event_type")).otherwise(value).alias("value"))
+
+
+def raw_order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The life of every purchase as messages, newest first: created; payment after half an
+    hour (ids divisible by 3); update to ``processing`` after one hour (even ids); cancellation
+    after two (ids divisible by 5), else shipment after three (ids divisible by 7)."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    ident = F.col("event_id")
+    step = lambda test, kind, minutes, status: F.when(
+        test, F.struct(F.lit(kind).alias("kind"), F.lit(minutes).alias("minutes"), F.lit(status).alias("status"))
+    )
+    cancelled = F.pmod(ident, F.lit(5)) == 0
+    life = F.array_compact(
+        F.array(
+            step(~cancelled & (F.pmod(ident, F.lit(7)) == 0), "shipment_created", 180, None),
+            step(cancelled, "order_cancelled", 120, None),
+            step(F.pmod(ident, F.lit(2)) == 0, "order_updated", 60, "processing"),
+            step(F.pmod(ident, F.lit(3)) == 0, "payment_received", 30, None),
+            step(F.lit(True), "order_created", 0, None),
+        )
+    )
+    rows = e.select("event_id", "ts", "user_id", "value", F.explode(life).alias("s"))
+    at = F.col("ts") + F.make_dt_interval(mins=F.col("s.minutes"))
+    value = _json_event(
+        event_id=F.concat_ws("-", F.col("event_id").cast("string"), F.col("s.kind")), event_type=F.col("s.kind"),
+        event_timestamp=F.date_format(at, "yyyy-MM-dd HH:mm:ss.SSSSSS"),
+        order_id=F.concat(F.lit("ORD-"), F.col("event_id").cast("string")), customer_id=F.col("user_id").cast("string"),
+        total_amount=F.col("value"), status=F.col("s.status"),
+    )
+    return rows.select(F.lit("orders").alias("topic"), value.alias("value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 #: Settings every job of this library expects. Sizes that depend on the cluster
 #: (shuffle partitions, executor memory) are left to the cluster's own defaults;
@@ -35,15 +35,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     return builder.getOrCreate()
 
 
+def _shared_root(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``. A machine-local folder is
+    used only where nothing is set and Spark itself runs locally."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    return tempfile.mkdtemp(prefix="merclake-")
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the checkpoint folder that all executors can reach.
+    """A fresh folder below the shared folder."""
+    return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
-    The cluster names that folder in ``spark.checkpoint.dir``. A machine-local
-    folder is used only where nothing is set and Spark itself runs locally.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="merclake-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a frame once that several later steps read. The rows go to the reliable
+    checkpoint folder, so they outlive lost executors."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(_shared_root(df.sparkSession))
+    return df.checkpoint()
