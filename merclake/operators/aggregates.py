@@ -2,41 +2,64 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from merclake.functions.columns import Instant, as_date, date_key, exact_mean, exact_sum, moment
+from merclake.functions.columns import Instant, as_date, date_key, exact_sum, moment
+
+
+def _minor(col: str, scale: int) -> Column:
+    return F.sum(F.rint(F.col(col) * float(10**scale)).cast("bigint"))
+
+
+def _per_day_and_customer(orders: DataFrame, full: bool) -> DataFrame:
+    """Sums per day and customer. Days follow from it without a distinct count, and it is the
+    one shuffle of orders that the daily measures and the first days share."""
+    more = [
+        _minor("discount_amount", 4).alias("discount"), _minor("shipping_amount", 2).alias("shipping"),
+        F.count("item_count").alias("with_items"),
+    ]
+    return orders.groupBy(F.col("order_date_key").alias("date_key"), "customer_id").agg(
+        F.count(F.lit(1)).alias("orders"), _minor("total_amount", 2).alias("amount"),
+        F.count("total_amount").alias("with_amount"), F.sum("item_count").alias("items"), *(more if full else []),
+    )
+
+
+def _daily(per_customer: DataFrame, full: bool) -> DataFrame:
+    revenue = F.sum("amount") / F.lit(100.0)
+    more = [
+        (F.sum("discount") / F.lit(10000.0)).alias("total_discount"),
+        (F.sum("shipping") / F.lit(100.0)).alias("total_shipping"),
+        F.try_divide(F.sum("items"), F.sum("with_items")).alias("avg_items_per_order"),
+    ]
+    return per_customer.groupBy("date_key").agg(
+        F.sum("orders").alias("total_orders"),
+        revenue.alias("total_revenue"),
+        F.sum("items").alias("total_items_sold"),
+        F.try_divide(revenue, F.sum("with_amount")).alias("avg_order_value"),
+        F.count("customer_id").alias("unique_customers"),
+        *(more if full else []),
+    )
 
 
 def daily_sales(orders: DataFrame, day_key: int | None = None) -> DataFrame:
     """One row per ``order_date_key`` (or the given one): orders, revenue, items, mean order
     value and customers. A batch computes all days at once."""
     scope = orders if day_key is None else orders.where(F.col("order_date_key") == day_key)
-    return scope.groupBy(F.col("order_date_key").alias("date_key")).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        exact_sum("total_amount").alias("total_revenue"),
-        F.sum("item_count").alias("total_items_sold"),
-        exact_mean("total_amount").alias("avg_order_value"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-    )
+    return _daily(_per_day_and_customer(scope, False), False)
 
 
 def daily_sales_full(orders: DataFrame, page_views: DataFrame) -> DataFrame:
     """All measures of the daily table. A customer is new on the day of the first order;
     ``conversion_rate`` is orders per session. Days with orders or page views appear."""
-    sales = daily_sales(orders)
-    more = orders.groupBy(F.col("order_date_key").alias("date_key")).agg(
-        exact_sum("discount_amount", 4).alias("total_discount"),
-        exact_sum("shipping_amount").alias("total_shipping"),
-        F.try_divide(F.sum("item_count"), F.count("item_count")).alias("avg_items_per_order"),
+    per_customer = _per_day_and_customer(orders, True)
+    first_days = per_customer.where(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(
+        F.min("date_key").alias("date_key")
     )
-    first_days = orders.groupBy("customer_id").agg(F.min("order_date_key").alias("date_key"))
     new = first_days.groupBy("date_key").agg(F.count(F.lit(1)).alias("new_customers"))
     views = page_views.groupBy("date_key").agg(
         F.count_distinct("session_id").alias("total_sessions"), F.count(F.lit(1)).alias("total_page_views")
     )
-    out = (
-        sales.join(more, "date_key").join(new, "date_key", "left").join(views, "date_key", "full_outer")
-    )
+    out = _daily(per_customer, True).join(new, "date_key", "left").join(views, "date_key", "full_outer")
     zero = ["total_orders", "total_items_sold", "unique_customers", "new_customers", "total_sessions", "total_page_views"]
     out = out.withColumns({c: F.coalesce(c, F.lit(0)) for c in zero})
     money = ["total_revenue", "total_discount", "total_shipping", "avg_order_value", "avg_items_per_order"]

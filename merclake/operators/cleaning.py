@@ -20,6 +20,7 @@ DATE_FORMATS = [
     "yyyy-MM-dd'T'HH:mm:ss",
     "yyyy-MM-dd HH:mm:ss.SSSSSS",
 ]
+WHITE_SPACE = " \t\n\x0b\f\r\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 CURRENCY_SIGNS = "[$€£¥,]"
 EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
 ORDER_DATES = ["order_date", "order_timestamp", "ship_date", "created_at", "updated_at"]
@@ -35,7 +36,7 @@ def _replace(df: DataFrame, exprs: dict[str, Column]) -> DataFrame:
 
 
 def _strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def trim_strings(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -63,8 +64,16 @@ def fill_nulls(df: DataFrame, values: dict) -> DataFrame:
 
 
 def parse_timestamp(c: Column, formats: list[str] = DATE_FORMATS) -> Column:
-    """First format that fits the value; NULL when none does."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    """First format that fits the value; NULL when none does.
+
+    The default formats are told apart by their shape and turned into ISO text, so that a
+    value is parsed once; trying formats in turn costs an exception per miss."""
+    if formats != DATE_FORMATS:
+        return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("timestamp_ntz")
+    iso = F.regexp_replace(c, r"^(\d{2})/(\d{2})/(\d{4})$", "$3-$1-$2")
+    iso = F.regexp_replace(iso, r"^(\d{2})-(\d{2})-(\d{4})$", "$3-$2-$1")
+    shape = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2}(\.\d{1,6})?|T\d{2}:\d{2}:\d{2})?$"
+    return F.when(iso.rlike(shape), iso.try_cast("timestamp_ntz"))
 
 
 def standardize_dates(df: DataFrame, columns: list[str], formats: list[str] = DATE_FORMATS) -> DataFrame:

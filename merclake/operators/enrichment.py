@@ -40,60 +40,85 @@ def _steps(value: str, cuts: str, high_is_good: bool) -> Column:
 RFM_SEGMENTS = [(12, "vip"), (9, "loyal"), (6, "potential")]
 
 
-def rfm_scores(
-    orders: DataFrame, reference_date: Instant, customer_col: str = "customer_id",
-    date_col: str = "order_timestamp", amount_col: str = "total_amount", interpolation: str = "nearest",
-) -> DataFrame:
-    """Recency, frequency and monetary value per customer, each scored 1-5 against the
-    20/40/60/80 % quantiles over all customers, the combined score and its segment."""
-    base = orders.groupBy(customer_col).agg(
-        whole_days(F.max(date_col), moment(reference_date)).alias("recency_days"),
-        F.count(F.lit(1)).alias("frequency"),
-        exact_sum(amount_col).alias("monetary"),
+def _per_customer(orders: DataFrame, customer_col: str, date_col: str, amount_col: str) -> DataFrame:
+    return orders.groupBy(customer_col).agg(
+        F.count(F.lit(1)).alias("total_orders"),
+        exact_sum(amount_col).alias("total_revenue"),
+        exact_mean(amount_col).alias("avg_order_value"),
+        F.min(date_col).alias("first_order_date"),
+        F.max(date_col).alias("last_order_date"),
     )
+
+
+def _with_rfm(base: DataFrame, reference_date: Instant, interpolation: str) -> DataFrame:
     fifths = [0.2, 0.4, 0.6, 0.8]
+    measured = base.withColumns({
+        "recency_days": whole_days(F.col("last_order_date"), moment(reference_date)),
+        "frequency": F.col("total_orders"),
+        "monetary": F.col("total_revenue"),
+    })
     scored = attach_quantiles(
-        base, {"recency_days": fifths, "frequency": fifths, "monetary": fifths}, interpolation
-    ).select(
-        customer_col, "recency_days", "frequency", "monetary",
-        _steps("recency_days", "recency_days", False).alias("rfm_recency_score"),
-        _steps("frequency", "frequency", True).alias("rfm_frequency_score"),
-        _steps("monetary", "monetary", True).alias("rfm_monetary_score"),
+        measured, {"recency_days": fifths, "frequency": fifths, "monetary": fifths}, interpolation
     )
     total = F.col("rfm_recency_score") + F.col("rfm_frequency_score") + F.col("rfm_monetary_score")
     label = F.when(F.col("rfm_recency_score") <= 2, "at_risk").otherwise("new")
     for least, name in reversed(RFM_SEGMENTS):
-        label = F.when(total >= least, name).otherwise(label)
-    return scored.withColumn("rfm_combined_score", total).withColumn("customer_segment", label)
+        label = F.when(F.col("rfm_combined_score") >= least, name).otherwise(label)
+    return (
+        scored.withColumns({
+            "rfm_recency_score": _steps("recency_days", "recency_days", False),
+            "rfm_frequency_score": _steps("frequency", "frequency", True),
+            "rfm_monetary_score": _steps("monetary", "monetary", True),
+        })
+        .drop("_q")
+        .withColumn("rfm_combined_score", total)
+        .withColumn("customer_segment", label)
+    )
 
 
-def customer_lifetime_value(
-    orders: DataFrame, reference_date: Instant, customer_col: str = "customer_id",
-    date_col: str = "order_timestamp", amount_col: str = "total_amount",
-) -> DataFrame:
-    """Historical value and a one-year projection (mean order value x orders per year)."""
-    base = orders.groupBy(customer_col).agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        exact_sum(amount_col).alias("total_revenue"),
-        exact_mean(amount_col).alias("avg_order_value"),
-        F.min(date_col).alias("first_order_date"),
-        F.max(date_col).alias("last_order_date"),
-    )
+def _with_value(base: DataFrame, reference_date: Instant) -> DataFrame:
     lifespan = F.col("customer_lifespan_days")
+    orders = F.col("total_orders")
     return (
         base.withColumn("customer_lifespan_days", whole_days(F.col("first_order_date"), F.col("last_order_date")))
         .withColumn("days_since_first_order", whole_days(F.col("first_order_date"), moment(reference_date)))
         .withColumn(
             "purchase_frequency_yearly",
-            F.when(lifespan > 0, F.col("total_orders") / (lifespan / F.lit(365.0))).otherwise(
-                F.col("total_orders").cast("double")
-            ),
+            F.when(lifespan > 0, orders / (lifespan / F.lit(365.0))).otherwise(orders.cast("double")),
         )
         .withColumn("projected_annual_value", F.col("avg_order_value") * F.col("purchase_frequency_yearly"))
         .withColumn("lifetime_value", F.col("total_revenue"))
     )
 
 
+RFM_COLUMNS = [
+    "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score", "rfm_combined_score", "customer_segment",
+]
+VALUE_COLUMNS = [
+    "total_orders", "total_revenue", "avg_order_value", "lifetime_value", "purchase_frequency_yearly",
+    "first_order_date", "last_order_date",
+]
+
+
+def rfm_scores(
+    orders: DataFrame, reference_date: Instant, customer_col: str = "customer_id",
+    date_col: str = "order_timestamp", amount_col: str = "total_amount", interpolation: str = "nearest",
+) -> DataFrame:
+    """Recency, frequency and monetary value per customer, each scored 1-5 against the
+    20/40/60/80 % quantiles over all customers, the combined score and its segment."""
+    base = _per_customer(orders, customer_col, date_col, amount_col)
+    out = _with_rfm(base, reference_date, interpolation)
+    return out.select(customer_col, "recency_days", "frequency", "monetary", *RFM_COLUMNS)
+
+
+def customer_lifetime_value(
+    orders: DataFrame, reference_date: Instant, customer_col: str = "customer_id",
+    date_col: str = "order_timestamp", amount_col: str = "total_amount",
+) -> DataFrame:
+    """Historical value and a one-year projection (mean order value x orders per year)."""
+    return _with_value(_per_customer(orders, customer_col, date_col, amount_col), reference_date)
+
+
 def add_cohorts(df: DataFrame, date_col: str = "first_order_date", granularity: str = "month") -> DataFrame:
     if date_col not in df.columns:
         return df
@@ -105,16 +130,10 @@ def enrich_customers(
 ) -> DataFrame:
     """Customers with their RFM scores, lifetime value and acquisition month. Columns the
     customer frame already has under the same names are replaced."""
-    rfm = rfm_scores(orders, reference_date, interpolation=interpolation).select(
-        "customer_id", "rfm_recency_score", "rfm_frequency_score", "rfm_monetary_score",
-        "rfm_combined_score", "customer_segment",
-    )
-    clv = customer_lifetime_value(orders, reference_date).select(
-        "customer_id", "total_orders", "total_revenue", "avg_order_value", "lifetime_value",
-        "purchase_frequency_yearly", "first_order_date", "last_order_date",
-    )
-    replaced = [c for c in [*rfm.columns, *clv.columns] if c != "customer_id"]
-    out = customers.drop(*replaced).join(rfm, "customer_id", "left").join(clv, "customer_id", "left")
+    base = _per_customer(orders, "customer_id", "order_timestamp", "total_amount")
+    scored = _with_value(_with_rfm(base, reference_date, interpolation), reference_date)
+    wanted = RFM_COLUMNS + VALUE_COLUMNS
+    out = customers.drop(*wanted).join(scored.select("customer_id", *wanted), "customer_id", "left")
     return add_cohorts(out)
 
 

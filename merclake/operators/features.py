@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from merclake.functions.columns import Instant, as_date, exact_mean, exact_sum, moment, require, whole_days
 from merclake.operators.enrichment import attach_quantiles
+from merclake.session import materialize
 
 
 def customer_features(orders: DataFrame, reference_date: Instant) -> DataFrame:
@@ -118,9 +119,9 @@ def ml_dataset(orders: DataFrame, reference_date: Instant, target: str = "churn"
         raise ValueError(f"unknown target: {target}")
     out = customer_features(orders, reference_date)
     if target == "churn":
-        out = churn_features(out, **options)
+        out = churn_features(materialize(out), **options)
     elif target == "clv":
-        out = clv_features(out, **options)
+        out = clv_features(materialize(out), **options)
     return out.drop("first_order_date", "last_order_date").na.fill(0)
 
 
@@ -187,17 +188,20 @@ def product_behaviour(
 
 
 def demand_features(items: DataFrame, lags: tuple[int, ...] = (1, 7), means: tuple[int, ...] = (7, 30)) -> DataFrame:
-    """Units per product and day, with gaps filled from the product's first to its last sale
-    day, lagged units and trailing means (the day included). ``items`` carry the order time."""
+    """Units per product and day of sale with the units k days before (0 on a day without a
+    sale, NULL before the product's first day) and the mean over the last k calendar days, or
+    over the days since the first when they are fewer. ``items`` carry the order time.
+
+    Calendar gaps are handled by range frames, so no row is made for a day without a sale."""
     daily = items.groupBy("product_id", F.to_date("order_timestamp").alias("day")).agg(F.sum("quantity").alias("units"))
-    span = daily.groupBy("product_id").agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    spine = span.select("product_id", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("day"))
-    filled = spine.join(daily, ["product_id", "day"], "left").withColumn("units", F.coalesce("units", F.lit(0.0)))
     # a product has at most one row per calendar day here
-    order = W.partitionBy("product_id").orderBy("day")
-    out = filled
+    order = W.partitionBy("product_id").orderBy("_n")
+    out = daily.withColumn("_n", F.unix_date("day"))
+    out = out.withColumn("_age", F.col("_n") - F.min("_n").over(order.rangeBetween(W.unboundedPreceding, 0)))
     for k in lags:
-        out = out.withColumn(f"units_lag_{k}", F.lag("units", k).over(order))
+        then = F.coalesce(F.sum("units").over(order.rangeBetween(-k, -k)), F.lit(0.0))
+        out = out.withColumn(f"units_lag_{k}", F.when(F.col("_age") >= k, then))
     for k in means:
-        out = out.withColumn(f"units_mean_{k}", F.avg("units").over(order.rowsBetween(-(k - 1), 0)))
-    return out
+        total = F.sum("units").over(order.rangeBetween(-(k - 1), 0))
+        out = out.withColumn(f"units_mean_{k}", total / F.least(F.lit(k), F.col("_age") + 1))
+    return out.drop("_n", "_age")

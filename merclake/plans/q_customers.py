@@ -10,6 +10,7 @@ from merclake.plans.registry import (
     CF, CHURN, CLV, CLVF, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SV, churn_sql, clv_features_sql, linear, query,
     rfm_sql, total, with_,
 )
+from merclake.session import materialize, shared_dir
 
 REF = star.REFERENCE_DATE
 
@@ -19,6 +20,12 @@ def rounded(df: DataFrame, columns: list[str], digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _customer_rows(spark, d) -> DataFrame:
+    """Customer features computed once: the risk scores read them for their quantiles and
+    again for their rows."""
+    return materialize(ft.customer_features(star.orders_for_features(spark, d), REF))
+
+
 @query("rfm_scores", with_(FO, RFM) + "SELECT * FROM rfm")
 def rfm_scores(spark, d):
     return en.rfm_scores(star.fact_orders(spark, d), REF)
@@ -100,7 +107,7 @@ def customer_features(spark, d):
  round(churn_risk_score, 9) AS churn_risk_score) FROM ch""",
 )
 def churn_features(spark, d):
-    out = ft.churn_features(ft.customer_features(star.orders_for_features(spark, d), REF))
+    out = ft.churn_features(_customer_rows(spark, d))
     return rounded(rounded(out, ["std_order_value"], 4), ["churn_risk_score"], 9)
 
 
@@ -110,14 +117,13 @@ def churn_features(spark, d):
  CAST(CAST(last_order_date AS DATE) + CAST(round_even(avg_days_between_orders, 0) AS INTEGER) AS DATE) AS predicted_next_purchase_date FROM ch""",
 )
 def churn_outlook(spark, d):
-    out = ft.churn_outlook(ft.churn_features(ft.customer_features(star.orders_for_features(spark, d), REF)))
+    out = ft.churn_outlook(ft.churn_features(_customer_rows(spark, d)))
     return rounded(out.select("customer_id", "churn_probability", "predicted_next_purchase_date"), ["churn_probability"], 9)
 
 
 @query("clv_features", with_(FO, FW, CF, CLVF) + "SELECT * REPLACE (round(std_order_value, 4) AS std_order_value) FROM cv")
 def clv_features(spark, d):
-    out = ft.clv_features(ft.customer_features(star.orders_for_features(spark, d), REF))
-    return rounded(out, ["std_order_value"], 4)
+    return rounded(ft.clv_features(_customer_rows(spark, d)), ["std_order_value"], 4)
 
 
 _FILLED = """coalesce(round(std_order_value, 4), 0.0) AS std_order_value,
@@ -213,18 +219,19 @@ def product_behaviour(spark, d):
     "demand_features",
     with_(FO, FI, FIO, """y AS (SELECT product_id, CAST(order_timestamp AS DATE) AS day, sum(quantity) AS units FROM fio GROUP BY 1, 2),
 z AS (SELECT product_id, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day FROM y GROUP BY 1),
-f AS (SELECT z.product_id, z.day, coalesce(units, 0.0) AS units FROM z LEFT JOIN y ON y.product_id = z.product_id AND y.day = z.day)""")
-    + """SELECT product_id, day, units, lag(units, 1) OVER w AS units_lag_1, lag(units, 7) OVER w AS units_lag_7,
+f AS (SELECT z.product_id, z.day, coalesce(units, 0.0) AS units, y.day IS NOT NULL AS sold FROM z LEFT JOIN y ON y.product_id = z.product_id AND y.day = z.day),
+g AS (SELECT sold, product_id, day, units, lag(units, 1) OVER w AS units_lag_1, lag(units, 7) OVER w AS units_lag_7,
  round(avg(units) OVER (PARTITION BY product_id ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 9) AS units_mean_7,
  round(avg(units) OVER (PARTITION BY product_id ORDER BY day ROWS BETWEEN 29 PRECEDING AND CURRENT ROW), 9) AS units_mean_30
- FROM f WINDOW w AS (PARTITION BY product_id ORDER BY day)""",
+ FROM f WINDOW w AS (PARTITION BY product_id ORDER BY day))""")
+    + "SELECT * EXCLUDE (sold) FROM g WHERE sold",
 )
 def demand_features(spark, d):
     return rounded(ft.demand_features(star.items_with_orders(spark, d)), ["units_mean_7", "units_mean_30"], 9)
 
 
 def _split_features(spark, d) -> DataFrame:
-    out = ft.churn_features(ft.customer_features(star.orders_for_features(spark, d), REF))
+    out = ft.churn_features(_customer_rows(spark, d))
     return out.select("customer_id", F.col("is_churned").cast("int").alias("y"), "total_spend")
 
 
@@ -360,8 +367,6 @@ def recommendation_metadata(spark, d):
 )
 def dataset_round_trip(spark, d):
     """The value dataset written to the shared folder and read back."""
-    from merclake.session import shared_dir
-
     rows = datasets.clv_dataset(star.orders_for_features(spark, d), REF, _TRAIN)
     path = datasets.save_dataset(rows, shared_dir(spark, "clv-dataset"), {"target": "clv"})
     back, metadata = datasets.load_dataset(spark, path)

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from merclake.operators import aggregates, lookups, sales
 from merclake.operators.datasets import co_purchased_with, interactions, order_baskets
-from merclake.operators.enrichment import product_sales_metrics
+from merclake.operators.enrichment import product_sales_metrics, with_location
 from merclake.operators.features import churn_features, churn_outlook, customer_features
 from merclake.plans import star
+from merclake.session import materialize
 from merclake.plans.registry import (
     CF, CHURN, CLV, DC, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SV, mean, query, total, with_,
 )
@@ -225,7 +226,7 @@ def list_orders_info(spark, d):
 
 @query(
     "orders_page_after",
-    with_(FO, "m AS (SELECT CAST(median(total_amount) AS DOUBLE) AS v FROM fo)")
+    with_(FO)
     + "SELECT fo.* FROM fo WHERE total_amount <= 250000 ORDER BY total_amount DESC, order_id LIMIT 50",
 )
 def orders_page_after(spark, d):
@@ -304,7 +305,9 @@ def top_spenders(spark, d):
  ORDER BY churn_risk_score >= 1.0 DESC, least(churn_risk_score, 1.0) DESC NULLS LAST, customer_id LIMIT 100""",
 )
 def at_risk_customers(spark, d):
-    churn = churn_outlook(churn_features(customer_features(star.orders_for_features(spark, d), star.REFERENCE_DATE)))
+    churn = churn_outlook(
+        churn_features(materialize(customer_features(star.orders_for_features(spark, d), star.REFERENCE_DATE)))
+    )
     people = star.dim_customers(spark, d).join(churn.select("customer_id", "churn_probability"), "customer_id", "left")
     out = lookups.at_risk_customers(people).select(*_CUST.split(", "), "churn_probability")
     return out.withColumn("churn_probability", F.round("churn_probability", 9))
@@ -354,8 +357,6 @@ def low_stock(spark, d):
  LEFT JOIN region ON r_regionkey = n_regionkey""",
 )
 def orders_with_customer(spark, d):
-    from merclake.operators.enrichment import with_location
-
     people = with_location(star.dim_customers_base(spark, d), star.dim_locations(spark, d))
     out = lookups.orders_with_customer(star.fact_orders(spark, d), people)
     return out.select("order_id", "total_amount", "customer_id", "customer_key", "country", "region")

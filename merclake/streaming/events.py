@@ -73,8 +73,9 @@ def parse_events(raw: DataFrame) -> DataFrame:
     every = ", ".join([ENVELOPE, ORDER_FIELDS, ", ".join(
         f for f in CLICK_FIELDS.split(", ") if not f.startswith("customer_id ")
     )])
-    event = F.from_json("value", every, {"mode": "PERMISSIVE"})
-    out = raw.withColumn("_e", event).withColumn("event_type", F.col("_e.event_type"))
+    # exploding a one-element array keeps later filters from repeating the JSON parse
+    event = F.explode(F.array(F.from_json("value", every, {"mode": "PERMISSIVE"})))
+    out = raw.select("*", event.alias("_e")).withColumn("event_type", F.col("_e.event_type"))
     out = out.withColumn("family", family_of(F.col("event_type")))
     lacking = F.lit(False)
     for name in ("order", "click", "user"):
@@ -97,7 +98,7 @@ def of_family(parsed: DataFrame, family: str) -> DataFrame:
 
 def cart_events(raw: DataFrame) -> DataFrame:
     """Cart additions and removals with quantity, price and cart total; incomplete ones are left out."""
-    parsed = raw.select(F.from_json("value", SCHEMAS["cart"]).alias("e")).select("e.*")
+    parsed = raw.select(F.explode(F.array(F.from_json("value", SCHEMAS["cart"]))).alias("e")).select("e.*")
     complete = F.col("event_type").isin(CART_EVENTS)
     for field in REQUIRED["cart"]:
         complete = complete & F.col(field).isNotNull()
