@@ -8,8 +8,9 @@ from merclake.operators import anomaly, cleaning as cl, enrichment as en, qualit
 from merclake.plans import etl, star
 from merclake.plans.q_customers import rounded
 from merclake.plans.registry import (
-    CLV, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SV, linear, nearest, query, total, with_,
+    CLV, DP, FI, FIO, FO, FW, PV, RFM, SV, linear, nearest, query, total, with_,
 )
+from merclake.session import materialize
 
 REF = star.REFERENCE_DATE
 
@@ -463,7 +464,9 @@ od AS (SELECT * FROM oa QUALIFY row_number() OVER (PARTITION BY metric_name, t,
     with_(FO, FW, OS, _OB) + "SELECT metric_name, idx, t AS anomaly_type, severity, value FROM od",
 )
 def order_anomalies(spark, d):
-    found = anomaly.detect_order_anomalies(star.fact_orders_wide(spark, d))
+    # the join with the lines is computed once; the detector reads its input several times
+    facts = materialize(star.fact_orders_wide(spark, d).select("order_id", "total_amount", "item_count"))
+    found = anomaly.detect_order_anomalies(facts)
     return found.select("metric_name", "idx", "anomaly_type", "severity", "value")
 
 

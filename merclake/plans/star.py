@@ -256,8 +256,8 @@ def _json_event(**fields) -> Column:
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as ``(topic, value)`` messages: views and clicks of the shop, orders, and
     registrations. Error events become broken JSON (even ids) or an unknown type (odd ids)."""
-    e = table(spark, sf_dir, "events")
-    k = F.get_json_object("props", "$.k")
+    e = table(spark, sf_dir, "events").withColumn("k", F.regexp_extract("props", '"k": *(-?[0-9]+)', 1))
+    k = F.col("k")
     kind = (
         F.when(F.col("event_type") == "view", "page_view")
         .when(F.col("event_type") == "click", "add_to_cart")
