@@ -52,6 +52,38 @@ def with_running_last(
     return out.select(*df.columns, new)
 
 
+def with_run_start(
+    df: DataFrame, keys: list[str], order: list[str], time: str, gap: Column, new: str, bucket: Column
+) -> DataFrame:
+    """Add the time at which the row's run began. A run ends where the next row of the key is
+    ``gap`` or more later. ``order`` is unique within a key and begins with ``time``.
+
+    A row opens a run if the gap lies inside its bucket, which a window over the bucket
+    sees, or if it is the bucket's first row and far from the last row of the bucket before.
+    The latter, and the run still open at a bucket's start, follow from one row per bucket."""
+    part = [*keys, "_bkt"]
+    inside = W.partitionBy(*part).orderBy(*order)
+    before = F.lag(time).over(inside)
+    rows = df.withColumn("_bkt", bucket)
+    inner = F.when(F.col(time) - before >= gap, F.col(time))
+    buckets = W.partitionBy(*keys).orderBy("_bkt")
+    carried = (
+        rows.select(*part, *[o for o in order if o not in part])
+        .withColumn("_inner", inner)
+        .groupBy(*part)
+        .agg(F.min(time).alias("_first"), F.max(time).alias("_last"), F.max("_inner").alias("_inner"))
+        .withColumn("_gap", F.col("_first") - F.lag("_last").over(buckets))
+        .withColumn("_opens", F.when(F.col("_gap").isNull() | (F.col("_gap") >= gap), F.col("_first")))
+        .withColumn("_open", F.coalesce("_inner", "_opens"))
+        .withColumn("_carry", F.last("_open", True).over(buckets.rowsBetween(W.unboundedPreceding, -1)))
+        .select(*part, F.coalesce("_opens", "_carry").alias("_carry"))
+    )
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    marked = rows.withColumn("_inner", inner).withColumn(new, F.last("_inner", True).over(upto))
+    out = marked.join(carried, part, "left").withColumn(new, F.coalesce(new, "_carry"))
+    return out.select(*df.columns, new)
+
+
 def with_dense_rank(df: DataFrame, keys: list[str], order: str, new: str, bucket: Column) -> DataFrame:
     """Add the dense rank of ``order`` within the key (equal values share a rank)."""
     part = [*keys, "_bkt"]

@@ -144,6 +144,12 @@ def low_stock(products: DataFrame, threshold: int = 10, limit: int | None = 100)
     return short if limit is None else short.orderBy("stock_quantity", "product_id").limit(limit)
 
 
+def having_members(df: DataFrame, key: str, members: DataFrame, member_key: str) -> DataFrame:
+    """Rows whose key occurs in the other frame."""
+    keys = members.select(F.col(member_key).alias("_member"))
+    return df.join(keys, F.col(key) == F.col("_member"), "left_semi")
+
+
 def orders_with_customer(orders: DataFrame, customers: DataFrame) -> DataFrame:
     """Parent lookup for all orders at once."""
     return orders.join(customers, "customer_id", "left")

@@ -362,6 +362,15 @@ def orders_with_customer(spark, d):
     return out.select("order_id", "total_amount", "customer_id", "customer_key", "country", "region")
 
 
+@query(
+    "customers_with_orders",
+    "SELECT c_custkey AS customer_id, c_name AS customer_key FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders)",
+)
+def customers_with_orders(spark, d):
+    people = star.dim_customers_base(spark, d).select("customer_id", "customer_key")
+    return lookups.having_members(people, "customer_id", star.fact_orders(spark, d), "customer_id")
+
+
 @query(
     "latest_orders_per_customer",
     with_(FO) + """SELECT * FROM fo QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY order_timestamp DESC, order_id) <= 5""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from merclake.plans import star
-from merclake.plans.registry import FO, PV, SV, query, total, with_
+from merclake.plans.registry import PV, SQL, SV, query, total, with_
 from merclake.session import shared_dir
 from merclake.sources.readers import read_event_files
 from merclake.streaming import events as ev, windows as win
@@ -61,10 +61,20 @@ SELECT 'ORD-' || event_id AS order_number, CAST(user_id AS VARCHAR) AS customer_
 )
 def order_events_state(spark, d):
     orders = ev.of_family(ev.parse_events(star.raw_order_events(spark, d)), "order")
-    out = ev.order_rows(orders).drop("updated_at")
+    out = ev.order_rows(orders).drop("updated_at", "status_at")
     return out.withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
 
 
+@query("order_events_in_two_batches", SQL["order_events_state"])
+def order_events_in_two_batches(spark, d):
+    """The same state when a second batch repeats some events and brings the remaining ones."""
+    orders = ev.of_family(ev.parse_events(star.raw_order_events(spark, d)), "order")
+    late = F.col("event_type").isin("order_created", "payment_received")
+    early = orders.where(late | (F.col("event_type") == "order_updated"))
+    state = ev.apply_order_events(ev.order_rows(early), orders.where(~late))
+    return state.drop("updated_at", "status_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
+
+
 @query(
     "click_event_rows",
     with_(PARSED) + """SELECT CAST(event_id AS VARCHAR) AS page_view_id, 's-' || user_id AS session_id, CAST(user_id AS VARCHAR) AS visitor_id,

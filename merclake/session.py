@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot join key even where a grouping on the same key follows and needs a new shuffle
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "snappy",
     # merge sessions inside each map task before the shuffle
@@ -22,6 +24,14 @@ SETTINGS = {
 }
 
 
+def apply_settings(spark: SparkSession) -> SparkSession:
+    """Set the library's SQL settings on a session that somebody else made."""
+    for key, value in SETTINGS.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra: str) -> SparkSession:
     """Single-machine session for tests and the benchmark."""
     builder = (

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from merclake.functions.columns import date_key
+from merclake.sources.writers import insert_ignore, read_table
 
 # Event types per family, schemas and required fields.
 ORDER_EVENTS = [
@@ -129,10 +130,8 @@ def drop_replayed(events: DataFrame, horizon: str = "1 hour") -> DataFrame:
     return events.dropDuplicates(["event_id"])
 
 
-def order_rows(orders: DataFrame) -> DataFrame:
-    """The state of every order after its events, as order-table rows. Status, payment status
-    and amount follow event time, not arrival; ties go to the larger event id. Orders
-    without a creation event are not stored."""
+def _fold_orders(orders: DataFrame) -> DataFrame:
+    """What a set of events says about each order; creation columns are NULL without one."""
     kind, stamp = F.col("event_type"), F.struct("event_timestamp", "event_id")
     new_status = (
         F.when(kind == "order_created", "pending")
@@ -142,16 +141,44 @@ def order_rows(orders: DataFrame) -> DataFrame:
         .when(kind == "shipment_delivered", "delivered")
     )
     created = lambda c: F.min_by(F.when(kind == "order_created", F.col(c)), F.when(kind == "order_created", stamp))
-    rows = orders.withColumn("_s", new_status).groupBy(F.col("order_id").alias("order_number")).agg(
+    return orders.withColumn("_s", new_status).groupBy(F.col("order_id").alias("order_number")).agg(
         created("customer_id").alias("customer_id"),
         created("total_amount").alias("total_amount"),
         created("currency").alias("currency_code"),
         F.min(F.when(kind == "order_created", F.col("event_timestamp"))).alias("order_timestamp"),
         F.max_by("_s", F.when(F.col("_s").isNotNull(), stamp)).alias("status"),
+        F.max(F.when(F.col("_s").isNotNull(), F.struct("event_timestamp", "event_id"))).alias("status_at"),
         F.when(F.max(kind == "payment_received"), "captured").otherwise("pending").alias("payment_status"),
         F.max("event_timestamp").alias("updated_at"),
     )
-    return rows.where(F.col("order_timestamp").isNotNull()).withColumn("order_date_key", date_key("order_timestamp"))
+
+
+def order_rows(orders: DataFrame) -> DataFrame:
+    """The state of every order after its events, as order-table rows. Status and payment status
+    follow event time, not arrival; ties go to the larger event id. Orders without a creation
+    event are not stored."""
+    known = _fold_orders(orders).where(F.col("order_timestamp").isNotNull())
+    return known.withColumn("order_date_key", date_key("order_timestamp"))
+
+
+def apply_order_events(current: DataFrame, orders: DataFrame) -> DataFrame:
+    """Order rows after one more batch of events. Late events change a status only when they
+    are newer than the event that set it; events of unknown orders are dropped."""
+    new = _fold_orders(orders).select("order_number", F.struct("*").alias("_n"))
+    newer = F.col("_n.status_at").isNotNull() & (
+        F.col("status_at").isNull() | (F.col("_n.status_at") > F.col("status_at"))
+    )
+    joined = current.join(new, "order_number", "full_outer")
+    first = lambda c: F.coalesce(F.col(c), F.col(f"_n.{c}")).alias(c)
+    paid = (F.col("payment_status") == "captured") | (F.col("_n.payment_status") == "captured")
+    out = joined.select(
+        "order_number", first("customer_id"), first("total_amount"), first("currency_code"), first("order_timestamp"),
+        F.when(newer, F.col("_n.status")).otherwise(F.col("status")).alias("status"),
+        F.when(newer, F.col("_n.status_at")).otherwise(F.col("status_at")).alias("status_at"),
+        F.when(F.coalesce(paid, F.lit(False)), "captured").otherwise("pending").alias("payment_status"),
+        F.greatest("updated_at", "_n.updated_at").alias("updated_at"),
+    )
+    return out.where(F.col("order_timestamp").isNotNull()).withColumn("order_date_key", date_key("order_timestamp"))
 
 
 def page_view_rows(clicks: DataFrame) -> DataFrame:
@@ -178,6 +205,20 @@ def write_batches(path: str) -> Handler:
     return write
 
 
+def write_new(path: str, keys: list[str]) -> Handler:
+    """As :func:`write_batches`, but rows whose key an earlier batch stored are left out, so a
+    message sent again days later is stored once."""
+    write = write_batches(path)
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stored = read_table(batch.sparkSession, path, batch.schema)
+        if "batch_id" in stored.columns:
+            stored = stored.where(F.col("batch_id") < batch_id)
+        write(insert_ignore(stored, batch, keys), batch_id)
+
+    return handle
+
+
 def consume(raw: DataFrame, handlers: dict[str, Handler], checkpoint: str, available_now: bool = False):
     """Start the stream that routes events to handlers by family (``order``, ``click``, ``user``),
     broken ones to ``dead_letter`` and counts to ``counts``. A family without a handler is

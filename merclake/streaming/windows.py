@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.functions.columns import exact_sum, hour_bucket, seconds_between
-from merclake.functions.sequence import with_previous, with_running_last
+from merclake.functions.sequence import with_run_start, with_running_last
 
 
 def windowed_sales(
@@ -29,28 +29,43 @@ def windowed_sales(
 
 
 def session_windows(
-    events: DataFrame, visitor_col: str = "visitor_id", time_col: str = "event_timestamp", gap: str = "30 minutes",
+    events: DataFrame, visitor_col: str = "visitor_id", time_col: str = "event_timestamp", gap_minutes: int = 30,
     lateness: str = "10 minutes",
 ) -> DataFrame:
     """One row per session: start, end of the last page, pages, seconds; batch or stream. A new
-    session starts after ``gap`` without a page. With local session merging on, each map task
-    folds its rows into sessions before the shuffle."""
-    stamped = events.withColumn(time_col, F.col(time_col).cast("timestamp"))
+    session starts after ``gap_minutes`` without a page.
+
+    A stream uses Spark's session window. A batch folds equal times first and then finds the
+    session starts hour by hour, so that a visitor with most of the rows fills no single task."""
     if events.isStreaming:
-        stamped = stamped.withWatermark(time_col, lateness)
-    return (
-        stamped.groupBy(visitor_col, F.session_window(time_col, gap).alias("w"))
-        .agg(F.count(F.lit(1)).alias("pages"), F.max(time_col).alias("last"))
-        .select(
-            visitor_col,
-            F.col("w.start").cast("timestamp_ntz").alias("session_start"),
-            F.col("last").cast("timestamp_ntz").alias("session_end"),
-            "pages",
-            seconds_between(F.col("w.start"), F.col("last")).alias("duration_seconds"),
+        stamped = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, lateness)
+        grouped = stamped.groupBy(visitor_col, F.session_window(time_col, f"{gap_minutes} minutes").alias("w")).agg(
+            F.count(F.lit(1)).alias("pages"), F.max(time_col).alias("last")
         )
+        start, pages = F.col("w.start"), F.col("pages")
+    else:
+        folded = events.groupBy(visitor_col, time_col).agg(F.count(F.lit(1)).alias("n"))
+        grouped = _with_session_start(folded, visitor_col, time_col, [time_col], gap_minutes).groupBy(
+            visitor_col, "session_start"
+        ).agg(F.sum("n").alias("pages"), F.max(time_col).alias("last"))
+        start, pages = F.col("session_start"), F.col("pages")
+    return grouped.select(
+        visitor_col,
+        start.cast("timestamp_ntz").alias("session_start"),
+        F.col("last").cast("timestamp_ntz").alias("session_end"),
+        pages.alias("pages"),
+        seconds_between(start, F.col("last")).alias("duration_seconds"),
     )
 
 
+def _with_session_start(
+    events: DataFrame, visitor_col: str, time_col: str, order: list[str], gap_minutes: int
+) -> DataFrame:
+    """``order`` is unique per visitor and begins with the time."""
+    gap = F.expr(f"INTERVAL {gap_minutes} MINUTES")
+    return with_run_start(events, [visitor_col], order, time_col, gap, "session_start", hour_bucket(time_col))
+
+
 def sessionize(
     events: DataFrame, visitor_col: str = "visitor_id", time_col: str = "event_timestamp",
     id_col: str = "page_view_id", gap_minutes: int = 30,
@@ -58,12 +73,7 @@ def sessionize(
     """Rows with ``session_id`` (visitor and start time in microseconds) and ``session_start``.
 
     A visitor with most of the rows is spread over hours; see ``functions.sequence``."""
-    hour = hour_bucket(time_col)
-    order = [time_col, id_col]
-    prev = with_previous(events, [visitor_col], order, {"_before": time_col}, hour)
-    opens = F.col("_before").isNull() | (F.col(time_col) - F.col("_before") >= F.expr(f"INTERVAL {gap_minutes} MINUTES"))
-    marked = prev.withColumn("_open", F.when(opens, F.col(time_col))).drop("_before")
-    out = with_running_last(marked, [visitor_col], order, "_open", "session_start", hour).drop("_open")
+    out = _with_session_start(events, visitor_col, time_col, [time_col, id_col], gap_minutes)
     micros = F.unix_micros(F.col("session_start").cast("timestamp")).cast("string")
     return out.withColumn("session_id", F.concat_ws("-", F.col(visitor_col).cast("string"), micros))
 
@@ -73,18 +83,27 @@ def funnel(events: DataFrame, unit_col: str, time_col: str, type_col: str, steps
     conversion`` (against the first step). A step counts when it happens after the unit's
     earliest time for the step before.
 
-    Events are first folded to distinct (unit, step, time); each step is one more aggregation
-    joined on the unit, and AQE splits units that hold most of the events."""
-    acts = events.where(F.col(type_col).isin(steps)).select(unit_col, F.col(type_col).alias("_t"), F.col(time_col).alias("_at"))
-    reached = acts.where(F.col("_t") == steps[0]).groupBy(unit_col).agg(F.min("_at").alias("_r0"))
+    The next time after a given one is looked up in two places, so that no unit's events meet
+    in one task: in per-hour minima for the hours after it, and among the events of its own
+    hour, which are joined by unit and hour."""
+    acts = events.where(F.col(type_col).isin(steps)).select(
+        unit_col, F.col(type_col).alias("_t"), F.col(time_col).alias("_at"), hour_bucket(time_col).alias("_h")
+    )
+    hourly = acts.groupBy(unit_col, "_t", "_h").agg(F.min("_at").alias("_at"))
+    reached = hourly.where(F.col("_t") == steps[0]).groupBy(unit_col).agg(F.min("_at").alias("_r0"))
     for i, step in enumerate(steps[1:], start=1):
-        later = (
-            acts.where(F.col("_t") == step)
-            .join(reached.select(unit_col, F.col(f"_r{i - 1}").alias("_prev")), unit_col)
-            .where(F.col("_at") > F.col("_prev"))
-            .groupBy(unit_col)
-            .agg(F.min("_at").alias(f"_r{i}"))
+        prev = reached.where(F.col(f"_r{i - 1}").isNotNull()).select(
+            unit_col, F.col(f"_r{i - 1}").alias("_prev"), hour_bucket(f"_r{i - 1}").alias("_h")
+        )
+        same_hour = (
+            acts.where(F.col("_t") == step).join(prev, [unit_col, "_h"])
+            .where(F.col("_at") > F.col("_prev")).select(unit_col, "_at")
+        )
+        after = (
+            hourly.where(F.col("_t") == step).join(prev.withColumnRenamed("_h", "_ph"), unit_col)
+            .where(F.col("_h") > F.col("_ph")).select(unit_col, "_at")
         )
+        later = same_hour.unionByName(after).groupBy(unit_col).agg(F.min("_at").alias(f"_r{i}"))
         reached = reached.join(later, unit_col, "left")
     totals = reached.agg(*[F.count(f"_r{i}").alias(f"n{i}") for i in range(len(steps))])
     rows = F.array(

@@ -83,6 +83,17 @@ def test_running_last(spark, visits):
     assert (both.seen_x.fillna("-") == both.seen_y.fillna("-")).all()
 
 
+def test_run_start(spark, visits):
+    pdf = visits.assign(at=visits["at"].dt.floor("10min"))  # many ties
+    df = spark.createDataFrame(pdf).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = sq.with_run_start(df, ["who"], ["at", "id"], "at", F.expr("INTERVAL 30 MINUTES"), "start", hour_bucket("at")).toPandas()
+    gap = pdf.groupby("who")["at"].diff()
+    opened = pdf["at"].where(gap.isna() | (gap >= pd.Timedelta(minutes=30)))
+    want = pdf.assign(start=opened.groupby(pdf.who).ffill())
+    both = got.merge(want, on="id")
+    assert len(both) == len(pdf) and (both.start_x == both.start_y).all()
+
+
 def test_dense_rank(spark, visits):
     pdf = visits.assign(at=visits["at"].dt.floor("6h"))
     df = spark.createDataFrame(pdf).withColumn("at", F.col("at").cast("timestamp_ntz"))
