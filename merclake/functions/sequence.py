@@ -56,7 +56,7 @@ def with_run_start(
     df: DataFrame, keys: list[str], order: list[str], time: str, gap: Column, new: str, bucket: Column
 ) -> DataFrame:
     """Add the time at which the row's run began. A run ends where the next row of the key is
-    ``gap`` or more later. ``order`` is unique within a key and begins with ``time``.
+    more than ``gap`` later. ``order`` is unique within a key and begins with ``time``.
 
     A row opens a run if the gap lies inside its bucket, which a window over the bucket
     sees, or if it is the bucket's first row and far from the last row of the bucket before.
@@ -65,7 +65,7 @@ def with_run_start(
     inside = W.partitionBy(*part).orderBy(*order)
     before = F.lag(time).over(inside)
     rows = df.withColumn("_bkt", bucket)
-    inner = F.when(F.col(time) - before >= gap, F.col(time))
+    inner = F.when(F.col(time) - before > gap, F.col(time))
     buckets = W.partitionBy(*keys).orderBy("_bkt")
     carried = (
         rows.select(*part, *[o for o in order if o not in part])
@@ -73,7 +73,7 @@ def with_run_start(
         .groupBy(*part)
         .agg(F.min(time).alias("_first"), F.max(time).alias("_last"), F.max("_inner").alias("_inner"))
         .withColumn("_gap", F.col("_first") - F.lag("_last").over(buckets))
-        .withColumn("_opens", F.when(F.col("_gap").isNull() | (F.col("_gap") >= gap), F.col("_first")))
+        .withColumn("_opens", F.when(F.col("_gap").isNull() | (F.col("_gap") > gap), F.col("_first")))
         .withColumn("_open", F.coalesce("_inner", "_opens"))
         .withColumn("_carry", F.last("_open", True).over(buckets.rowsBetween(W.unboundedPreceding, -1)))
         .select(*part, F.coalesce("_opens", "_carry").alias("_carry"))
@@ -118,6 +118,24 @@ def with_dense_index(df: DataFrame, key: str, new: str, buckets: int = 4096) ->
     return out.select(*df.columns, new)
 
 
+def with_position(df: DataFrame, order: list[str], new: str, bucket: Column) -> DataFrame:
+    """Add the 0-based BIGINT position of the row in the order of the whole frame.
+
+    Rows are numbered per bucket and shifted by the sizes of the earlier buckets, of which
+    there is one summary row each (hours or days of a calendar, say). Rows without a bucket
+    come first."""
+    rows = df.withColumn("_bkt", F.coalesce(bucket, F.lit(-(2**62))))
+    earlier = W.partitionBy(F.lit(0)).orderBy("_bkt").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (
+        rows.groupBy("_bkt")
+        .agg(F.count(F.lit(1)).alias("_k"))
+        .select("_bkt", F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_before"))
+    )
+    numbered = rows.withColumn(new, F.row_number().over(W.partitionBy("_bkt").orderBy(*order)) - 1)
+    out = numbered.join(offsets, "_bkt").withColumn(new, (F.col(new) + F.col("_before")).cast("bigint"))
+    return out.select(*df.columns, new)
+
+
 def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the first by ``order``, ties broken by the whole row.
 
@@ -126,7 +144,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFr
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = [o.alias(f"_k{i}") for i, o in enumerate(order)]
-    comparable = [F.col(c) for c in rest if not dict(df.dtypes)[c].startswith(("map", "variant"))]
+    kinds = dict(df.dtypes)
+    # maps have no hash; their JSON text does
+    comparable = [F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(c) for c in rest if kinds[c] != "variant"]
     tie = F.xxhash64(*comparable).alias("_tie") if comparable else F.lit(0).alias("_tie")
     row = F.struct(*rest) if rest else F.struct(F.lit(0).alias("_none"))
     best = df.groupBy(*keys).agg(F.min_by(row, F.struct(*ranked, tie)).alias("_row"))

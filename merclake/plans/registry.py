@@ -81,7 +81,7 @@ PV = """pv AS (SELECT event_id AS page_view_id, user_id AS visitor_id, user_id A
  CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key, event_type, value,
  CAST(regexp_extract(props, '"k": *(-?[0-9]+)', 1) AS BIGINT) AS product_id FROM events)"""
 SV = """pl AS (SELECT *, lag(event_timestamp) OVER (PARTITION BY visitor_id ORDER BY event_timestamp, page_view_id) AS b FROM pv),
-po AS (SELECT * EXCLUDE (b), CASE WHEN b IS NULL OR event_timestamp - b >= INTERVAL 30 MINUTE THEN event_timestamp END AS o FROM pl),
+po AS (SELECT * EXCLUDE (b), CASE WHEN b IS NULL OR event_timestamp - b > INTERVAL 30 MINUTE THEN event_timestamp END AS o FROM pl),
 sw AS (SELECT * EXCLUDE (o), last_value(o IGNORE NULLS) OVER (PARTITION BY visitor_id ORDER BY event_timestamp, page_view_id
  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS session_start FROM po),
 sv AS (SELECT *, visitor_id || '-' || epoch_us(session_start) AS session_id FROM sw)"""

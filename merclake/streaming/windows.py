@@ -33,7 +33,7 @@ def session_windows(
     lateness: str = "10 minutes",
 ) -> DataFrame:
     """One row per session: start, end of the last page, pages, seconds; batch or stream. A new
-    session starts after ``gap_minutes`` without a page.
+    session starts after more than ``gap_minutes`` without a page.
 
     A stream uses Spark's session window. A batch folds equal times first and then finds the
     session starts hour by hour, so that a visitor with most of the rows fills no single task."""

@@ -88,7 +88,7 @@ def test_run_start(spark, visits):
     df = spark.createDataFrame(pdf).withColumn("at", F.col("at").cast("timestamp_ntz"))
     got = sq.with_run_start(df, ["who"], ["at", "id"], "at", F.expr("INTERVAL 30 MINUTES"), "start", hour_bucket("at")).toPandas()
     gap = pdf.groupby("who")["at"].diff()
-    opened = pdf["at"].where(gap.isna() | (gap >= pd.Timedelta(minutes=30)))
+    opened = pdf["at"].where(gap.isna() | (gap > pd.Timedelta(minutes=30)))
     want = pdf.assign(start=opened.groupby(pdf.who).ffill())
     both = got.merge(want, on="id")
     assert len(both) == len(pdf) and (both.start_x == both.start_y).all()
@@ -103,6 +103,13 @@ def test_dense_rank(spark, visits):
     assert (both.r_x == both.r_y).all()
 
 
+def test_position(spark, visits):
+    df = spark.createDataFrame(visits).withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = sq.with_position(df, ["at", "id"], "n", hour_bucket("at")).toPandas().sort_values("n")
+    want = visits.sort_values(["at", "id"])
+    assert list(got.id) == list(want.id) and list(got.n) == list(range(len(visits)))
+
+
 def test_dense_index(spark):
     df = spark.createDataFrame([(f"k{i * 7}",) for i in range(3000)], "k string")
     got = sq.with_dense_index(df, "k", "idx", buckets=16).toPandas()
