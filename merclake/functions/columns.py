@@ -75,16 +75,31 @@ def day_bucket(col: str | Column) -> Column:
     return F.unix_date(F.to_date(c)).cast("bigint")
 
 
-def exact_sum(col: str | Column, scale: int = 2) -> Column:
-    """Sum of amounts held at ``scale`` decimals, as whole minor units.
-
-    A BIGINT sum is exact and does not depend on the order in which partial sums
-    meet, so a retried or re-partitioned job gives the same bits. It also stays on
-    the codegen path, which a wide DECIMAL buffer does not.
-    """
+def minor_units(col: str | Column, scale: int = 2) -> Column:
+    """An amount held at ``scale`` decimals as BIGINT minor units."""
     c = F.col(col) if isinstance(col, str) else col
-    unit = float(10**scale)
-    return F.sum(F.rint(c * F.lit(unit)).cast("bigint")) / F.lit(unit)
+    return F.rint(c * F.lit(float(10**scale))).cast("bigint")
+
+
+def wide_sum(minor: Column) -> Column:
+    """Exact DECIMAL(38,0) sum of BIGINT values that may exceed BIGINT.
+
+    High and low bits are summed apart as BIGINT, which stays on the codegen path and holds
+    for 8 * 10^12 rows of any amounts; a DECIMAL buffer per row would be several times slower."""
+    high = F.sum(F.shiftright(minor, 20)).cast("decimal(20,0)")
+    low = F.sum(minor.bitwiseAND(F.lit(1048575).cast("bigint"))).cast("decimal(20,0)")
+    return (high * F.lit(1048576).cast("decimal(7,0)") + low).cast("decimal(38,0)")
+
+
+def from_minor(total: Column, scale: int) -> Column:
+    return total.cast("double") / F.lit(float(10**scale))
+
+
+def exact_sum(col: str | Column, scale: int = 2) -> Column:
+    """Sum of amounts held at ``scale`` decimals, added up as whole minor units: exact, and
+    independent of the order in which partial sums meet, so that a retried or re-partitioned
+    job gives the same bits."""
+    return from_minor(wide_sum(minor_units(col, scale)), scale)
 
 
 def exact_mean(col: str | Column, scale: int = 2) -> Column:

@@ -98,6 +98,12 @@ def values_at(df: DataFrame, value: str, targets: str, by: list[str], few_groups
     )
 
 
+def at_most(df: DataFrame, by: list[str], groups: int) -> bool:
+    """Whether the frame has no more than this many groups: the check before a broadcast of
+    one row per group. Groups are folded on the map side, and the count stops at the limit."""
+    return df.select(*by).distinct().limit(groups + 1).count() <= groups
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -2,33 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from merclake.functions.columns import Instant, as_date, date_key, exact_sum, moment
-
-
-def _minor(col: str, scale: int) -> Column:
-    return F.sum(F.rint(F.col(col) * float(10**scale)).cast("bigint"))
+from merclake.functions.columns import Instant, as_date, date_key, exact_sum, from_minor, minor_units, moment, wide_sum
 
 
 def _per_day_and_customer(orders: DataFrame, full: bool) -> DataFrame:
     """Sums per day and customer. Days follow from it without a distinct count, and it is the
     one shuffle of orders that the daily measures and the first days share."""
     more = [
-        _minor("discount_amount", 4).alias("discount"), _minor("shipping_amount", 2).alias("shipping"),
+        F.sum(minor_units("discount_amount", 4)).alias("discount"), F.sum(minor_units("shipping_amount")).alias("shipping"),
         F.count("item_count").alias("with_items"),
     ]
     return orders.groupBy(F.col("order_date_key").alias("date_key"), "customer_id").agg(
-        F.count(F.lit(1)).alias("orders"), _minor("total_amount", 2).alias("amount"),
+        F.count(F.lit(1)).alias("orders"), F.sum(minor_units("total_amount")).alias("amount"),
         F.count("total_amount").alias("with_amount"), F.sum("item_count").alias("items"), *(more if full else []),
     )
 
 
 def _daily(per_customer: DataFrame, full: bool) -> DataFrame:
-    revenue = F.sum("amount") / F.lit(100.0)
+    revenue = from_minor(wide_sum(F.col("amount")), 2)
     more = [
-        (F.sum("discount") / F.lit(10000.0)).alias("total_discount"),
-        (F.sum("shipping") / F.lit(100.0)).alias("total_shipping"),
+        from_minor(wide_sum(F.col("discount")), 4).alias("total_discount"),
+        from_minor(wide_sum(F.col("shipping")), 2).alias("total_shipping"),
         F.try_divide(F.sum("items"), F.sum("with_items")).alias("avg_items_per_order"),
     ]
     return per_customer.groupBy("date_key").agg(

@@ -6,8 +6,8 @@ import json
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from merclake.functions.columns import Instant, within_days
-from merclake.functions.ranks import smallest_share
+from merclake.functions.columns import Instant, exact_sum, within_days
+from merclake.functions.ranks import at_most, smallest_share
 from merclake.functions.sequence import with_dense_index
 from merclake.operators.features import churn_features, clv_features, customer_features
 from merclake.session import materialize
@@ -28,20 +28,24 @@ def select_features(
 
 
 def train_val_split(
-    df: DataFrame, id_col: str, validation: float = 0.2, seed: int = 42, stratify: str | None = None
+    df: DataFrame, id_col: str, validation: float = 0.2, seed: int = 42, stratify: str | None = None,
+    few_labels: bool | None = None,
 ) -> DataFrame:
     """Add ``split``: the ceil(validation * n) rows with the smallest hash of (id, seed), per
     label when stratified, are ``val``. Depends only on ids and seed, not on partitioning.
 
+    ``few_labels`` states that the labels are few; left out, they are counted first.
+
     The hash that bounds the share is found by a distributed rank search, since two labels
     mean two window partitions that would each sort half of the data."""
     unit = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11).cast("double")
     rows = df.withColumn("_u", unit)
     by = [stratify] if stratify else []
-    # stratification labels are classes of a model: few by nature
-    cuts = smallest_share(rows, "_u", validation, by, few_groups=True)
+    few = few_labels if few_labels is not None else not by or at_most(rows, by, 1000)
+    cuts = smallest_share(rows, "_u", validation, by, few_groups=few)
     if stratify:
-        out = rows.join(F.broadcast(cuts.select(stratify, "cut")), stratify)
+        bounds = cuts.select(stratify, "cut")
+        out = rows.join(F.broadcast(bounds) if few else bounds, stratify)
     else:
         out = rows.withColumn("cut", cuts.select("cut").scalar())
     return out.withColumn("split", F.when(F.col("_u") <= F.col("cut"), "val").otherwise("train")).select(
@@ -65,7 +69,7 @@ def churn_dataset(
     rows = labelled(train)
     names = [c for c in select_features(rows, include, exclude) if c != "is_churned"]
     shaped = lambda df: df.select("customer_id", F.col("is_churned").cast("int").alias("y"), *names)
-    out = train_val_split(shaped(rows), "customer_id", validation, seed, "y")
+    out = train_val_split(shaped(rows), "customer_id", validation, seed, "y", few_labels=True)
     if test:
         out = out.unionByName(shaped(labelled(test)).withColumn("split", F.lit("test")))
     return out
@@ -119,7 +123,7 @@ def load_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 def interactions(items: DataFrame) -> DataFrame:
     """Units and spend per customer and product."""
     return items.groupBy("customer_id", "product_id").agg(
-        F.sum("quantity").alias("purchase_count"), (F.sum(F.rint(F.col("line_total") * 10000).cast("bigint")) / F.lit(10000.0)).alias("total_spent")
+        F.sum("quantity").alias("purchase_count"), exact_sum("line_total", 4).alias("total_spent")
     )
 
 

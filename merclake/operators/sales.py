@@ -6,7 +6,9 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from merclake.functions.columns import Instant, as_date, exact_mean, exact_sum, moment, within_days
+from merclake.functions.columns import (
+    Instant, as_date, exact_mean, exact_sum, from_minor, minor_units, moment, wide_sum, within_days,
+)
 
 
 def _distinct(col: str | Column, approx: bool) -> Column:
@@ -93,18 +95,17 @@ def sales_by_category(
         .join(picked, "order_id")
         .join(products.select("product_id", "category"), "product_id")
         .groupBy("category", "order_id")
-        .agg(F.sum(F.rint(F.col("line_total") * 10000).cast("bigint")).alias("_minor"))
+        .agg(F.sum(minor_units("line_total", 4)).alias("_minor"))
     )
     by_category = per_order.groupBy("category").agg(
-        (F.sum("_minor") / F.lit(10000.0)).alias("revenue"),
-        F.count(F.lit(1)).alias("orders"),
-        F.sum("_minor").alias("_minor"),
+        wide_sum(F.col("_minor")).alias("_minor"), F.count(F.lit(1)).alias("orders")
     )
     # one row per category of the catalogue
-    total = F.sum("_minor").over(W.partitionBy(F.lit(0)))
+    total = F.sum("_minor").over(W.partitionBy(F.lit(0))).cast("double")
+    share = F.try_divide(F.col("_minor").cast("double") * F.lit(100.0), total)
     return by_category.select(
-        "category", "revenue", "orders",
-        F.coalesce(F.try_divide(F.col("_minor") * F.lit(100.0), total), F.lit(0.0)).alias("percentage"),
+        "category", from_minor(F.col("_minor"), 4).alias("revenue"), "orders",
+        F.coalesce(share, F.lit(0.0)).alias("percentage"),
     )
 
 

@@ -63,7 +63,8 @@ def _without_preamble(spark: SparkSession, path: str, skip_rows: int, spec: File
         F.monotonically_increasing_id().alias("_line"),
     )
     start = lines.where("_first_block").groupBy("_file").agg(F.min("_line").alias("_start"))
-    placed = lines.join(start, "_file")
+    # one row per file: broadcast while the file list, known without a job, is short
+    placed = lines.join(F.broadcast(start) if len(lines.inputFiles()) <= 100_000 else start, "_file")
     at = F.col("_line") - F.col("_start")
     header = placed.where(F.col("_first_block") & (at == skip_rows)).select("value").first()
     if header is None:

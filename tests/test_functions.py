@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from merclake.functions import sequence as sq
-from merclake.functions.columns import hour_bucket
+from merclake.functions.columns import exact_sum, hour_bucket, wide_sum
 from merclake.functions.ranks import exact_quantiles, smallest_share
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
@@ -122,3 +122,12 @@ def test_first_per_key_is_repeatable(spark):
     first = {(r.k, r.v) for r in sq.first_per_key(df, ["k"], [F.col("x")]).collect()}
     again = {(r.k, r.v) for r in sq.first_per_key(df.repartition(7), ["k"], [F.col("x")]).collect()}
     assert first == again and {(1, "a"), (2, "c")} <= first and len(first) == 3
+
+
+def test_sums_beyond_bigint(spark):
+    big = 2**62 - 3
+    df = spark.createDataFrame([(big,), (big,), (big,), (-7,), (None,)], "v bigint")
+    assert int(df.agg(wide_sum(F.col("v")).alias("s")).first().s) == 3 * big - 7
+    cents = spark.createDataFrame([(0.1,)] * 10 + [(-0.3,)], "v double")
+    assert cents.agg(exact_sum("v").alias("s")).first().s == 0.7
+    assert cents.where("v > 5").agg(exact_sum("v").alias("s")).first().s is None
