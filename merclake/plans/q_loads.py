@@ -115,9 +115,9 @@ def recent_orders(spark, d):
     return readers.recent_rows(orders, orders.agg(F.max("order_timestamp")).scalar(), 24)
 
 
-@query("filter_incremental", "SELECT event_id, ts FROM events WHERE event_id > 1000")
+@query("filter_incremental", "SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-02'")
 def filter_incremental(spark, d):
-    return writers.filter_incremental(star.table(spark, d, "events").select("event_id", "ts"), "event_id", 1000)
+    return writers.filter_incremental(star.table(spark, d, "events").select("event_id", "ts"), "ts", datetime(2024, 1, 2))
 
 
 @query("high_water_mark", "SELECT max(ts) AS high_water_mark FROM events")

@@ -8,7 +8,7 @@ from merclake.operators import anomaly, cleaning as cl, enrichment as en, qualit
 from merclake.plans import etl, star
 from merclake.plans.q_customers import rounded
 from merclake.plans.registry import (
-    CLV, DP, FI, FIO, FO, FW, PV, RFM, SV, linear, nearest, query, total, with_,
+    CLV, FI, FIO, FO, FW, PV, RFM, SV, linear, nearest, query, total, with_,
 )
 from merclake.session import materialize
 

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from merclake.functions.columns import Instant, as_date, date_key
 
 
+# Fixed value: address that page types are appended to.
+STORE_URL = "http://store.com/"
+
+
 def _masked_initial(c: str):
     return F.concat(F.left(F.col(c), F.lit(1)), F.lit("***"))
 
@@ -57,7 +61,7 @@ def load_clickstream(raw: DataFrame) -> DataFrame:
         F.col("event_id").alias("page_view_id"), "session_id", F.col("session_id").alias("visitor_id"),
         F.when(F.col("customer_id") != "None", F.col("customer_id")).alias("customer_id"),
         date_key(ts).alias("date_key"), ts.alias("event_timestamp"),
-        F.concat(F.lit("http://store.com/"), F.col("page_type")).alias("page_url"),
+        F.concat(F.lit(STORE_URL), F.col("page_type")).alias("page_url"),
         F.concat(F.lit("/"), F.col("page_type")).alias("page_path"),
         "page_type", "device_type", F.col("time_on_page").alias("time_on_page_seconds"),
     )

@@ -73,8 +73,12 @@ def add_load_metadata(df: DataFrame, loaded_at: datetime, source_file: str | Non
 
 
 def filter_incremental(df: DataFrame, column: str, last) -> DataFrame:
-    """Rows above the last high-water mark (all rows when there is none)."""
-    return df if last is None else df.where(F.col(column) > F.lit(last))
+    """Rows above the last high-water mark (all rows when there is none). The mark is a literal
+    of the column's own type, so that it reaches the scan."""
+    if last is None:
+        return df
+    naive = isinstance(last, datetime) and dict(df.dtypes)[column] == "timestamp_ntz"
+    return df.where(F.col(column) > (moment(last) if naive else F.lit(last)))
 
 
 def high_water_mark(df: DataFrame, column: str) -> DataFrame:
