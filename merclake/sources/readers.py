@@ -78,9 +78,9 @@ def read_csv(spark: SparkSession, spec: FileSpec) -> DataFrame:
     (``schema``, or inferred over the whole file)."""
     if spec.skip_rows:
         lines, names = _without_preamble(spark, spec.path, spec.skip_rows, spec)
-        as_text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        as_text = ", ".join(f"`{n}` STRING" for n in names)
         parsed = lines.where(F.length("value") > 0).select(
-            F.from_csv("value", as_text.simpleString()[7:-1].replace(":", " "), {"sep": spec.delimiter}).alias("r")
+            F.from_csv("value", as_text, {"sep": spec.delimiter}).alias("r")
         )
         text = parsed.select("r.*")
     else:
