@@ -85,18 +85,24 @@ def with_run_start(
 
 
 def with_dense_rank(df: DataFrame, keys: list[str], order: str, new: str, bucket: Column) -> DataFrame:
-    """Add the dense rank of ``order`` within the key (equal values share a rank)."""
+    """Add the dense rank of ``order`` within the key (equal values share a rank; NULL has none).
+
+    Distinct values are ranked and joined back, so repeated values never meet in a window;
+    ``bucket`` is computed from ``order``."""
     part = [*keys, "_bkt"]
-    rows = df.withColumn("_bkt", bucket)
+    values = df.where(F.col(order).isNotNull()).select(*keys, order).distinct().withColumn("_bkt", bucket)
     earlier = W.partitionBy(*keys).orderBy("_bkt").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        rows.groupBy(*part)
-        .agg(F.count_distinct(order).alias("_k"))
+        values.groupBy(*part)
+        .agg(F.count(F.lit(1)).alias("_k"))
         .select(*part, F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_before"))
     )
-    inside = rows.withColumn(new, F.dense_rank().over(W.partitionBy(*part).orderBy(order)))
-    out = inside.join(offsets, part).withColumn(new, (F.col(new) + F.col("_before")).cast("int"))
-    return out.select(*df.columns, new)
+    ranks = (
+        values.withColumn("_in", F.row_number().over(W.partitionBy(*part).orderBy(order)))
+        .join(offsets, part)
+        .select(*keys, order, (F.col("_in") + F.col("_before")).cast("int").alias(new))
+    )
+    return df.join(ranks, [*keys, order], "left").select(*df.columns, new)
 
 
 def with_dense_index(df: DataFrame, key: str, new: str, buckets: int = 4096) -> DataFrame:
