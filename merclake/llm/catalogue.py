@@ -1,6 +1,6 @@
 """Imports every module with a query, so that the registry is complete."""
 
-from merclake.llm import language, mixing, near_dup  # noqa: F401
+from merclake.llm import language, mixing, near_dup, suffix_dedup  # noqa: F401
 from merclake.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

@@ -39,9 +39,15 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that later steps read again to the shared folder and read it back. It outlives lost
     executors and cuts the lineage."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the shuffles of this write serve no other
+    before = spark.conf.get(tidy, "false")
+    spark.conf.set(tidy, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(tidy, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def remainder(doc_id: str, modulus: int) -> Column:

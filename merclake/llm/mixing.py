@@ -20,7 +20,6 @@ any order. An empty table gives an empty result. Further columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
