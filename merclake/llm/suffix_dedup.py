@@ -42,6 +42,8 @@ from merclake.llm.suffixes import Names, deltas, group_of, names_of_rows, pack,
 PIECE, PACKED = 1 << 20, 1 << 20
 #: More contexts than this of one anchor in one batch, or in all, count as a crowd.
 CROWD_HERE, CROWD = 64, 256
+#: Buckets of ranks for each shuffle partition. Every task sends a blob to each, so more of them mean smaller blobs.
+BUCKETS = 3
 #: Kinds of blobs. Those up to CROWDED travel by bucket of ranks, the others by group of documents.
 ANCHORS, CROWDED, CONTEXTS, STRINGS, COVERS, WANTED, TEXT = range(7)
 _BLOBS = "place int, kind int, data binary"
@@ -517,7 +519,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, name: int = 16, keep: list
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     twins = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a <> b")
     found = [r["doc_id"] for r in twins.select("doc_id").limit(100_001).collect()]
-    plan = Plan(length, name, partitions * 16, frozenset(found) if len(found) <= 100_000 else None)
+    plan = Plan(length, name, partitions * BUCKETS, frozenset(found) if len(found) <= 100_000 else None)
 
     def dealt(blobs: DataFrame, *more: str) -> DataFrame:
         return blobs.repartition(partitions, "place").sortWithinPartitions("place", "kind", *more)
