@@ -1,6 +1,6 @@
 """Imports every module with a query, so that the registry is complete."""
 
-from merclake.llm import decontam, language, mixing, near_dup, suffix_dedup, token_counts  # noqa: F401
+from merclake.llm import decontam, language, mixing, near_dup, quality, suffix_dedup, token_counts, urls  # noqa: F401
 from merclake.llm.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
