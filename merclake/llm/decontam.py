@@ -5,8 +5,8 @@ leaves its hash unchanged. Every overlap of ``least`` = 12 or more tokens of whi
 three masks, wherever the substitutions fall. Test and training hashes are joined; around every hit the two texts are
 laid on each other at the hit's offset and the best run of tokens decides.
 
-Training hashes that no test text can have are left out before the join by a bitmap of a fixed size; it only spares
-work and may let any through. Hits of one document that lie close together share one region of its tokens, so a
+Training hashes that no test text can have are left out before the join by a bitmap of a fixed size, two bits for a
+hash; it only spares work and may let any through. Hits of one document that lie close together share one region of its tokens, so a
 copied passage is carried once.
 
 Tokens are runs of digits, letters a-z (A-Z lower-cased) and all characters beyond ASCII.
@@ -89,6 +89,10 @@ def _test_seeds(masks: list[str], shortest: int, least: int):
     return run
 
 
+def _is_set(bitmap: np.ndarray, bit: np.ndarray) -> np.ndarray:
+    return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def _regions(masks: list[str], bitmap: np.ndarray, around: int):
     """Documents in; one row for each region with hits out: its tokens, where it begins, and the hits."""
     longest = max(len(m) for m in masks)
@@ -108,8 +112,8 @@ def _regions(masks: list[str], bitmap: np.ndarray, around: int):
             positions, hashes = [], []
             for number, mask in enumerate(masks):
                 found = seed_hashes(ids, mask, number)
-                low = (found & np.uint64(BITS - 1)).astype(np.int64)
-                hit = np.flatnonzero(bitmap[low >> 3] >> (low & 7).astype(np.uint8) & 1)
+                hit = np.flatnonzero(_is_set(bitmap, found & np.uint64(BITS - 1)))
+                hit = hit[_is_set(bitmap, found[hit] >> np.uint64(32) & np.uint64(BITS - 1))]
                 hit = hit[whole[hit + len(mask)] - whole[hit] == len(mask)]
                 positions.append(hit)
                 hashes.append(found[hit])
@@ -199,10 +203,9 @@ def overlaps(docs: DataFrame, tests: DataFrame, least: int = 12, percent: int =
     masks = _masks(shortest, least)
     items = tests.select(F.xxhash64("item_id", "text").alias("nth"), F.col("item_id").cast("long"), "text")
     seeds = store(items.select("nth", "text").mapInArrow(_test_seeds(masks, shortest, least), "hash long, nth long, at long").distinct(), "seeds")
-    low = F.col("hash").bitwiseAND(F.lit(BITS - 1))
-    bytes_ = seeds.groupBy(F.shiftright(low, 3).cast("int").alias("byte")).agg(
-        F.bit_or(F.expr(f"shiftleft(1, cast(hash & 7 as int))")).alias("bits")
-    )
+    pick = lambda h: h.bitwiseAND(F.lit(BITS - 1))
+    bits = seeds.select(F.explode(F.array(pick(F.col("hash")), pick(F.shiftright("hash", 32)))).alias("bit"))
+    bytes_ = bits.groupBy(F.shiftright("bit", 3).cast("int").alias("byte")).agg(F.bit_or(F.expr("shiftleft(1, cast(bit & 7 as int))")).alias("bits"))
     bitmap = np.zeros(BITS // 8, dtype=np.uint8)
     for row in bytes_.toLocalIterator():  # at most as many rows as the bitmap has bytes
         bitmap[row["byte"]] = row["bits"]
@@ -218,7 +221,7 @@ def overlaps(docs: DataFrame, tests: DataFrame, least: int = 12, percent: int =
     meets = hits.join(seeds, "hash").select("doc_id", "region", "nth", (F.col("pos") - F.col("at")).alias("offset")).distinct()
     items = items.mapInArrow(_item_ids, "nth long, item_id long, item array<bigint>").dropDuplicates(["nth"])
     meets = meets.withColumnRenamed("doc_id", "d").withColumnRenamed("region", "r")
-    laid = meets.join(regions.drop("hits").dropDuplicates(["doc_id", "region"]), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("r") == F.col("region")))
+    laid = meets.join(regions.drop("hits"), F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("r") == F.col("region")))
     laid = laid.join(items, "nth").select("doc_id", "item_id", "start", "offset", "ids", "item")
     found = laid.mapInArrow(_verify(least, percent), "doc_id long, item_id long, doc_start long, item_start long, n_tokens long, n_agree long")
     worth = F.col("n_agree") * 100 - F.col("n_tokens") * percent
