@@ -30,7 +30,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +58,8 @@ _CONTEXT = ("<u8", "<i8", "<u4", "<u4", "u1", "u1")
 class Plan:
     """The numbers that all tasks of one run share."""
 
-    def __init__(self, length: int, name: int, buckets: int, tagged: frozenset[int] | None):
-        self.length, self.name, self.buckets, self.tagged = length, name, buckets, tagged
+    def __init__(self, length: int, name: int, groups: int, tagged: frozenset[int] | None):
+        self.length, self.name, self.groups, self.buckets, self.tagged = length, name, groups, groups * BUCKETS, tagged
         self.side = length - name  # bytes a string may reach beyond its anchor on either side
         self.reach = (self.side + 1) // 2  # of these it has so many on one side at least
 
@@ -108,7 +107,7 @@ class Marks:
         for kind, kinds in ((COVERS, _COVER), (WANTED, _WANT)):
             if self.held[kind]:
                 cols = [np.concatenate(x).astype(k) for x, k in zip(zip(*self.held[kind]), kinds)]
-                rows = _by_place(group_of(cols[0], self.plan.buckets), kind, cols)
+                rows = _by_place(group_of(cols[0], self.plan.groups), kind, cols)
                 for at in range(0, len(rows), 10000):
                     yield _record(rows[at : at + 10000])
         self.held, self.size = {COVERS: [], WANTED: []}, 0
@@ -217,23 +216,36 @@ def _first_round(plan: Plan):
     return run
 
 
-def _places(batches: Iterator[pa.RecordBatch], through: tuple[int, ...]) -> Iterator[tuple[int, dict[int, list[bytes]]] | pa.RecordBatch]:
-    """The blobs of each place, by kind, from rows sorted by place; rows of the kinds ``through`` as they are."""
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[int, list[bytes]]]:
+    """The blobs of each place, by kind, from rows sorted by place."""
     place, blobs = None, {}
     for batch in batches:
-        own = pc.is_in(batch.column("kind"), pa.array(through, pa.int32()))
-        if own.true_count:
-            yield batch.filter(own)
         for p, kind, data in zip(*(batch.column(c).to_pylist() for c in ("place", "kind", "data"))):
-            if kind in through:
-                continue
             if p != place and blobs:
-                yield place, blobs
+                yield blobs
                 blobs = {}
             place = p
             blobs.setdefault(kind, []).append(data)
     if blobs:
-        yield place, blobs
+        yield blobs
+
+
+def _settled(plan: Plan, settle):
+    """mapInArrow function: settle each bucket of ranks; the marks that tasks of the round before have made join those
+    made here, so that a group of documents gets few blobs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = Marks(plan)
+        for blobs in _places(batches):
+            for kind, kinds in ((COVERS, _COVER), (WANTED, _WANT)):
+                if kind in blobs:
+                    marks.add(kind, *_unpacked(blobs[kind], kinds))
+            settle(plan, blobs, marks)
+            if marks.size >= PACKED:
+                yield from marks.out()
+        yield from marks.out()
+
+    return run
 
 
 def _settle_anchors(plan: Plan, blobs: dict[int, list[bytes]], marks: Marks) -> None:
@@ -266,21 +278,6 @@ def _settle_anchors(plan: Plan, blobs: dict[int, list[bytes]], marks: Marks) ->
     marks.add(WANTED, ids[wanted], tag[wanted], pos[wanted], crowd[group[wanted]].astype(np.uint8))
 
 
-def _after_first(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = Marks(plan)
-        for got in _places(batches, (COVERS, WANTED)):
-            if isinstance(got, pa.RecordBatch):
-                yield got
-                continue
-            _settle_anchors(plan, got[1], marks)
-            if marks.size >= PACKED:
-                yield from marks.out()
-        yield from marks.out()
-
-    return run
-
-
 def _contexts(plan: Plan, want: list[np.ndarray], texts: dict[tuple[int, int], bytes]) -> tuple[np.ndarray, ...]:
     """Matrix of the bytes around each wanted position, bytes of context to its left and right."""
     ids, tag, pos, _ = want
@@ -420,21 +417,6 @@ def _settle_contexts(plan: Plan, blobs: dict[int, list[bytes]], marks: Marks) ->
         marks.add(COVERS, ids[later], tag[later], start[later], np.full(later.sum(), plan.length, np.uint32))
 
 
-def _after_second(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = Marks(plan)
-        for got in _places(batches, (COVERS,)):
-            if isinstance(got, pa.RecordBatch):
-                yield got
-                continue
-            _settle_contexts(plan, got[1], marks)
-            if marks.size >= PACKED:
-                yield from marks.out()
-        yield from marks.out()
-
-    return run
-
-
 def merge(start: np.ndarray, size: np.ndarray) -> list[tuple[int, int]]:
     """Maximal runs that the intervals cover."""
     if not len(start):
@@ -519,20 +501,20 @@ def remove_repeats(docs: DataFrame, length: int = 50, name: int = 16, keep: list
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
     twins = rows.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b")).where("a <> b")
     found = [r["doc_id"] for r in twins.select("doc_id").limit(100_001).collect()]
-    plan = Plan(length, name, partitions * BUCKETS, frozenset(found) if len(found) <= 100_000 else None)
+    plan = Plan(length, name, partitions, frozenset(found) if len(found) <= 100_000 else None)
 
     def dealt(blobs: DataFrame, *more: str) -> DataFrame:
         return blobs.repartition(partitions, "place").sortWithinPartitions("place", "kind", *more)
 
-    first = dealt(rows.mapInArrow(_first_round(plan), _BLOBS)).mapInArrow(_after_first(plan), _BLOBS)
+    first = dealt(rows.mapInArrow(_first_round(plan), _BLOBS)).mapInArrow(_settled(plan, _settle_anchors), _BLOBS)
     first = store(first, "repeats-1")
-    group = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(plan.buckets)), F.lit(0)).cast("int").alias("place")
+    group = F.coalesce(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(plan.groups)), F.lit(0)).cast("int").alias("place")
     body = F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("data")
     none = F.lit(None).cast("long").alias("doc_id")
     texts = rows.select(group, F.lit(TEXT).alias("kind"), F.col("doc_id").cast("long"), body)
     wanted = first.where(F.col("kind") == WANTED).select("place", "kind", none, "data")
     second = dealt(wanted.union(texts)).mapInArrow(_second_round(plan), _BLOBS)
-    second = store(dealt(second).mapInArrow(_after_second(plan), _BLOBS), "repeats-2")
+    second = store(dealt(second).mapInArrow(_settled(plan, _settle_contexts), _BLOBS), "repeats-2")
     rest = F.struct(*(keep or ["doc_id"])).alias("rest")
     texts = docs.select(group, F.lit(TEXT).alias("kind"), F.col("doc_id").cast("long"), body, rest)
     kept = texts.schema["rest"].dataType
