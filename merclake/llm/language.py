@@ -25,7 +25,7 @@ UNDETERMINED = "und"
 #: Stands for anything that is no letter; consecutive ones are one.
 BOUNDARY = 1
 #: Texts are handled in pieces of so many characters.
-PIECE = 1 << 20
+PIECE = 1 << 19
 _LETTER: np.ndarray | None = None
 
 

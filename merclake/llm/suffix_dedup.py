@@ -38,7 +38,7 @@ from merclake.llm.registry import query
 from merclake.llm.suffixes import Names, deltas, group_of, names_of_rows, pack, runs, sliding, unpack
 
 #: Bytes of text whose positions are ranked at once, and anchors that are packed together.
-PIECE, PACKED = 1 << 20, 1 << 20
+PIECE, PACKED = 1 << 19, 1 << 19
 #: More contexts than this of one anchor in one batch, or in all, count as a crowd.
 CROWD_HERE, CROWD = 64, 256
 #: Buckets of ranks for each shuffle partition. Every task sends a blob to each, so more of them mean smaller blobs.
@@ -289,8 +289,12 @@ def _contexts(plan: Plan, want: list[np.ndarray], texts: dict[tuple[int, int], b
     left = np.minimum(pos, plan.side).astype(np.int64)
     right = np.minimum(np.array([len(texts[d]) for d in doc], dtype=np.int64) - pos, plan.length)
     columns = np.arange(-plan.side, plan.length)[None, :]
-    rows = data[np.clip(at[:, None] + columns, 0, len(data) - 1)]
-    rows[(columns < -left[:, None]) | (columns >= right[:, None])] = 0
+    rows = np.empty((len(at), columns.shape[1]), dtype=np.uint8)
+    for a in range(0, len(at), 8192):  # the places take far more memory than the bytes
+        b = slice(a, a + 8192)
+        part = data[np.clip(at[b, None] + columns, 0, len(data) - 1)]
+        part[(columns < -left[b, None]) | (columns >= right[b, None])] = 0
+        rows[b] = part
     return rows, left, right
 
 
