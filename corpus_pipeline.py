@@ -7,8 +7,8 @@
 4. decontamination: documents that overlap with a benchmark text go.
 5. mixing: the training order, one row for each pass over a document.
 
-Defined results: documents without doc_id are judged as each operator says; of near-duplicates without any doc_id none
-goes. Of rows that repeat a doc_id, stages 1 to 4 keep or drop each by its own text. An empty table stays empty.
+Defined results: documents without doc_id are judged as each operator says; none of them goes as a near-duplicate. Rows
+that repeat a doc_id are one document to stages 2 and 4: if one goes, all go. An empty table stays empty.
 """
 
 from __future__ import annotations
