@@ -17,6 +17,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from merclake.session import materialize
+
 _SLICES = 4096  # slices of a bucket; 12 bits of the code
 _STEPS_PER_E = 1024 * _SLICES  # a bucket spans a factor of e**(1/1024), about 0.1 %
 _OFFSET = 800 * _STEPS_PER_E  # keeps the code of the smallest double above zero
@@ -98,12 +100,6 @@ def values_at(df: DataFrame, value: str, targets: str, by: list[str], few_groups
     )
 
 
-def at_most(df: DataFrame, by: list[str], groups: int) -> bool:
-    """Whether the frame has no more than this many groups: the check before a broadcast of
-    one row per group. Groups are folded on the map side, and the count stops at the limit."""
-    return df.select(*by).distinct().limit(groups + 1).count() <= groups
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,
@@ -142,6 +138,19 @@ def exact_quantiles(
     return found.groupBy(*by).agg(F.expr("max(n) AS n"), F.expr(f"array({', '.join(q)}) AS q"))
 
 
+def cuts(df: DataFrame, probs: dict[str, list[float]], interpolation: str = "nearest") -> dict[str, list[float | None]]:
+    """The quantiles of several columns as numbers, ``None`` where a column has no value.
+
+    The values alone are stored once and searched in one go, so ``df`` is read once here however often the search
+    reads its values, and what uses the numbers has a plan without any trace of the search."""
+    cells = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in probs)
+    values = materialize(df.selectExpr(f"stack({len(probs)}, {cells}) AS (m, v)").where("v IS NOT NULL"))
+    every = sorted({p for ps in probs.values() for p in ps})
+    found = exact_quantiles(values, "v", every, by=["m"], interpolation=interpolation, few_groups=True)
+    rows = {r["m"]: r["q"] for r in found.collect()}  # one row for each column
+    return {c: [rows[c][every.index(p)] if c in rows else None for p in ps] for c, ps in probs.items()}
+
+
 def smallest_share(
     df: DataFrame, value: str, share: float, by: list[str], few_groups: bool = False
 ) -> DataFrame:

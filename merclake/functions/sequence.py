@@ -12,6 +12,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from merclake.session import materialize
+
+
+def beside(rows: DataFrame, summary: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the further columns of a summary that has one row per value of ``keys``. A NULL key, which a window
+    groups like any other value, meets the NULL of the summary."""
+    renamed = summary.select(*[F.col(k).alias(f"_k_{k}") if k in keys else F.col(k) for k in summary.columns])
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return rows.join(renamed, same, "left").drop(*[f"_k_{k}" for k in keys])
+
 
 def with_previous(
     df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str], bucket: Column
@@ -29,7 +39,7 @@ def with_previous(
         .select(*part, F.lag("_t._p").over(W.partitionBy(*keys).orderBy("_bkt")).alias("_carry"))
     )
     inside = rows.withColumn("_prev", F.lag(payload).over(W.partitionBy(*part).orderBy(*order)))
-    out = inside.join(carried, part, "left").withColumn("_prev", F.coalesce("_prev", "_carry"))
+    out = beside(inside, carried, part).withColumn("_prev", F.coalesce("_prev", "_carry"))
     return out.select(*df.columns, *[F.col(f"_prev.{new}").alias(new) for new in columns])
 
 
@@ -48,7 +58,7 @@ def with_running_last(
     )
     upto = W.partitionBy(*part).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = rows.withColumn(new, F.last(source, ignorenulls=True).over(upto))
-    out = inside.join(carried, part, "left").withColumn(new, F.coalesce(new, "_carry"))
+    out = beside(inside, carried, part).withColumn(new, F.coalesce(new, "_carry"))
     return out.select(*df.columns, new)
 
 
@@ -80,12 +90,13 @@ def with_run_start(
     )
     upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
     marked = rows.withColumn("_inner", inner).withColumn(new, F.last("_inner", True).over(upto))
-    out = marked.join(carried, part, "left").withColumn(new, F.coalesce(new, "_carry"))
+    out = beside(marked, carried, part).withColumn(new, F.coalesce(new, "_carry"))
     return out.select(*df.columns, new)
 
 
 def with_dense_rank(df: DataFrame, keys: list[str], order: str, new: str, bucket: Column) -> DataFrame:
-    """Add the dense rank of ``order`` within the key (equal values share a rank; NULL has none).
+    """Add the dense rank of ``order`` within the key (equal values share a rank; NULL has none). Rows without a
+    key are ranked together, like those of any key.
 
     Distinct values are ranked and joined back, so repeated values never meet in a window;
     ``bucket`` is computed from ``order``."""
@@ -97,12 +108,9 @@ def with_dense_rank(df: DataFrame, keys: list[str], order: str, new: str, bucket
         .agg(F.count(F.lit(1)).alias("_k"))
         .select(*part, F.coalesce(F.sum("_k").over(earlier), F.lit(0)).alias("_before"))
     )
-    ranks = (
-        values.withColumn("_in", F.row_number().over(W.partitionBy(*part).orderBy(order)))
-        .join(offsets, part)
-        .select(*keys, order, (F.col("_in") + F.col("_before")).cast("int").alias(new))
-    )
-    return df.join(ranks, [*keys, order], "left").select(*df.columns, new)
+    ranked = values.withColumn("_in", F.row_number().over(W.partitionBy(*part).orderBy(order)))
+    ranks = beside(ranked, offsets, part).select(*keys, order, (F.col("_in") + F.col("_before")).cast("int").alias(new))
+    return beside(df, ranks, [*keys, order]).select(*df.columns, new)
 
 
 def with_dense_index(df: DataFrame, key: str, new: str, buckets: int = 4096) -> DataFrame:
@@ -124,13 +132,19 @@ def with_dense_index(df: DataFrame, key: str, new: str, buckets: int = 4096) ->
     return out.select(*df.columns, new)
 
 
-def with_position(df: DataFrame, order: list[str], new: str, bucket: Column) -> DataFrame:
-    """Add the 0-based BIGINT position of the row in the order of the whole frame.
+def ranged(df: DataFrame, order: list[str], name: str = "_range") -> DataFrame:
+    """Store the rows in ranges of about equal size along ``order`` and add the number of their range. The ranges
+    are measured, so any ids and any times spread evenly; rows that are equal in ``order`` share one."""
+    rows = df.repartitionByRange(*order).withColumn(name, F.spark_partition_id().cast("bigint"))
+    return materialize(rows)
+
+
+def with_position(df: DataFrame, order: list[str], new: str) -> DataFrame:
+    """Add the 0-based BIGINT position of the row in the order of the whole frame, NULLs first.
 
-    Rows are numbered per bucket and shifted by the sizes of the earlier buckets, of which
-    there is one summary row each (hours or days of a calendar, say). Rows without a bucket
-    come first."""
-    rows = df.withColumn("_bkt", F.coalesce(bucket, F.lit(-(2**62))))
+    Rows are numbered per range and shifted by the sizes of the earlier ranges, of which there is one summary
+    row each."""
+    rows = ranged(df, order, "_bkt")
     earlier = W.partitionBy(F.lit(0)).orderBy("_bkt").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         rows.groupBy("_bkt")

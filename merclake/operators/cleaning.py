@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from merclake.functions.columns import nan_to_null, present, title_case
-from merclake.functions.ranks import exact_quantiles
+from merclake.functions.ranks import cuts
 from merclake.functions.sequence import first_per_key
 
 # Accepted date formats (tried in this order), currency signs, the e-mail
@@ -84,8 +84,14 @@ def standardize_dates(df: DataFrame, columns: list[str], formats: list[str] = DA
     )
 
 
+#: Digits with an optional sign, point and exponent: the texts that are amounts once signs are gone.
+AMOUNT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def to_amount(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c.cast("string"), CURRENCY_SIGNS, "")).try_cast("double")
+    """The number a text spells; NULL for words such as NaN and for type suffixes, which a cast would take."""
+    text = F.trim(F.regexp_replace(c.cast("string"), CURRENCY_SIGNS, ""))
+    return F.when(text.rlike(AMOUNT), text.try_cast("double"))
 
 
 def normalize_currency(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -177,31 +183,30 @@ class CleaningRules:
         return df
 
 
-def _fences(df: DataFrame, column: str, threshold: float, interpolation: str) -> DataFrame:
-    q = exact_quantiles(df, column, [0.25, 0.75], interpolation=interpolation)
-    q1, q3 = F.col("q")[0], F.col("q")[1]
-    return q.select((q1 - threshold * (q3 - q1)).alias("lower"), (q3 + threshold * (q3 - q1)).alias("upper"))
+def _fences(df: DataFrame, column: str, threshold: float, interpolation: str) -> tuple[Column, Column]:
+    q1, q3 = cuts(df, {column: [0.25, 0.75]}, interpolation)[column]
+    if q1 is None:
+        return F.lit(None).cast("double"), F.lit(None).cast("double")
+    return F.lit(q1 - threshold * (q3 - q1)), F.lit(q3 + threshold * (q3 - q1))
 
 
 def detect_outliers(
     df: DataFrame, column: str, method: str = "iqr", threshold: float = 1.5, interpolation: str = "nearest"
 ) -> DataFrame:
     """Add ``_is_outlier``: outside the quartile fences, or more than ``threshold`` sample
-    standard deviations from the mean. The bounds are one row, read as a scalar subquery."""
+    standard deviations from the mean. The bounds are computed first, from the column alone."""
     if column not in df.columns:
         return df
     x = nan_to_null(F.col(column).cast("double"))
     if method == "iqr":
-        row = _fences(df, column, threshold, interpolation).select(F.struct("lower", "upper").alias("s"))
-        out = df.withColumn("_s", row.scalar())
-        flag = (x < F.col("_s.lower")) | (x > F.col("_s.upper"))
+        low, high = _fences(df, column, threshold, interpolation)
+        flag = (x < low) | (x > high)
     elif method == "zscore":
-        row = df.agg(F.struct(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")).alias("s"))
-        out = df.withColumn("_s", row.scalar())
-        flag = F.abs(F.try_divide(x - F.col("_s.mean"), F.col("_s.std"))) > threshold
+        row = df.agg(F.avg(x).alias("mean"), F.stddev_samp(x).alias("std")).first()
+        flag = F.abs(F.try_divide(x - F.lit(row["mean"]).cast("double"), F.lit(row["std"]).cast("double"))) > threshold
     else:
         raise ValueError(f"unknown method: {method}")
-    return out.withColumn("_is_outlier", flag).drop("_s")
+    return df.withColumn("_is_outlier", flag)
 
 
 def handle_outliers(
@@ -214,23 +219,18 @@ def handle_outliers(
     if column not in df.columns:
         return df
     if strategy == "clip":
-        fences = _fences(df, column, threshold, interpolation)
-        row = fences.select(F.struct("lower", "upper").alias("s"))
-        given = df if lower is not None and upper is not None else df.withColumn("_s", row.scalar())
-        low = F.lit(float(lower)) if lower is not None else F.col("_s.lower")
-        high = F.lit(float(upper)) if upper is not None else F.col("_s.upper")
+        low, high = (None, None) if lower is not None and upper is not None else _fences(df, column, threshold, interpolation)
+        low = F.lit(float(lower)) if lower is not None else low
+        high = F.lit(float(upper)) if upper is not None else high
         bounded = F.when(F.col(column).isNotNull(), F.least(F.greatest(F.col(column), low), high))
-        return given.withColumn(column, bounded).drop("_s")
+        return df.withColumn(column, bounded)
     flagged = detect_outliers(df, column, method, threshold, interpolation)
     if strategy == "remove":
         return flagged.where(~F.col("_is_outlier")).drop("_is_outlier")
     if strategy == "replace":
-        if replacement_value is not None:
-            other = F.lit(float(replacement_value))
-        else:
-            other = exact_quantiles(df, column, [0.5]).select(F.col("q")[0]).scalar()
+        other = replacement_value if replacement_value is not None else cuts(df, {column: [0.5]}, "linear")[column][0]
         return flagged.withColumn(
-            column, F.when(F.col("_is_outlier"), other).otherwise(F.col(column))
+            column, F.when(F.col("_is_outlier"), F.lit(other).cast("double")).otherwise(F.col(column))
         ).drop("_is_outlier")
     raise ValueError(f"unknown strategy: {strategy}")
 

@@ -7,7 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merclake.functions.columns import Instant, exact_sum, within_days
-from merclake.functions.ranks import at_most, smallest_share
+from merclake.functions.ranks import smallest_share
 from merclake.functions.sequence import with_dense_index
 from merclake.operators.features import churn_features, clv_features, customer_features
 from merclake.session import materialize
@@ -29,23 +29,23 @@ def select_features(
 
 def train_val_split(
     df: DataFrame, id_col: str, validation: float = 0.2, seed: int = 42, stratify: str | None = None,
-    few_labels: bool | None = None,
+    few_labels: bool = False,
 ) -> DataFrame:
-    """Add ``split``: the ceil(validation * n) rows with the smallest hash of (id, seed), per
+    """Add ``split``: the ceil(validation * n) rows with the smallest MD5 of (seed, id), per
     label when stratified, are ``val``. Depends only on ids and seed, not on partitioning.
 
-    ``few_labels`` states that the labels are few; left out, they are counted first.
+    ``few_labels`` states that one row per label may be broadcast; else the planner decides by size.
 
     The hash that bounds the share is found by a distributed rank search, since two labels
     mean two window partitions that would each sort half of the data."""
-    unit = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.lit(seed)), 11).cast("double")
+    digest = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(id_col).cast("string")))
+    unit = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")  # 52 bits: exact as a double
     rows = df.withColumn("_u", unit)
     by = [stratify] if stratify else []
-    few = few_labels if few_labels is not None else not by or at_most(rows, by, 1000)
-    cuts = smallest_share(rows, "_u", validation, by, few_groups=few)
+    cuts = smallest_share(rows, "_u", validation, by, few_groups=few_labels)
     if stratify:
         bounds = cuts.select(stratify, "cut")
-        out = rows.join(F.broadcast(bounds) if few else bounds, stratify)
+        out = rows.join(F.broadcast(bounds) if few_labels else bounds, stratify)
     else:
         out = rows.withColumn("cut", cuts.select("cut").scalar())
     return out.withColumn("split", F.when(F.col("_u") <= F.col("cut"), "val").otherwise("train")).select(
@@ -130,7 +130,7 @@ def interactions(items: DataFrame) -> DataFrame:
 def recommendation_dataset(items: DataFrame, products: DataFrame) -> dict[str, DataFrame]:
     """Frames ``interactions`` (user_idx, item_idx, value), ``users``, ``items`` (id to dense
     0-based index), ``product_features`` and the one-row ``metadata``."""
-    pairs = interactions(items)
+    pairs = materialize(interactions(items))
     users = with_dense_index(pairs.select("customer_id").distinct(), "customer_id", "user_idx")
     goods = with_dense_index(pairs.select("product_id").distinct(), "product_id", "item_idx")
     matrix = (
@@ -152,36 +152,23 @@ def recommendation_dataset(items: DataFrame, products: DataFrame) -> dict[str, D
     }
 
 
-def order_baskets(items: DataFrame, chunk_rows: int = 10000) -> DataFrame:
-    """``order_id, chunk, products``: the products of an order as sorted arrays (a product on
-    several lines occurs as often). An order of up to ``chunk_rows`` lines is one array (chunk
-    0); a larger one is cut into chunks, so no array and no task holds an unbounded order."""
-    lines = items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("times"))
-    sizes = lines.groupBy("order_id").agg(F.sum("times").alias("lines"))
-    big = sizes.where(F.col("lines") > chunk_rows).select(
-        "order_id", F.ceil(F.col("lines") / F.lit(chunk_rows)).cast("bigint").alias("chunks")
-    )
-    # a product repeated more than chunk_rows times in one order is itself spread over chunks
-    part = F.least(F.col("times"), F.lit(chunk_rows))
-    rows = (
-        lines.join(big, "order_id", "left")
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
-        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("times") - 1) / F.lit(chunk_rows)))))
-        .withColumn("times", F.least(part, F.col("times") - F.col("piece") * chunk_rows))
-        .withColumn("chunk", F.pmod(F.xxhash64("product_id", "piece"), F.col("chunks")))
-    )
-    repeated = F.collect_list(F.array_repeat("product_id", F.col("times").cast("int")))
-    return rows.groupBy("order_id", "chunk").agg(F.array_sort(F.flatten(repeated)).alias("products"))
+def order_baskets(items: DataFrame) -> DataFrame:
+    """``order_id, product_id, times``: the products of an order and on how many of its lines each stands. One form
+    for orders of any size; whoever needs lists groups what fits."""
+    return items.groupBy("order_id", "product_id").agg(F.count(F.lit(1)).alias("times"))
 
 
 def co_purchased_with(items: DataFrame, product_ids: list) -> DataFrame:
     """Edges of the co-purchase graph at the given products: ``(product_id, other_id, orders)``,
-    the number of orders that hold both.
+    the number of orders that hold both. Only the lines of orders that hold one of the products are shuffled
+    for the distinct pairs.
 
     The work is linear in the lines of the orders that hold one of the products. The whole
     edge list is not offered: it is quadratic in the size of an order."""
-    pairs = items.select("order_id", "product_id").distinct()
-    anchors = pairs.where(F.col("product_id").isin(product_ids)).withColumnRenamed("product_id", "anchor")
+    lines = items.select("order_id", "product_id")
+    anchors = lines.where(F.col("product_id").isin(product_ids)).distinct().withColumnRenamed("product_id", "anchor")
+    held = anchors.select("order_id").distinct()
+    pairs = lines.join(held, "order_id", "left_semi").distinct()
     return (
         anchors.join(pairs, "order_id")
         .where(F.col("anchor") != F.col("product_id"))

@@ -5,25 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.functions.columns import (
-    Instant, cohort_label, day_bucket, exact_mean, exact_sum, moment, seconds_between, whole_days,
+    Instant, cohort_label, day_bucket, exact_mean, exact_sum, hour_bucket, moment, seconds_between, whole_days,
 )
-from merclake.functions.ranks import exact_quantiles
-from merclake.functions.sequence import with_dense_rank, with_previous
+from merclake.functions.ranks import cuts
+from merclake.functions.sequence import beside, with_dense_rank, with_previous
+from merclake.session import materialize
 
 
 def attach_quantiles(df: DataFrame, probs: dict[str, list[float]], interpolation: str, name: str = "_q") -> DataFrame:
-    """Add a struct column with one array of quantiles per column of ``probs``.
-
-    All columns go through one distributed rank search (they are unpivoted into
-    (column, value) rows); the single result row is a scalar subquery, not a join.
-    """
-    cells = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in probs)
-    long = df.selectExpr(f"stack({len(probs)}, {cells}) AS (m, v)")
-    every = sorted({p for ps in probs.values() for p in ps})
-    found = exact_quantiles(long, "v", every, by=["m"], interpolation=interpolation, few_groups=True)
-    pick = lambda c, p: f"max(CASE WHEN m = '{c}' THEN q[{every.index(p)}] END)"
-    fields = [f"array({', '.join(pick(c, p) for p in ps)}) AS `{c}`" for c, ps in probs.items()]
-    return df.withColumn(name, found.agg(F.expr(f"struct({', '.join(fields)}) AS s")).scalar())
+    """Add a struct column with one array of quantiles per column of ``probs``, as literals: the quantiles are
+    computed first, so that nothing of their search is repeated in the plan of the result."""
+    found = cuts(df, probs, interpolation)
+    arrays = [F.array(*[F.lit(v).cast("double") for v in values]).alias(c) for c, values in found.items()]
+    return df.withColumn(name, F.struct(*arrays))
 
 
 def _steps(value: str, cuts: str, high_is_good: bool) -> Column:
@@ -52,7 +46,7 @@ def _per_customer(orders: DataFrame, customer_col: str, date_col: str, amount_co
 
 def _with_rfm(base: DataFrame, reference_date: Instant, interpolation: str) -> DataFrame:
     fifths = [0.2, 0.4, 0.6, 0.8]
-    measured = base.withColumns({
+    measured = materialize(base).withColumns({
         "recency_days": whole_days(F.col("last_order_date"), moment(reference_date)),
         "frequency": F.col("total_orders"),
         "monetary": F.col("total_revenue"),
@@ -158,9 +152,16 @@ def order_time_features(
     return out.withColumn("is_first_order", F.col("customer_order_sequence") == 1)
 
 
+def first_order_flag(orders: DataFrame, date_col: str = "order_timestamp") -> DataFrame:
+    """Add ``is_first_order``: whether no order of the customer is earlier. A combinable minimum, no ranks."""
+    first = orders.groupBy("customer_id").agg(F.min(date_col).alias("_first"))
+    return beside(orders, first, ["customer_id"]).withColumn("is_first_order", F.col(date_col) == F.col("_first")).drop("_first")
+
+
 def days_since_previous_order(orders: DataFrame, date_col: str = "order_timestamp", id_col: str = "order_id") -> DataFrame:
-    """Whole days since the customer's preceding order; NULL on the first."""
-    out = with_previous(orders, ["customer_id"], [date_col, id_col], {"_before": date_col}, day_bucket(date_col))
+    """Whole days since the customer's preceding order; NULL on the first. Orders without a customer
+    follow each other like those of one customer."""
+    out = with_previous(orders, ["customer_id"], [date_col, id_col], {"_before": date_col}, hour_bucket(date_col))
     return out.withColumn("days_since_previous_order", whole_days(F.col("_before"), F.col(date_col))).drop("_before")
 
 
@@ -225,8 +226,6 @@ def url_parameters(df: DataFrame, url_col: str = "page_url", referrer_col: str |
     return df
 
 
-def with_location(df: DataFrame, locations: DataFrame, on: str = "location_id", location_rows: int = 1000) -> DataFrame:
-    """Add the columns of the location table. It is broadcast only when its first
-    ``location_rows + 1`` rows show that it is no larger than that."""
-    small = locations.limit(location_rows + 1).count() <= location_rows
-    return df.join(F.broadcast(locations) if small else locations, on, "left")
+def with_location(df: DataFrame, locations: DataFrame, on: str = "location_id") -> DataFrame:
+    """Add the columns of the location table. The planner broadcasts it if its size allows."""
+    return df.join(locations, on, "left")

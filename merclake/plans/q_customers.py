@@ -248,12 +248,13 @@ def stratified_split_sizes(spark, d):
 
 @query(
     "split_covers_customers",
-    with_(FO) + "SELECT customer_id, 1 AS parts FROM fo GROUP BY 1",
+    with_(FO, "u AS (SELECT DISTINCT customer_id FROM fo)")
+    + """SELECT customer_id, CASE WHEN row_number() OVER (ORDER BY substr(md5('7-' || customer_id), 1, 13))
+ <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER ()) THEN 'val' ELSE 'train' END AS split FROM u""",
 )
 def split_covers_customers(spark, d):
     people = star.fact_orders(spark, d).select("customer_id").distinct()
-    split = datasets.train_val_split(people, "customer_id", 0.2, 7)
-    return split.groupBy("customer_id").agg(F.count_distinct("split").cast("int").alias("parts"))
+    return datasets.train_val_split(people, "customer_id", 0.2, 7)
 
 
 _TRAIN, _TEST = ("1995-01-01", "1999-12-31"), ("2000-01-01", "2001-08-01")
@@ -274,18 +275,24 @@ _ALL = "oo AS (SELECT *, dense_rank() OVER (PARTITION BY customer_id ORDER BY or
 _ANY = "bool_or(seq = 1)"
 
 
+def _split(by: str = "0", seed: int = 42) -> str:
+    """The split column in SQL: the smallest fifth by MD5 of seed and id is for validation."""
+    return f"""CASE WHEN row_number() OVER (PARTITION BY {by} ORDER BY substr(md5('{seed}-' || customer_id), 1, 13))
+ <= ceil(CAST(0.2 AS DOUBLE) * count(*) OVER (PARTITION BY {by})) THEN 'val' ELSE 'train' END"""
+
+
 @query(
     "churn_dataset",
     with_(FO, FW, _ALL, _period("tr", _TRAIN), churn_sql("trcf", "tc"), _period("te", _TEST), churn_sql("tecf", "ec"))
-    + """SELECT customer_id, CAST(is_churned AS INTEGER) AS y, false AS is_test, recency_days, order_count, total_spend, orders_per_month,
- round(churn_risk_score, 9) AS churn_risk_score FROM tc
- UNION ALL SELECT customer_id, CAST(is_churned AS INTEGER), true, recency_days, order_count, total_spend, orders_per_month,
+    + f"""SELECT customer_id, CAST(is_churned AS INTEGER) AS y, {_split('is_churned')} AS split, recency_days, order_count, total_spend,
+ orders_per_month, round(churn_risk_score, 9) AS churn_risk_score FROM tc
+ UNION ALL SELECT customer_id, CAST(is_churned AS INTEGER), 'test', recency_days, order_count, total_spend, orders_per_month,
  round(churn_risk_score, 9) FROM ec""",
 )
 def churn_dataset(spark, d):
     out = datasets.churn_dataset(star.orders_for_features(spark, d), REF, _TRAIN, _TEST)
     return out.select(
-        "customer_id", "y", (F.col("split") == "test").alias("is_test"), "recency_days", "order_count", "total_spend",
+        "customer_id", "y", "split", "recency_days", "order_count", "total_spend",
         "orders_per_month", F.round("churn_risk_score", 9).alias("churn_risk_score"),
     )
 
@@ -306,11 +313,12 @@ def churn_dataset_metadata(spark, d):
 @query(
     "clv_dataset",
     with_(FO, FW, _ALL, _period("tr", _TRAIN), clv_features_sql("trcf", "tv"))
-    + """SELECT customer_id, coalesce(projected_clv, 0.0) AS y, recency_days, order_count, total_spend, revenue_per_day FROM tv""",
+    + f"""SELECT customer_id, coalesce(projected_clv, 0.0) AS y, {_split()} AS split, recency_days, order_count, total_spend,
+ revenue_per_day FROM tv""",
 )
 def clv_dataset(spark, d):
     out = datasets.clv_dataset(star.orders_for_features(spark, d), REF, _TRAIN)
-    return out.select("customer_id", "y", "recency_days", "order_count", "total_spend", "revenue_per_day")
+    return out.select("customer_id", "y", "split", "recency_days", "order_count", "total_spend", "revenue_per_day")
 
 
 @query(

@@ -99,11 +99,19 @@ def read_directory(spark, d):
     return readers.file_row_counts(found).groupBy(part.alias("part")).agg(F.sum("rows").alias("rows"))
 
 
-@query("file_fingerprints")
+@query(
+    "file_fingerprints",
+    """WITH l AS (SELECT c_mktsegment, md5(c_custkey || ',' || c_name) AS m FROM customer)
+SELECT c_mktsegment AS segment, md5(count(*) || '-' || CAST(sum(CAST('0x' || substr(m, 1, 8) AS BIGINT)) AS BIGINT)
+ || '-' || CAST(sum(CAST('0x' || substr(m, 9, 8) AS BIGINT)) AS BIGINT)) AS file_hash FROM l GROUP BY 1""",
+)
 def file_fingerprints(spark, d):
-    return readers.file_fingerprints(spark, d, "*.parquet").select(
-        F.regexp_extract("path", "([a-z]+)\\.parquet$", 1).alias("table_name"), "length", "file_hash"
-    )
+    """One text file per market segment."""
+    path = shared_dir(spark, "segments")
+    lines = star.table(spark, d, "customer").select("c_mktsegment", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    lines.repartition("c_mktsegment").write.partitionBy("c_mktsegment").text(path)
+    found = readers.file_fingerprints(spark, f"{path}/c_mktsegment=*", "*.txt")
+    return found.select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment"), "file_hash")
 
 
 @query(

@@ -61,18 +61,17 @@ SELECT 'ORD-' || event_id AS order_number, CAST(user_id AS VARCHAR) AS customer_
 )
 def order_events_state(spark, d):
     orders = ev.of_family(ev.parse_events(star.raw_order_events(spark, d)), "order")
-    out = ev.order_rows(orders).drop("updated_at", "status_at")
+    out = ev.order_rows(orders).drop("updated_at")
     return out.withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
 
 
 @query("order_events_in_two_batches", SQL["order_events_state"])
 def order_events_in_two_batches(spark, d):
-    """The same state when a second batch repeats some events and brings the remaining ones."""
+    """The same state when updates, cancellations and payments come before the creations, and some come twice."""
     orders = ev.of_family(ev.parse_events(star.raw_order_events(spark, d)), "order")
-    late = F.col("event_type").isin("order_created", "payment_received")
-    early = orders.where(late | (F.col("event_type") == "order_updated"))
-    state = ev.apply_order_events(ev.order_rows(early), orders.where(~late))
-    return state.drop("updated_at", "status_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
+    early = orders.where(F.col("event_type") != "order_created")
+    facts = ev.apply_order_events(ev.order_facts(early), orders.where(F.col("event_type").isin("order_created", "order_updated")))
+    return ev.order_state(facts).drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
 
 
 @query(
@@ -101,14 +100,19 @@ def cart_events(spark, d):
 
 @query(
     "drop_replayed_events",
-    with_(PARSED) + "SELECT family, count(*) AS events FROM pe WHERE NOT bad GROUP BY 1",
+    with_(PARSED) + "SELECT family, CAST(event_id AS VARCHAR) AS event_id, ts AS event_timestamp FROM pe WHERE NOT bad",
 )
 def drop_replayed_events(spark, d):
     """Every message arrives twice."""
     raw = star.raw_events(spark, d)
     parsed = ev.parse_events(raw.unionByName(raw))
-    parts = [ev.drop_replayed(ev.of_family(parsed, f)).select(F.lit(f).alias("family")) for f in ("order", "click", "user")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("family").agg(F.count(F.lit(1)).alias("events"))
+    parts = [
+        ev.drop_replayed(ev.of_family(parsed, f)).select(
+            F.lit(f).alias("family"), "event_id", F.col("event_timestamp").cast("timestamp_ntz").alias("event_timestamp")
+        )
+        for f in ("order", "click", "user")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def _sales_sql(length: str) -> str:
@@ -221,7 +225,7 @@ def stream_consume_orders(spark, d):
     """Messages routed by the stream consumer; those without an amount go to the dead letters."""
     root = shared_dir(spark, "consume")
     handlers = {
-        "order": ev.write_batches(f"{root}/orders"), "dead_letter": ev.write_batches(f"{root}/dlq"),
+        "order": ev.write_once(f"{root}/orders", ["event_id"]), "dead_letter": ev.write_batches(f"{root}/dlq"),
         "counts": ev.write_batches(f"{root}/counts"),
     }
     ev.consume(_messages(_stream(spark, d)), handlers, f"{root}/checkpoint", available_now=True).awaitTermination()
@@ -230,13 +234,31 @@ def stream_consume_orders(spark, d):
 
 @query(
     "stream_dead_letters",
-    "SELECT 'orders.dlq' AS dead_letter_topic, count(*) AS events FROM events WHERE event_type = 'error'",
+    """SELECT 'orders.dlq' AS dead_letter_topic, 'orders' AS original_topic, 'Event parsing failed' AS error,
+ '{"event_id":"' || event_id || '","event_type":"order_created","event_timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+ || '","order_id":"ORD-' || event_id || '","customer_id":"' || user_id || '"}' AS original_data FROM events WHERE event_type = 'error'""",
 )
 def stream_dead_letters(spark, d):
     root = shared_dir(spark, "consume")
     handlers = {"dead_letter": ev.write_batches(f"{root}/dlq")}
     ev.consume(_messages(_stream(spark, d)), handlers, f"{root}/checkpoint", available_now=True).awaitTermination()
-    return spark.read.parquet(f"{root}/dlq").groupBy("dead_letter_topic").agg(F.count(F.lit(1)).alias("events"))
+    return spark.read.parquet(f"{root}/dlq").select("dead_letter_topic", "original_topic", "error", "original_data")
+
+
+@query("stream_order_state", SQL["order_events_state"])
+def stream_order_state(spark, d):
+    """The order messages, dealt over eight files whatever their order, read file by file; every fifth message is
+    sent again in the first file."""
+    root = shared_dir(spark, "orders")
+    raw = star.raw_order_events(spark, d).select("topic", "value")
+    part = F.pmod(F.xxhash64("value"), F.lit(8))
+    again = raw.where(F.pmod(F.xxhash64("value", F.lit(1)), F.lit(5)) == 0).withColumn("part", F.lit(0).cast("bigint"))
+    dealt = raw.withColumn("part", part).unionByName(again)
+    dealt.repartition(8, "part").select("topic", "value").write.parquet(f"{root}/messages")
+    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=1)
+    ev.consume(messages, {"order": ev.write_facts(f"{root}/facts")}, f"{root}/checkpoint", available_now=True).awaitTermination()
+    state = ev.order_state(ev.merge_facts(spark.read.parquet(f"{root}/facts")))
+    return state.drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
 
 
 def _run_append(df: DataFrame, spark, name: str) -> DataFrame:
@@ -267,13 +289,17 @@ def stream_windowed_sales(spark, d):
     "SELECT CAST(event_id AS VARCHAR) AS page_view_id, event_type, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events",
 )
 def stream_page_views(spark, d):
-    """Events appended once each, although the stream sees every one twice."""
-    rows = _stream(spark, d)
-    twice = rows.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2))))
-    shaped = twice.select(
+    """Events stored once each, although the stream sees every one twice, in two batches."""
+    root = shared_dir(spark, "views")
+    rows = star.table(spark, d, "events").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("ts").cast("timestamp").alias("event_timestamp")
     )
-    once = ev.drop_replayed(shaped).select(
+    half = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
+    for part in (half, rows):  # the later files bring the other half, and the first half again
+        part.write.mode("append").parquet(f"{root}/in")
+    stream = read_event_files(spark, f"{root}/in", "event_id STRING, event_type STRING, event_timestamp TIMESTAMP", "*.parquet", files_per_trigger=1)
+    sink = ev.write_once(f"{root}/rows", ["event_id"])
+    stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{root}/rows").select(
         F.col("event_id").alias("page_view_id"), "event_type", star.date_key("event_timestamp").alias("date_key")
     )
-    return _run_append(once, spark, "views")

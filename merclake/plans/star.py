@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from merclake.functions.columns import date_key, exact_sum
-from merclake.operators.enrichment import customer_lifetime_value, enrich_customers, order_time_features, with_location
+from merclake.operators.enrichment import customer_lifetime_value, enrich_customers, first_order_flag, with_location
 from merclake.streaming.windows import sessionize
 
 #: "Today" for every recency and trailing window: the day after the last order.
@@ -160,8 +160,8 @@ def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_for_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide orders with time features, as the feature operators expect them."""
-    return order_time_features(fact_orders_wide(spark, sf_dir))
+    """Wide orders with the first-order flag, as the feature operators expect them."""
+    return first_order_flag(fact_orders_wide(spark, sf_dir))
 
 
 def session_views(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,26 +45,55 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra:
     return builder.getOrCreate()
 
 
+#: Folders made by this process, and the local root where a test session names none.
+_MADE: list[str] = []
+_LOCAL: list[tempfile.TemporaryDirectory] = []
+#: Spark's setting to drop the shuffle files of a query as soon as it has ended.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def _shared_root(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``. A machine-local folder is
-    used only where nothing is set and Spark itself runs locally."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Only where nothing is set and Spark itself runs
+    in one local process a folder of that process takes its place; it goes when the process ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return tempfile.mkdtemp(prefix="merclake-")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.TemporaryDirectory(prefix="merclake-"))
+    return _LOCAL[0].name
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared folder."""
-    return f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def forget_shared(spark: SparkSession) -> None:
+    """Delete the folders this process has made, when no frame that reads them is needed any more."""
+    jvm = spark.sparkContext._jvm
+    for path in _MADE:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _MADE.clear()
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame that later steps read again to the shared folder and read it back. It outlives lost
+    executors, cuts the lineage, and keeps column pruning and statistics."""
+    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
+    before = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")  # the shuffles of this write serve nothing else
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_TIDY, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute a frame once that several later steps read. The rows go to the reliable
-    checkpoint folder, so they outlive lost executors."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(_shared_root(df.sparkSession))
-    return df.checkpoint()
+    """Compute a frame once that several later steps read."""
+    return store(df, "rows")

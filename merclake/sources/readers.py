@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # Texts that mean NULL in delimited files.
 NULL_TEXTS = ["", "NULL", "null", "None", "NA", "N/A"]
-_BYTES_IN_ONE_ROW = 1 << 30
+#: Different header lines that the files of one read may have.
+_HEADERS = 16
 
 
 @dataclass(frozen=True)
@@ -51,44 +54,59 @@ def infer_types(df: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
-def _without_preamble(spark: SparkSession, path: str, skip_rows: int, spec: FileSpec) -> tuple[DataFrame, list[str]]:
-    """Lines after the first ``skip_rows`` and the header of each file, and the header's names.
+def _without_preamble(spark: SparkSession, spec: FileSpec) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Lines after the first ``skip_rows`` and the header of each file, with the file's header, and the column names of
+    each different header.
 
     Files stay splittable: a line's position is known relative to the first line of its
-    file, and only lines of the first block of a file can be preamble."""
-    lines = spark.read.option("encoding", spec.encoding).text(path).select(
+    file, and only lines of the first block of a file can be preamble. The table of headers has one row per
+    file, and the planner decides by its size how to join it."""
+    lines = spark.read.option("encoding", spec.encoding).text(spec.path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
         (F.col("_metadata.file_block_start") == 0).alias("_first_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
-    start = lines.where("_first_block").groupBy("_file").agg(F.min("_line").alias("_start"))
-    # one row per file: broadcast while the file list, known without a job, is short
-    placed = lines.join(F.broadcast(start) if len(lines.inputFiles()) <= 100_000 else start, "_file")
-    at = F.col("_line") - F.col("_start")
-    header = placed.where(F.col("_first_block") & (at == skip_rows)).select("value").first()
-    if header is None:
-        raise ValueError(f"{path} has no header after {skip_rows} rows")
-    names = [n.strip().strip('"') for n in header["value"].split(spec.delimiter)]
-    return placed.where(~F.col("_first_block") | (at > skip_rows)).select("value", "_file"), names
+    top = lines.where("_first_block").groupBy("_file").agg(F.min("_line").alias("_start"))
+    first = lines.where("_first_block").join(top, "_file")
+    headers = first.where(F.col("_line") - F.col("_start") == spec.skip_rows).select(
+        "_file", "_start", F.col("value").alias("_header")
+    )
+    found = [r["_header"] for r in headers.select("_header").distinct().limit(_HEADERS + 1).collect()]
+    if not found:
+        raise ValueError(f"{spec.path} has no header after {spec.skip_rows} rows")
+    names = {h: [n.strip() for n in next(csv.reader([h], delimiter=spec.delimiter))] for h in found}
+    if len(found) > _HEADERS or len({frozenset(n) for n in names.values()}) > 1:
+        raise ValueError(f"the files of {spec.path} differ in their columns: {sorted(map(str, names.values()))[:3]}")
+    placed = lines.join(headers, "_file")
+    body = placed.where(~F.col("_first_block") | (F.col("_line") - F.col("_start") > spec.skip_rows))
+    return body.select("value", "_header"), names
+
+
+def _nulled(text: DataFrame, null_values: list[str], but: tuple[str, ...] = ()) -> DataFrame:
+    return text.select(*[
+        F.when(~F.col(f"`{c}`").isin(null_values), F.col(f"`{c}`")).alias(c) if c not in but else F.col(c) for c in text.columns
+    ])
 
 
 def read_csv(spark: SparkSession, spec: FileSpec) -> DataFrame:
     """Delimited text with a header. All NULL texts are honoured, then types are applied
-    (``schema``, or inferred over the whole file)."""
+    (``schema``, or inferred over the whole file). With ``skip_rows`` a row is one line, and every file is read by
+    its own header; files may order the same columns differently."""
     if spec.skip_rows:
-        lines, names = _without_preamble(spark, spec.path, spec.skip_rows, spec)
-        as_text = ", ".join(f"`{n}` STRING" for n in names)
-        parsed = lines.where(F.length("value") > 0).select(
-            F.from_csv("value", as_text, {"sep": spec.delimiter}).alias("r")
-        )
-        text = parsed.select("r.*")
+        lines, names = _without_preamble(spark, spec)
+        parts = []
+        for header, own in names.items():
+            as_text = ", ".join(f"`{n}` STRING" for n in own)
+            mine = lines.where((F.col("_header") == header) & (F.length("value") > 0))
+            parts.append(mine.select(F.from_csv("value", as_text, {"sep": spec.delimiter}).alias("r")).select("r.*"))
+        text = reduce(DataFrame.unionByName, parts)
     else:
         text = spark.read.csv(
             spec.path, sep=spec.delimiter, encoding=spec.encoding, header=True, inferSchema=False,
             ignoreLeadingWhiteSpace=False,
         )
-    nulled = text.select(*[F.when(~F.col(f"`{c}`").isin(spec.null_values), F.col(f"`{c}`")).alias(c) for c in text.columns])
+    nulled = _nulled(text, spec.null_values)
     kept = [c for c in nulled.columns if c in spec.date_columns]
     schema = _struct(spec.schema) if spec.schema else infer_types(nulled.drop(*kept))
     wanted = T.StructType([f for f in schema.fields if f.name not in spec.date_columns])
@@ -121,22 +139,27 @@ def read_file(spark: SparkSession, spec: FileSpec) -> DataFrame:
 
 def read_directory(
     spark: SparkSession, directory: str, file_format: str, pattern: str = "*", schema: str | T.StructType | None = None,
-    **options,
+    null_values: list[str] | None = None, **options,
 ) -> DataFrame:
-    """All files ``pattern.format`` of a directory as one scan, with ``_source_file``."""
+    """All files ``pattern.format`` of a directory as one scan, with ``_source_file``. Delimited files honour the same
+    NULL texts as :func:`read_csv`."""
     if file_format not in READERS:
         raise ValueError(f"unsupported file format: {file_format}")
     reader = spark.read.option("pathGlobFilter", f"{pattern}.{file_format}")
-    if schema is not None:
+    if schema is not None and file_format != "csv":
         reader = reader.schema(_struct(schema))
     if file_format == "csv":
-        reader = reader.option("header", True).option("inferSchema", schema is None)
+        reader = reader.option("header", True).option("inferSchema", False)
     if file_format == "json":
         reader = reader.option("multiLine", True)
     for key, value in options.items():
         reader = reader.option(key, value)
     kind = "json" if file_format == "jsonl" else file_format
-    return reader.format(kind).load(directory).select("*", F.col("_metadata.file_path").alias("_source_file"))
+    rows = reader.format(kind).load(directory).select("*", F.col("_metadata.file_path").alias("_source_file"))
+    if file_format != "csv":
+        return rows
+    nulled = _nulled(rows, NULL_TEXTS if null_values is None else null_values, ("_source_file",))
+    return _typed(nulled, _struct(schema) if schema is not None else infer_types(nulled.drop("_source_file")))
 
 
 def file_row_counts(directory: DataFrame) -> DataFrame:
@@ -144,13 +167,21 @@ def file_row_counts(directory: DataFrame) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """``(path, length, file_hash)``: the MD5 of a file's bytes. A file above 1 GiB does not
-    fit a row; its hash is that of path, length and modification time instead."""
+    """``(path, length, file_hash)`` of every file. The hash is the MD5 of the number of lines and two sums over
+    the MD5s of the lines (first and second 32 bits), so it does not depend on a file's name, time or size class, a
+    large file is hashed by many tasks, and lines in another order count as the same content."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
-    small = files.where(F.col("length") <= _BYTES_IN_ONE_ROW).select("path", "length", F.md5("content").alias("file_hash"))
-    stamp = F.concat_ws("|", F.col("path"), F.col("length").cast("string"), F.col("modificationTime").cast("string"))
-    large = files.where(F.col("length") > _BYTES_IN_ONE_ROW).select("path", "length", F.md5(stamp).alias("file_hash"))
-    return small.unionByName(large)
+    listed = files.select(F.col("_metadata.file_path").alias("path"), "length")
+    lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(path)
+    digest = F.md5(F.col("value").cast("binary"))
+    part = lambda at: F.sum(F.conv(F.substring("_m", at, 8), 16, 10).cast("bigint"))
+    sums = lines.select(F.col("_metadata.file_path").alias("_p"), digest.alias("_m")).groupBy("_p").agg(
+        F.count(F.lit(1)).alias("_n"), part(1).alias("_a"), part(9).alias("_b")
+    )
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    return listed.join(sums, F.col("path") == F.col("_p"), "left").select(
+        "path", "length", F.md5(F.concat_ws("-", zero("_n"), zero("_a"), zero("_b"))).alias("file_hash")
+    )
 
 
 def recent_rows(df: DataFrame, reference: Column, hours: int = 24, time_col: str = "order_timestamp") -> DataFrame:

@@ -138,10 +138,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The table's rows, or an empty frame while it does not exist."""
+    """The table's rows, or an empty frame while its folder does not exist. Any other trouble is an error."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.createDataFrame([], schema)
 
 

@@ -122,16 +122,20 @@ def event_counts(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("topic", status.alias("status")).agg(F.count(F.lit(1)).alias("events"))
 
 
-def drop_replayed(events: DataFrame, horizon: str = "1 hour") -> DataFrame:
-    """One event per ``event_id``. On a stream the ids are remembered for the horizon; older
-    replays are left to the keyed write."""
+def drop_replayed(events: DataFrame) -> DataFrame:
+    """One event per ``event_id`` of a batch. A stream needs a sink that knows what it has stored (:func:`write_once`):
+    a memory bounded by a watermark would drop late events that were never seen."""
     if events.isStreaming:
-        return events.withWatermark("event_timestamp", horizon).dropDuplicatesWithinWatermark(["event_id"])
+        raise ValueError("use write_once as the sink of a stream")
     return events.dropDuplicates(["event_id"])
 
 
-def _fold_orders(orders: DataFrame) -> DataFrame:
-    """What a set of events says about each order; creation columns are NULL without one."""
+_CREATED = {"customer_id": "customer_id", "total_amount": "total_amount", "currency": "currency_code"}
+
+
+def order_facts(orders: DataFrame) -> DataFrame:
+    """What a set of events says about each order: its creation (the earliest), the newest status, whether it was
+    paid. Facts of several sets merge by :func:`merge_facts` in any order, and repeated events change nothing."""
     kind, stamp = F.col("event_type"), F.struct("event_timestamp", "event_id")
     new_status = (
         F.when(kind == "order_created", "pending")
@@ -140,45 +144,45 @@ def _fold_orders(orders: DataFrame) -> DataFrame:
         .when(kind == "shipment_created", "shipped")
         .when(kind == "shipment_delivered", "delivered")
     )
-    created = lambda c: F.min_by(F.when(kind == "order_created", F.col(c)), F.when(kind == "order_created", stamp))
+    is_new = kind == "order_created"
     return orders.withColumn("_s", new_status).groupBy(F.col("order_id").alias("order_number")).agg(
-        created("customer_id").alias("customer_id"),
-        created("total_amount").alias("total_amount"),
-        created("currency").alias("currency_code"),
-        F.min(F.when(kind == "order_created", F.col("event_timestamp"))).alias("order_timestamp"),
+        *[F.min_by(F.when(is_new, F.col(c)), F.when(is_new, stamp)).alias(name) for c, name in _CREATED.items()],
+        F.min(F.when(is_new, stamp)).alias("created_at"),
         F.max_by("_s", F.when(F.col("_s").isNotNull(), stamp)).alias("status"),
-        F.max(F.when(F.col("_s").isNotNull(), F.struct("event_timestamp", "event_id"))).alias("status_at"),
-        F.when(F.max(kind == "payment_received"), "captured").otherwise("pending").alias("payment_status"),
+        F.max(F.when(F.col("_s").isNotNull(), stamp)).alias("status_at"),
+        F.coalesce(F.max(kind == "payment_received"), F.lit(False)).alias("is_paid"),
         F.max("event_timestamp").alias("updated_at"),
     )
 
 
-def order_rows(orders: DataFrame) -> DataFrame:
-    """The state of every order after its events, as order-table rows. Status and payment status
-    follow event time, not arrival; ties go to the larger event id. Orders without a creation
-    event are not stored."""
-    known = _fold_orders(orders).where(F.col("order_timestamp").isNotNull())
-    return known.withColumn("order_date_key", date_key("order_timestamp"))
-
-
-def apply_order_events(current: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order rows after one more batch of events. Late events change a status only when they
-    are newer than the event that set it; events of unknown orders are dropped."""
-    new = _fold_orders(orders).select("order_number", F.struct("*").alias("_n"))
-    newer = F.col("_n.status_at").isNotNull() & (
-        F.col("status_at").isNull() | (F.col("_n.status_at") > F.col("status_at"))
+def merge_facts(facts: DataFrame) -> DataFrame:
+    """One row per order from facts of several batches."""
+    return facts.groupBy("order_number").agg(
+        *[F.min_by(c, "created_at").alias(c) for c in _CREATED.values()],
+        F.min("created_at").alias("created_at"), F.max_by("status", "status_at").alias("status"), F.max("status_at").alias("status_at"),
+        F.max("is_paid").alias("is_paid"), F.max("updated_at").alias("updated_at"),
     )
-    joined = current.join(new, "order_number", "full_outer")
-    first = lambda c: F.coalesce(F.col(c), F.col(f"_n.{c}")).alias(c)
-    paid = (F.col("payment_status") == "captured") | (F.col("_n.payment_status") == "captured")
-    out = joined.select(
-        "order_number", first("customer_id"), first("total_amount"), first("currency_code"), first("order_timestamp"),
-        F.when(newer, F.col("_n.status")).otherwise(F.col("status")).alias("status"),
-        F.when(newer, F.col("_n.status_at")).otherwise(F.col("status_at")).alias("status_at"),
-        F.when(F.coalesce(paid, F.lit(False)), "captured").otherwise("pending").alias("payment_status"),
-        F.greatest("updated_at", "_n.updated_at").alias("updated_at"),
+
+
+def order_state(facts: DataFrame) -> DataFrame:
+    """Order-table rows from merged facts. Status and payment follow event time, not arrival; ties go to the larger
+    event id. An order without a creation event is not shown yet; its facts wait for it."""
+    known = facts.where(F.col("created_at").isNotNull())
+    return known.select(
+        "order_number", *_CREATED.values(), F.col("created_at.event_timestamp").alias("order_timestamp"), "status",
+        F.when(F.col("is_paid"), "captured").otherwise("pending").alias("payment_status"), "updated_at",
+        date_key("created_at.event_timestamp").alias("order_date_key"),
     )
-    return out.where(F.col("order_timestamp").isNotNull()).withColumn("order_date_key", date_key("order_timestamp"))
+
+
+def order_rows(orders: DataFrame) -> DataFrame:
+    """The state of every order after its events."""
+    return order_state(order_facts(orders))
+
+
+def apply_order_events(facts: DataFrame, orders: DataFrame) -> DataFrame:
+    """Facts after one more batch of events, which may be late, repeated, or about orders not yet created."""
+    return merge_facts(facts.unionByName(order_facts(orders)))
 
 
 def page_view_rows(clicks: DataFrame) -> DataFrame:
@@ -205,20 +209,34 @@ def write_batches(path: str) -> Handler:
     return write
 
 
-def write_new(path: str, keys: list[str]) -> Handler:
-    """As :func:`write_batches`, but rows whose key an earlier batch stored are left out, so a
-    message sent again days later is stored once."""
-    write = write_batches(path)
+def write_once(path: str, keys: list[str], time_col: str = "event_timestamp") -> Handler:
+    """Sink for ``foreachBatch`` that stores every key once, however late or often it comes. Rows lie in folders by
+    event day and batch; a batch reads the keys of its own days only, and a repeated batch replaces what it wrote.
+    A message sent again must carry the same event time."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = read_table(batch.sparkSession, path, batch.schema)
-        if "batch_id" in stored.columns:
-            stored = stored.where(F.col("batch_id") < batch_id)
-        write(insert_ignore(stored, batch, keys), batch_id)
+        dated = batch.withColumn("_day", F.coalesce(F.to_date(time_col).cast("string"), F.lit("none"))).persist()
+        try:
+            days = [r["_day"] for r in dated.select("_day").distinct().collect()]
+            if not days:
+                return
+            stored = read_table(batch.sparkSession, path, dated.withColumn("batch_id", F.lit(0)).schema)
+            stored = stored.where(F.col("_day").cast("string").isin(days) & (F.col("batch_id") < batch_id))
+            fresh = insert_ignore(stored, dated, keys).withColumn("batch_id", F.lit(batch_id))
+            fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day", "batch_id").parquet(path)
+        finally:
+            dated.unpersist()
 
     return handle
 
 
+def write_facts(path: str) -> Handler:
+    """Sink for order events: each batch adds its facts, so nothing that is stored is read or rewritten. Read the
+    folder through :func:`merge_facts` and :func:`order_state`."""
+    write = write_batches(path)
+    return lambda batch, batch_id: write(order_facts(batch), batch_id)
+
+
 def consume(raw: DataFrame, handlers: dict[str, Handler], checkpoint: str, available_now: bool = False):
     """Start the stream that routes events to handlers by family (``order``, ``click``, ``user``),
     broken ones to ``dead_letter`` and counts to ``counts``. A family without a handler is

@@ -70,12 +70,13 @@ def sessionize(
     events: DataFrame, visitor_col: str = "visitor_id", time_col: str = "event_timestamp",
     id_col: str = "page_view_id", gap_minutes: int = 30,
 ) -> DataFrame:
-    """Rows with ``session_id`` (visitor and start time in microseconds) and ``session_start``.
+    """Rows with ``session_id`` (visitor and start time in microseconds) and ``session_start``. Rows without a
+    visitor are taken as one visitor, whose sessions are named ``anonymous``.
 
     A visitor with most of the rows is spread over hours; see ``functions.sequence``."""
     out = _with_session_start(events, visitor_col, time_col, [time_col, id_col], gap_minutes)
     micros = F.unix_micros(F.col("session_start").cast("timestamp")).cast("string")
-    return out.withColumn("session_id", F.concat_ws("-", F.col(visitor_col).cast("string"), micros))
+    return out.withColumn("session_id", F.concat_ws("-", F.coalesce(F.col(visitor_col).cast("string"), F.lit("anonymous")), micros))
 
 
 def funnel(events: DataFrame, unit_col: str, time_col: str, type_col: str, steps: list[str]) -> DataFrame:

@@ -18,22 +18,24 @@ def spark():
         **{"spark.python.sql.dataFrameDebugging.enabled": "false", "spark.driver.memory": "6g"},
     )
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="merclake-test-"))
-    yield session
-    session.stop()
+    with tempfile.TemporaryDirectory(prefix="merclake-test-") as root:
+        if not session.conf.get("spark.checkpoint.dir", None):
+            session.conf.set("spark.checkpoint.dir", root)
+        yield session
+        session.stop()
 
 
 @pytest.fixture()
 def orders(spark):
+    """A returning buyer, a guest order without a customer, and one that is still open."""
     rows = [
-        ("ord-1", "ORD-001", "cust-1", "2025-01-01 10:00:00", "delivered", 150.00, 3, 10.00, 12.00, 0.00),
-        ("ord-2", "ORD-002", "cust-1", "2025-01-15 14:30:00", "shipped", 200.50, 2, 0.00, 16.04, 9.99),
-        ("ord-3", "ORD-003", "cust-2", "2025-01-20 09:15:00", "pending", 75.25, 1, 5.00, 5.62, 5.99),
+        (501, "N-501", 71, "2024-02-29 23:59:00", "delivered", 80.00, 4, 0.00, 6.40, 4.90),
+        (502, "N-502", 71, "2024-03-09 00:05:30", "shipped", 1200.75, 1, 24.25, 96.06, 0.00),
+        (503, "N-503", None, "2024-03-10 12:00:00", "pending", 0.00, 1, 19.00, 0.00, 0.00),
     ]
     return spark.createDataFrame(
         rows,
-        "order_id string, order_number string, customer_id string, order_timestamp string, status string, "
+        "order_id bigint, order_number string, customer_id bigint, order_timestamp string, status string, "
         "total_amount double, item_count bigint, discount_amount double, tax_amount double, shipping_amount double",
     )
 
@@ -41,13 +43,13 @@ def orders(spark):
 @pytest.fixture()
 def customers(spark):
     rows = [
-        ("cust-1", "CUST-001", "john@example.com", "John", "Doe", "US", "returning", 500.00, 5),
-        ("cust-2", "CUST-002", "jane@example.com", "Jane", "Smith", "UK", "vip", 2500.00, 25),
-        ("cust-3", "CUST-003", "bob@example.com", "Bob", "Wilson", "CA", "new", 75.25, 1),
+        (71, "K71", "mira.sand@post.example", "Mira", "Sand", "DE", "loyal", 1280.75, 2),
+        (72, "K72", "oleg@mail.test", "Oleg", "Berg", "AT", "new", 0.00, 0),
+        (73, "K73", None, "Ines", "Prado", "ES", "at_risk", 45.10, 1),
     ]
     return spark.createDataFrame(
         rows,
-        "customer_id string, customer_key string, email string, first_name string, last_name string, country string, "
+        "customer_id bigint, customer_key string, email string, first_name string, last_name string, country string, "
         "segment string, lifetime_value double, total_orders bigint",
     )
 
@@ -55,12 +57,12 @@ def customers(spark):
 @pytest.fixture()
 def products(spark):
     rows = [
-        ("prod-1", "PROD-001", "SKU-001", "Wireless Mouse", "electronics", 29.99, 15.00, 100, True, 4.5, True),
-        ("prod-2", "PROD-002", "SKU-002", "USB Keyboard", "electronics", 49.99, 25.00, 50, True, 4.2, True),
-        ("prod-3", "PROD-003", "SKU-003", "Monitor Stand", "home_garden", 39.99, 18.00, 25, True, 4.8, True),
+        (9001, "P9001", "LAMP-1", "Desk lamp", "lighting", 34.50, 12.20, 0, False, 3.9, True),
+        (9002, "P9002", "ROPE-7", "Climbing rope", "sport", 119.00, 70.00, 12, True, 4.8, True),
+        (9003, "P9003", "TEA-33", "Green tea", "food", 6.25, 2.00, 400, True, 4.1, False),
     ]
     return spark.createDataFrame(
         rows,
-        "product_id string, product_key string, sku string, name string, category string, unit_price double, "
+        "product_id bigint, product_key string, sku string, name string, category string, unit_price double, "
         "cost_price double, stock_quantity bigint, is_in_stock boolean, avg_rating double, is_active boolean",
     )

@@ -12,26 +12,27 @@ def column(df, name, order=None):
 
 
 def test_trim(spark):
-    df = spark.createDataFrame(
-        [("  John  ", " test@example.com "), ("Jane", "user@test.com"), ("\tBob ", "admin@site.com ")], ["name", "email"]
-    )
-    assert column(cl.trim_strings(df), "name") == ["John", "Jane", "Bob"]
-    assert all(e == e.strip() for e in column(cl.trim_strings(df), "email"))
-    assert column(cl.trim_strings(df, ["email"]), "name")[0] == "  John  "
+    """Tabs and line breaks count as blanks; inner blanks and other columns stay."""
+    df = spark.createDataFrame([(1, "\n a  b\t", " x "), (2, "", "y"), (3, None, "  ")], "i int, note string, code string")
+    assert column(cl.trim_strings(df), "note", "i") == ["a  b", "", None]
+    assert column(cl.trim_strings(df), "code", "i") == ["x", "y", ""]
+    assert column(cl.trim_strings(df, ["code"]), "note", "i") == ["\n a  b\t", "", None]
 
 
 def test_duplicates_keep_first_by_order(spark):
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (1, "a2"), (3, "c")], "id int, value string")
-    assert cl.remove_duplicates(df, ["id"]).count() == 3
-    last = cl.remove_duplicates(df, ["id"], [-F.length("value")])
-    assert {(r.id, r.value) for r in last.collect()} == {(1, "a2"), (2, "b"), (3, "c")}
-    assert cl.remove_duplicates(df.unionByName(df)).count() == 4
+    rows = [("k7", 3, "late"), ("k7", 1, "early"), ("k2", 5, "only"), (None, 9, "u"), (None, 8, "v"), ("k7", 2, "mid")]
+    df = spark.createDataFrame(rows, "k string, seq int, what string")
+    first = {(r.k, r.what) for r in cl.remove_duplicates(df, ["k"], [F.col("seq")]).collect()}
+    assert first == {("k7", "early"), ("k2", "only"), (None, "v")}
+    newest = {(r.k, r.what) for r in cl.remove_duplicates(df, ["k"], [-F.col("seq")]).collect()}
+    assert newest == {("k7", "late"), ("k2", "only"), (None, "u")}
+    assert cl.remove_duplicates(df.unionByName(df).unionByName(df)).count() == 6
 
 
 def test_fill_nulls(spark):
-    df = spark.createDataFrame([(100.0, 1), (None, 2), (200.0, None)], "amount double, count int")
-    out = cl.fill_nulls(df, {"amount": 0.0, "count": 0, "absent": 1})
-    assert column(out, "amount") == [100.0, 0.0, 200.0] and column(out, "count") == [1, 2, 0]
+    df = spark.createDataFrame([(1, None, "a"), (2, 7.5, None), (3, None, None)], "i int, rate double, tag string")
+    out = cl.fill_nulls(df, {"rate": -1.0, "tag": "none", "absent": 1})
+    assert column(out, "rate", "i") == [-1.0, 7.5, -1.0] and column(out, "tag", "i") == ["a", "none", "none"]
 
 
 def test_title_case(spark):
@@ -60,12 +61,17 @@ def test_currency_email_phone(spark):
     assert column(cl.clean_phone(df), "phone") == ["15550109", "", None]
 
 
+def test_amounts_by_shape(spark):
+    texts = ["12", "-0.5", ".5", "5.", "1e3", "1.5d", "2f", "NaN", "Infinity", "-inf", "0x10", "1 2", "", "1.2.3"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, a string")
+    assert column(cl.normalize_currency(df, ["a"]), "a", "i") == [12.0, -0.5, 0.5, 5.0, 1000.0] + [None] * 9
+
+
 def test_clean_orders(orders):
-    doubled = orders.unionByName(orders).unionByName(orders.limit(1).withColumn("order_number", F.lit("ORD-9")).withColumn("total_amount", F.lit(-1.0)))
-    out = cl.clean_orders(doubled)
-    assert {"order_id", "total_amount"} <= set(out.columns)
-    assert sorted(column(out, "order_number")) == ["ORD-001", "ORD-002", "ORD-003"]
-    assert dict(out.dtypes)["order_timestamp"] == "timestamp_ntz"
+    refund = orders.limit(1).withColumn("order_number", F.lit("N-599")).withColumn("total_amount", F.lit(-0.01))
+    out = cl.clean_orders(orders.unionByName(orders).unionByName(refund))
+    assert sorted(column(out, "order_number")) == ["N-501", "N-502", "N-503"]
+    assert set(orders.columns) <= set(out.columns) and dict(out.dtypes)["order_timestamp"] == "timestamp_ntz"
 
 
 @pytest.mark.parametrize("kind", ["orders", "customers", "products", "generic"])
@@ -75,11 +81,13 @@ def test_clean_by_type(kind, orders, customers, products):
 
 
 def test_time_features(orders):
-    out = order_time_features(cl.standardize_dates(orders, ["order_timestamp"])).orderBy("order_id").collect()
-    assert [r.order_day_of_week for r in out] == [3, 3, 1]  # Wednesday, Wednesday, Monday
-    assert [r.customer_order_sequence for r in out] == [1, 2, 1]
-    assert [r.is_first_order for r in out] == [True, False, True]
-    assert [r.order_hour for r in out] == [10, 14, 9] and not any(r.is_weekend_order for r in out)
+    guest = orders.where("customer_id IS NULL").withColumn("order_id", F.lit(504).cast("bigint")).withColumn("order_timestamp", F.lit("2024-03-11 08:00:00"))
+    out = order_time_features(cl.standardize_dates(orders.unionByName(guest), ["order_timestamp"])).orderBy("order_id").collect()
+    assert [r.order_day_of_week for r in out] == [4, 6, 7, 1]  # Thursday, Saturday, Sunday, Monday
+    assert [r.customer_order_sequence for r in out] == [1, 2, 1, 2]  # guests are ranked together
+    assert [r.is_first_order for r in out] == [True, False, True, False]
+    assert [(r.order_hour, r.order_month, r.order_quarter) for r in out] == [(23, 2, 1), (0, 3, 1), (12, 3, 1), (8, 3, 1)]
+    assert [r.is_weekend_order for r in out] == [False, True, True, False]
 
 
 def test_weekend_of_friday(spark):
@@ -90,21 +98,25 @@ def test_weekend_of_friday(spark):
 
 
 def test_outliers(spark):
-    df = spark.createDataFrame([(float(x),) for x in [1, 2, 2, 3, 3, 3, 4, 4, 5, 100]], "v double")
-    flagged = cl.detect_outliers(df, "v")
-    assert column(flagged.where("_is_outlier"), "v") == [100.0]
-    assert max(column(cl.handle_outliers(df, "v", "clip", interpolation="linear"), "v")) == 4.0 + 1.5 * 1.75
-    assert max(column(cl.handle_outliers(df, "v", "clip", lower=0, upper=9), "v")) == 9.0
-    assert cl.handle_outliers(df, "v", "remove").count() == 9
-    assert 100.0 not in column(cl.handle_outliers(df, "v", "replace"), "v")
-    assert -1.0 in column(cl.handle_outliers(df, "v", "replace", replacement_value=-1.0), "v")
-    assert column(cl.detect_outliers(df, "v", "zscore", 2.0).where("_is_outlier"), "v") == [100.0]
+    values = [20.0, 21.0, 21.5, 22.0, 22.0, 23.0, 24.0, -60.0, 95.0]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double")
+    assert sorted(column(cl.detect_outliers(df, "v").where("_is_outlier"), "v")) == [-60.0, 95.0]
+    clipped = column(cl.handle_outliers(df, "v", "clip", interpolation="linear"), "v")
+    assert min(v for v in clipped if v is not None) == 21.0 - 1.5 * 2.0 and max(v for v in clipped if v is not None) == 23.0 + 1.5 * 2.0
+    assert clipped.count(None) == 1
+    assert max(v for v in column(cl.handle_outliers(df, "v", "clip", lower=0, upper=9), "v") if v is not None) == 9.0
+    assert sorted(column(cl.handle_outliers(df.na.drop(), "v", "remove"), "v")) == sorted(values)[1:-1]
+    assert column(cl.handle_outliers(df, "v", "replace"), "v").count(22.0) == 4  # the median, twice
+    assert column(cl.handle_outliers(df, "v", "replace", replacement_value=-1.0), "v").count(-1.0) == 2
+    assert column(cl.detect_outliers(df, "v", "zscore", 2.0).where("_is_outlier"), "v") == [-60.0]
+    empty = df.where("v IS NULL")
+    assert column(cl.handle_outliers(empty, "v", "replace"), "v") == [None]
 
 
 def test_hash_pii(spark):
-    df = spark.createDataFrame([("john@example.com",), ("abcd",), ("",), (None,)], "email string")
+    df = spark.createDataFrame([("ines.prado@post.example",), ("abcd",), ("",), (None,)], "email string")
     out = hash_pii(df, ["email", "absent"], salt="s").collect()
-    assert [r.email_masked for r in out] == ["jo***om", "***", "***", None]
+    assert [r.email_masked for r in out] == ["in***le", "***", "***", None]
     assert [r.email_hash is None for r in out] == [False, False, True, True]
     assert hash_pii(df, ["email"], drop_raw=True).columns == ["email_hash", "email_masked"]
 

@@ -1,5 +1,7 @@
 """Rank search and row-to-row helpers against brute force, skewed keys included."""
 
+from datetime import datetime
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -103,9 +105,21 @@ def test_dense_rank(spark, visits):
     assert (both.r_x == both.r_y).all()
 
 
+def test_null_keys_and_times(spark):
+    """Rows without a key are one group; rows without a time come first."""
+    day, later = datetime(2024, 1, 1), datetime(2024, 1, 2, 6)
+    rows = [(1, None, day), (2, None, later), (3, None, later), (4, "k", None), (5, "k", day), (6, None, None)]
+    df = spark.createDataFrame(rows, "id long, who string, at timestamp_ntz")
+    by = lambda out, c: {r["id"]: r[c] for r in out.collect()}
+    assert by(sq.with_previous(df, ["who"], ["at", "id"], {"b": "id"}, hour_bucket("at")), "b") == {1: 6, 2: 1, 3: 2, 4: None, 5: 4, 6: None}
+    assert by(sq.with_dense_rank(df, ["who"], "at", "r", hour_bucket("at")), "r") == {1: 1, 2: 2, 3: 2, 4: None, 5: 1, 6: None}
+    assert by(sq.with_running_last(df, ["who"], ["at", "id"], "id", "l", hour_bucket("at")), "l") == {i: i for i in range(1, 7)}
+    assert by(sq.with_position(df, ["at", "id"], "n"), "n") == {4: 0, 6: 1, 1: 2, 5: 3, 2: 4, 3: 5}
+
+
 def test_position(spark, visits):
     df = spark.createDataFrame(visits).withColumn("at", F.col("at").cast("timestamp_ntz"))
-    got = sq.with_position(df, ["at", "id"], "n", hour_bucket("at")).toPandas().sort_values("n")
+    got = sq.with_position(df, ["at", "id"], "n").toPandas().sort_values("n")
     want = visits.sort_values(["at", "id"])
     assert list(got.id) == list(want.id) and list(got.n) == list(range(len(visits)))
 

@@ -131,7 +131,7 @@ def test_etl_results(spark, tmp_path, orders, customers, products):
     people = spark.read.parquet(rows["customers"].output_path)
     assert "email" not in people.columns and {"email_hash", "rfm_combined_score", "acquisition_cohort"} <= set(people.columns)
     goods = spark.read.parquet(rows["products"].output_path)
-    assert goods.where("product_id = 'prod-2'").first().margin_percent == pytest.approx((49.99 - 25) / 49.99 * 100)
+    assert goods.where("product_id = 9002").first().margin_percent == pytest.approx(49 / 119 * 100)
     assert etl.etl_summary(out).first().failed == 0
     broken = etl.transform_orders(orders.withColumn("total_amount", F.array("total_amount")), str(tmp_path), datetime(2025, 2, 2)).first()
     assert broken.errors and broken.output_path is None and broken.input_rows == 3
@@ -149,17 +149,18 @@ def test_daily_aggregate(spark, tmp_path, orders):
     path = f"{tmp_path}/daily"
     facts = etl.orders_frame(orders)
     etl.write_daily_aggregate(facts, path)
-    etl.update_daily_aggregate(facts.withColumn("total_amount", F.lit(1.0)), "2025-01-15", path)
-    etl.update_daily_aggregate(facts, "2025-01-16", path)  # no orders: nothing changes
+    etl.update_daily_aggregate(facts.withColumn("total_amount", F.lit(1.0)), "2024-03-09", path)
+    etl.update_daily_aggregate(facts, "2024-03-08", path)  # no orders: nothing changes
     got = {r.date_key: r.total_revenue for r in spark.read.parquet(path).collect()}
-    assert got == {20250101: 150.0, 20250115: 1.0, 20250120: 75.25}
+    assert got == {20240229: 80.0, 20240309: 1.0, 20240310: 0.0}
 
 
 def test_quality_check_of_last_day(orders):
     facts = etl.orders_frame(orders)
-    parts = etl.data_quality_check(facts, datetime(2025, 1, 20, 12), hours=24)
+    parts = etl.data_quality_check(facts, datetime(2024, 3, 11), hours=24)
     assert parts["summary"].first().total_checks == 8
-    assert parts["report"].first().anomalies_found == 0 and parts["alerts"].count() == 0
+    assert parts["report"].first().anomalies_found == 1  # an order of nothing
+    assert [(r.metric_name, r.severity) for r in parts["alerts"].collect()] == [("order_revenue", "high")]
 
 
 def test_curated_partitions(spark, tmp_path, orders):

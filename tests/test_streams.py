@@ -55,8 +55,12 @@ def test_order_state_follows_event_time(messages):
     want = {("a", "cancelled", "captured"), ("b", "delivered", "pending")}
     got = lambda df: {(r.order_number, r.status, r.payment_status) for r in df.collect()}
     assert got(ev.order_rows(events(rows))) == want
-    created, later = [rows[2], rows[5], rows[0]], [rows[1], rows[3], rows[4], rows[6], rows[7]]
-    assert got(ev.apply_order_events(ev.order_rows(events(created)), events(later))) == want
+    for cut in range(1, len(rows)):  # whatever came first, and with two messages sent again
+        facts = ev.apply_order_events(ev.order_facts(events(rows[:cut])), events([*rows[cut:], rows[0], rows[2]]))
+        assert got(ev.order_state(facts)) == want
+    early = ev.order_facts(events([rows[0]]))  # the cancellation waits for its creation
+    assert ev.order_state(early).count() == 0
+    assert got(ev.order_state(ev.apply_order_events(early, events([rows[2]])))) == {("a", "cancelled", "pending")}
 
 
 def run(spark, source, out, handlers, name="ck"):
@@ -67,7 +71,7 @@ def run(spark, source, out, handlers, name="ck"):
 def test_consume_routes_and_ignores_replays(spark, messages, tmp_path):
     source, out = tmp_path / "in", tmp_path / "out"
     handlers = {
-        "order": ev.write_new(f"{out}/orders", ["event_id"]), "click": ev.write_batches(f"{out}/clicks"),
+        "order": ev.write_once(f"{out}/orders", ["event_id"]), "click": ev.write_batches(f"{out}/clicks"),
         "dead_letter": ev.write_batches(f"{out}/dlq"), "counts": ev.write_batches(f"{out}/counts"),
     }
     messages(("orders", order(1)), ("orders", order(1)), ("clicks", click(1)), ("x", "nope")).write.json(str(source))
@@ -81,6 +85,30 @@ def test_consume_routes_and_ignores_replays(spark, messages, tmp_path):
     assert read("counts").where("status = 'success'").agg(F.sum("events")).first()[0] == 6
 
 
+def test_late_events_are_kept_once(spark, tmp_path):
+    """Four batches: an event two hours late, replays of old events, an event without a time."""
+    sink = ev.write_once(f"{tmp_path}/t", ["event_id"])
+    at = lambda h: T0 + timedelta(hours=h)
+    batches = [[("a", at(0)), ("b", at(1))], [("c", at(30))], [("d", at(28)), ("a", at(0)), ("n", None)], [("e", at(-2)), ("c", at(30)), ("n", None)]]
+    for i, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, "event_id string, event_timestamp timestamp")
+        sink(batch, i)
+        sink(batch, i)  # a retry replaces
+    assert sorted(r.event_id for r in spark.read.parquet(f"{tmp_path}/t").collect()) == ["a", "b", "c", "d", "e", "n"]
+    with pytest.raises(ValueError):
+        ev.drop_replayed(spark.readStream.schema("event_id string, event_timestamp timestamp").parquet(f"{tmp_path}/t"))
+
+
+def test_anonymous_visitors(spark):
+    rows = [(1, None, T0), (2, None, T0 + timedelta(minutes=110)), (3, "v", T0 + timedelta(minutes=5)), (4, None, T0 + timedelta(minutes=20)), (5, "v", None)]
+    df = spark.createDataFrame(rows, "page_view_id long, visitor_id string, event_timestamp timestamp_ntz")
+    got = {r.page_view_id: r for r in win.sessionize(df).collect()}
+    assert got[1].session_start == got[4].session_start == T0 and got[2].session_start == T0 + timedelta(minutes=110)
+    assert got[1].session_id.startswith("anonymous-") and got[3].session_id.startswith("v-")
+    windows = {(r.visitor_id, r.pages) for r in win.session_windows(df.where("event_timestamp IS NOT NULL")).collect()}
+    assert windows == {(None, 2), (None, 1), ("v", 1)}
+
+
 def test_batch_rewritten_on_retry(spark, tmp_path):
     write = ev.write_batches(f"{tmp_path}/t")
     df = spark.range(3)
