@@ -30,8 +30,8 @@ from tokenizers import Tokenizer
 from merclake.llm.common import documents, small_batches, text_bytes
 from merclake.llm.registry import query
 
-#: Words whose counts a Python worker remembers.
-REMEMBERED = 600_000
+#: Words, and pieces of words, whose counts a Python worker remembers, and the longest of these.
+REMEMBERED, LONGEST = 500_000, 64
 #: White space that separates words here; all of it is white space to the library.
 SPACE = b"\t\n\x0b\x0c\r "
 #: Characters that this module normalises itself: printable ASCII and precomposed Latin letters. Words with others go
@@ -76,56 +76,78 @@ class WordBpe:
             self.names.append(name)
         self.tails = {data[i:] for data in [*self.inner, *self.final] for i in range(len(data))}
         self.follows: dict[int, bool] = {}
+        self.counted: dict[bytes, int] = {}
 
     def merged(self, data: bytes, ends: bool) -> list[str]:
         """The encoding of a short string by its definition: merge the pair of least rank, the leftmost of equals."""
         parts = [self.symbol_of[b] for b in data]
         if ends:
             parts[-1] += self.mark
-        while len(parts) > 1:
-            rank, i = min((self.ranks.get(pair, len(self.ranks)), i) for i, pair in enumerate(zip(parts, parts[1:])))
-            if rank == len(self.ranks):
-                break
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-        return parts
+        ranks, last = self.ranks.get, len(self.ranks)
+        while True:
+            least, at = last, 0
+            for i in range(len(parts) - 1):
+                rank = ranks((parts[i], parts[i + 1]), last)
+                if rank < least:
+                    least, at = rank, i
+            if least == last:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def may_follow(self, left: int, right: int, data: bytes, ends: bool) -> bool:
-        """Whether ``data``, the joint string of two tokens, encodes to just these two."""
-        key = left << 20 | right
-        known = self.follows.get(key)
-        if known is None:
-            known = self.follows[key] = self.merged(data, ends) == [self.names[left], self.names[right]]
+        """Whether ``data``, the joint string of two tokens, encodes to just these two; remembered by their pair."""
+        known = self.follows[left << 20 | right] = self.merged(data, ends) == [self.names[left], self.names[right]]
         return known
 
     def _last(self, piece: bytes, i: int, tokens: dict[bytes, int], last: list[int], back: list[int], ends: bool) -> tuple[int, int]:
         """The last token of the encoding of piece[:i], and its length."""
-        tails = self.tails
-        for size in range(1, i + 1):
-            tail = piece[i - size : i]
-            if tail not in tails:
+        for at in range(i - 1, -1, -1):
+            tail = piece[at:i]
+            if tail not in self.tails:
                 break
             token = tokens.get(tail)
             if token is not None:
-                at = i - size
-                if not at or self.may_follow(last[at], token, piece[at - back[at] : i], ends):
-                    return token, size
+                if not at:
+                    return token, i
+                known = self.follows.get(last[at] << 20 | token)
+                if known or known is None and self.may_follow(last[at], token, piece[at - back[at] : i], ends):
+                    return token, i - at
         raise ValueError("the vocabulary lacks a byte")
 
     def prefix_counts(self, piece: bytes) -> tuple[list[int], list[int], list[int]]:
         """For every i, the tokens of piece[:i] inside a longer word; and each one's last token and its length."""
         n = len(piece)
         counts, last, back = [0] * (n + 1), [-1] * (n + 1), [0] * (n + 1)
-        inner = self.inner
-        for i in range(1, n + 1):
-            last[i], back[i] = self._last(piece, i, inner, last, back, False)
-            counts[i] = counts[i - back[i]] + 1
+        tails, inner, follows = self.tails, self.inner, self.follows
+        for i in range(1, n + 1):  # as _last, without a call for every prefix
+            for at in range(i - 1, -1, -1):
+                tail = piece[at:i]
+                if tail not in tails:
+                    raise ValueError("the vocabulary lacks a byte")
+                token = inner.get(tail)
+                if token is not None:
+                    if at:
+                        known = follows.get(last[at] << 20 | token)
+                        if known is None:
+                            known = self.may_follow(last[at], token, piece[at - back[at] : i], False)
+                        if not known:
+                            continue
+                    last[i], back[i], counts[i] = token, i - at, counts[at] + 1
+                    break
         return counts, last, back
 
     def piece_count(self, piece: bytes) -> int:
         """Tokens of a whole piece."""
-        counts, last, back = self.prefix_counts(piece[:-1])
-        _, size = self._last(piece, len(piece), self.final, last, back, True)
-        return counts[len(piece) - size] + 1
+        count = self.counted.get(piece)
+        if count is None:
+            if len(self.counted) > REMEMBERED:
+                self.counted.clear()
+            counts, last, back = self.prefix_counts(piece[:-1])
+            _, size = self._last(piece, len(piece), self.final, last, back, True)
+            count = counts[len(piece) - size] + 1
+            if len(piece) <= LONGEST:
+                self.counted[piece] = count
+        return count
 
     def split(self, word: str) -> list[bytes]:
         """The pieces of a word without white space, as bytes."""
@@ -179,7 +201,9 @@ class Counter(dict):
         self.model = model
 
     def __missing__(self, word: bytes) -> int:
-        count = self[word] = self.model.word_count(word.decode())
+        count = self.model.word_count(word.decode())
+        if len(word) <= LONGEST:
+            self[word] = count
         return count
 
     def count(self, text: bytes) -> int:
