@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from merclake.functions.columns import moment
 from merclake.operators import quality
 from merclake.plans import etl, star
+from merclake.plans.q_quality import ORDER_CHECKS, ORDER_FINDINGS, OS, SUMMARY, order_totals
 from merclake.plans.registry import FO, FW, query, total, with_
 from merclake.session import shared_dir
 from merclake.sources import readers, star_load, writers
@@ -364,7 +365,7 @@ def daily_aggregate_replaced(spark, d):
 @query("write_curated", with_(FO) + "SELECT order_id, total_amount, CAST(year(order_timestamp) AS INTEGER) AS year FROM fo")
 def write_curated(spark, d):
     rows = star.fact_orders(spark, d).select("order_id", "total_amount", F.year("order_timestamp").alias("year"))
-    path = writers.write_curated(rows.repartition("year"), shared_dir(spark, "curated"), "orders", AT, ["year"])
+    path = writers.write_curated(rows, shared_dir(spark, "curated"), "orders", AT, ["year"])
     return spark.read.parquet(path)
 
 
@@ -408,17 +409,69 @@ def incremental_etl(spark, d):
     return merged.select("order_number", "customer_id", "total_amount", "status")
 
 
+# the last 24 hours before the reference date, as the daily check sees them
+_RECENT = with_(FO, FW, "rf AS (SELECT * FROM fw WHERE order_timestamp >= TIMESTAMP '2001-08-02' - INTERVAL 24 HOUR)", order_totals("rf"))
+
+
+def _quality(spark, d) -> dict[str, DataFrame]:
+    return etl.data_quality_check(star.fact_orders_wide(spark, d), star.REFERENCE_DATE, hours=24)
+
+
+@query("data_quality_check", _RECENT + ORDER_CHECKS)
+def data_quality_check(spark, d):
+    return _quality(spark, d)["checks"].select("name", "passed", "severity", "failed_rows", "total_rows", "message")
+
+
+@query("data_quality_summary", _RECENT + f", r AS ({ORDER_CHECKS}) {SUMMARY}")
+def data_quality_summary(spark, d):
+    return _quality(spark, d)["summary"]
+
+
+_FOUND = with_(
+    FO, FW, "rf AS (SELECT * FROM fw WHERE order_timestamp >= TIMESTAMP '2001-08-02' - INTERVAL 24 HOUR)",
+    OS.replace("FROM fw", "FROM rf"), ORDER_FINDINGS,
+)
+
+
+@query("data_quality_anomalies", _FOUND + "SELECT metric_name, idx, t AS anomaly_type, severity, value FROM od")
+def data_quality_anomalies(spark, d):
+    return _quality(spark, d)["anomalies"].select("metric_name", "idx", "anomaly_type", "severity", "value")
+
+
 @query(
-    "data_quality_check",
-    with_(FO, FW, "r AS (SELECT * FROM fw WHERE order_timestamp >= TIMESTAMP '2001-08-02' - INTERVAL 60000 HOUR)")
-    + """SELECT 'not_null_order_id' AS name, true AS passed, CAST(0 AS BIGINT) AS failed_rows, count(*) AS total_rows FROM r
- UNION ALL SELECT 'range_item_count', count(*) FILTER (WHERE item_count < 0.0001) = 0, count(*) FILTER (WHERE item_count < 0.0001), count(*) FROM r""",
+    "data_quality_report",
+    _FOUND + """SELECT 2 AS metrics_checked, count(*) AS anomalies_found, count(*) FILTER (WHERE severity IN ('critical', 'high')) AS critical_count,
+ count(*) FILTER (WHERE severity IN ('critical', 'high')) > 0 AS has_critical_anomalies FROM od""",
 )
-def data_quality_check(spark, d):
-    parts = etl.data_quality_check(star.fact_orders_wide(spark, d), star.REFERENCE_DATE, hours=60000)
-    return parts["checks"].where(F.col("name").isin("not_null_order_id", "range_item_count")).select(
-        "name", "passed", "failed_rows", "total_rows"
-    )
+def data_quality_report(spark, d):
+    return _quality(spark, d)["report"]
+
+
+@query(
+    "data_quality_alerts",
+    _FOUND + """SELECT 'anomalies found' AS alert_type, severity, metric_name, t AS anomaly_type, idx FROM od
+ WHERE (SELECT count(*) FROM od WHERE severity IN ('critical', 'high')) > 0
+ ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 ELSE 2 END, metric_name, t, idx NULLS FIRST LIMIT 10""",
+)
+def data_quality_alerts(spark, d):
+    return _quality(spark, d)["alerts"].drop("message")
+
+
+@query(
+    "transform_data",
+    """SELECT 'products' AS transformation, count(*) AS input_rows, count(*) FILTER (WHERE p_partkey % 50 <> 0) AS output_rows,
+ count(*) FILTER (WHERE p_partkey % 50 = 0) AS rows_dropped, '' AS errors FROM part
+UNION ALL SELECT 'customers', count(*), count(*), 0, '' FROM customer
+UNION ALL SELECT 'orders', count(*) + count(*) FILTER (WHERE o_orderkey % 7 = 0), count(*), count(*) FILTER (WHERE o_orderkey % 7 = 0), '' FROM orders""",
+)
+def transform_data(spark, d):
+    """Each kind of data read from stored raw rows and transformed by its name."""
+    root, results = shared_dir(spark, "raw"), []
+    for kind, raw in (("orders", star.raw_orders), ("customers", star.raw_customers), ("products", star.raw_products)):
+        raw(spark, d).write.parquet(f"{root}/{kind}")
+        results.append(etl.transform_data(spark, kind, f"{root}/{kind}", shared_dir(spark, "curated"), AT))
+    out = results[0].unionByName(results[1]).unionByName(results[2])
+    return out.select("transformation", "input_rows", "output_rows", "rows_dropped", "errors")
 
 
 @query(

@@ -201,37 +201,48 @@ def with_location(spark, d):
 
 # --- quality -----------------------------------------------------------------------
 
-def _check_rows(parts: list[str]) -> str:
+def check_rows(parts: list[tuple]) -> str:
+    """SQL of check results: (name, severity, failing rows, rows, reason) of each, over a one-row table t."""
     return " UNION ALL ".join(
-        f"SELECT '{name}' AS name, {failed} = 0 AS passed, '{sev}' AS severity, CAST({failed} AS BIGINT) AS failed_rows, {tot} AS total_rows FROM t"
-        for name, sev, failed, tot in parts
+        f"""SELECT '{name}' AS name, {failed} = 0 AS passed, '{sev}' AS severity, CAST({failed} AS BIGINT) AS failed_rows, {tot} AS total_rows,
+ CASE WHEN {failed} = 0 THEN 'ok' ELSE CAST({failed} AS BIGINT) || ' of ' || {tot} || ' rows: {reason}' END AS message FROM t"""
+        for name, sev, failed, tot, reason in parts
     )
 
 
-_ORDER_CHECKS = _check_rows([
-    ("not_null_order_id", "error", "(a - count_id)", "a"), ("not_null_customer_id", "error", "(a - count_cust)", "a"),
-    ("not_null_order_timestamp", "error", "(a - count_ts)", "a"), ("unique_order_number", "error", "(a - dist)", "a"),
-    ("range_total_amount", "error", "neg", "a"), ("range_item_count", "error", "noitems", "a"),
-    ("range_discount_amount", "error", "negdisc", "a"), ("enum_status", "error", "0", "a"),
+ORDER_CHECKS = check_rows([
+    ("not_null_order_id", "error", "(a - count_id)", "a", "order_id is missing"),
+    ("not_null_customer_id", "error", "(a - count_cust)", "a", "customer_id is missing"),
+    ("not_null_order_timestamp", "error", "(a - count_ts)", "a", "order_timestamp is missing"),
+    ("unique_order_number", "error", "(a - dist)", "a", "order_number repeats another row''s"),
+    ("range_total_amount", "error", "neg", "a", "total_amount lies outside 0 to inf"),
+    ("range_item_count", "error", "noitems", "a", "item_count lies outside 0.0001 to inf"),
+    ("range_discount_amount", "error", "negdisc", "a", "discount_amount lies outside 0 to inf"),
+    ("enum_status", "error", "0", "a", ""),
 ])
-_T = with_(FO, FW, """t AS (SELECT count(*) AS a, count(order_id) AS count_id, count(customer_id) AS count_cust,
+
+
+def order_totals(rel: str) -> str:
+    return f"""t AS (SELECT count(*) AS a, count(order_id) AS count_id, count(customer_id) AS count_cust,
  count(order_timestamp) AS count_ts, count(DISTINCT order_number) AS dist, count(*) FILTER (WHERE total_amount < 0) AS neg,
- count(*) FILTER (WHERE item_count < 0.0001) AS noitems, count(*) FILTER (WHERE discount_amount < 0) AS negdisc FROM fw)""")
+ count(*) FILTER (WHERE item_count < 0.0001) AS noitems, count(*) FILTER (WHERE discount_amount < 0) AS negdisc FROM {rel})"""
+
+
+SUMMARY = """SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks,
+ count(*) FILTER (WHERE NOT passed) AS failed_checks, CAST(0 AS BIGINT) AS warning_count,
+ CASE WHEN bool_and(passed) THEN 'passed' ELSE 'failed' END AS status,
+ count(*) FILTER (WHERE passed) * CAST(100 AS DOUBLE) / count(*) AS success_rate FROM r"""
+_T = with_(FO, FW, order_totals("fw"))
+_SHOWN = ["name", "passed", "severity", "failed_rows", "total_rows", "message"]
 
 
-@query("validate_orders", _T + _ORDER_CHECKS)
+@query("validate_orders", _T + ORDER_CHECKS)
 def validate_orders(spark, d):
     out = quality.orders_suite().run(star.fact_orders_wide(spark, d))
-    return out.select("name", "passed", "severity", "failed_rows", "total_rows")
+    return out.select(*_SHOWN)
 
 
-@query(
-    "validate_orders_summary",
-    _T + f""", r AS ({_ORDER_CHECKS}) SELECT count(*) AS total_checks, count(*) FILTER (WHERE passed) AS passed_checks,
- count(*) FILTER (WHERE NOT passed) AS failed_checks, CAST(0 AS BIGINT) AS warning_count,
- CASE WHEN bool_and(passed) THEN 'passed' ELSE 'failed' END AS status,
- count(*) FILTER (WHERE passed) * CAST(100 AS DOUBLE) / count(*) AS success_rate FROM r""",
-)
+@query("validate_orders_summary", _T + f", r AS ({ORDER_CHECKS}) {SUMMARY}")
 def validate_orders_summary(spark, d):
     return etl.validate_data(star.fact_orders_wide(spark, d), "orders")
 
@@ -240,63 +251,66 @@ def validate_orders_summary(spark, d):
     "validate_customers",
     with_(CC, """t AS (SELECT count(*) AS a, count(*) - count(DISTINCT customer_key) AS dup, count(email) AS e,
  count(*) FILTER (WHERE lifetime_value < 0) AS neg FROM ck)""")
-    + _check_rows([
-        ("not_null_customer_id", "error", "0", "a"), ("unique_customer_key", "error", "dup", "a"),
-        ("pattern_email_hash", "warning", "0", "e"), ("range_lifetime_value", "error", "neg", "a"),
-        ("range_total_orders", "error", "0", "a"),
+    + check_rows([
+        ("not_null_customer_id", "error", "0", "a", ""), ("unique_customer_key", "error", "dup", "a", "customer_key repeats another row''s"),
+        ("pattern_email_hash", "warning", "0", "e", ""), ("range_lifetime_value", "error", "neg", "a", "lifetime_value lies outside 0 to inf"),
+        ("range_total_orders", "error", "0", "a", ""),
     ]),
 )
 def validate_customers(spark, d):
     frame = en.hash_pii(cl.clean_customers(star.raw_customers(spark, d)), ["email"], drop_raw=True)
-    return quality.customers_suite().run(frame).select("name", "passed", "severity", "failed_rows", "total_rows")
+    return quality.customers_suite().run(frame).select(*_SHOWN)
 
 
 @query(
     "validate_products",
     with_("t AS (SELECT count(*) AS a, count(*) FILTER (WHERE p_retailprice < 0.0001) AS free FROM part)")
-    + _check_rows([
-        ("not_null_product_id", "error", "0", "a"), ("not_null_name", "error", "0", "a"), ("unique_sku", "error", "0", "a"),
-        ("range_unit_price", "error", "free", "a"), ("range_stock_quantity", "error", "0", "a"),
+    + check_rows([
+        ("not_null_product_id", "error", "0", "a", ""), ("not_null_name", "error", "0", "a", ""), ("unique_sku", "error", "0", "a", ""),
+        ("range_unit_price", "error", "free", "a", "unit_price lies outside 0.0001 to inf"), ("range_stock_quantity", "error", "0", "a", ""),
     ]),
 )
 def validate_products(spark, d):
-    return quality.products_suite().run(star.dim_products(spark, d)).select(
-        "name", "passed", "severity", "failed_rows", "total_rows"
-    )
+    return quality.products_suite().run(star.dim_products(spark, d)).select(*_SHOWN)
 
 
 @query(
     "validate_custom_checks",
     with_(FO, FW, """t AS (SELECT count(*) AS a, (SELECT count(*) FROM lineitem WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')) AS orph,
  (SELECT count(*) FROM lineitem) AS li, count(*) FILTER (WHERE order_number !~ '^ORD-[0-9]*5') AS nofive FROM fw)""".replace("!~ '^ORD-[0-9]*5'", "NOT SIMILAR TO 'ORD-[0-9]*5[0-9]*'"))
-    + """SELECT 'positive_total' AS name, true AS passed, CAST(0 AS BIGINT) AS failed_rows, a AS total_rows FROM t
- UNION ALL SELECT 'no_such_column', false, 0, 0 FROM t
- UNION ALL SELECT 'not_null_missing_one', false, 0, 0 FROM t
- UNION ALL SELECT 'pattern_order_number', nofive = 0, nofive, a FROM t""",
+    + """SELECT 'positive_total' AS name, true AS passed, CAST(0 AS BIGINT) AS failed_rows, a AS total_rows, 'ok' AS message FROM t
+ UNION ALL SELECT 'too_dear', false, 0, a, 'the dearest order is above 1' FROM t
+ UNION ALL SELECT 'no_such_column', false, 0, 0, 'cannot be computed' FROM t
+ UNION ALL SELECT 'not_null_missing_one', false, 0, 0, 'no column missing_one' FROM t
+ UNION ALL SELECT 'pattern_order_number', nofive = 0, nofive, a, nofive || ' of ' || a || ' rows: order_number does not fit the pattern' FROM t""",
 )
 def validate_custom_checks(spark, d):
     orders = star.fact_orders(spark, d)
     suite = (
         quality.Suite()
         .custom("positive_total", lambda df: F.sum("total_amount") > 0, "total is not positive")
+        .custom("too_dear", lambda df: F.max("total_amount") <= 1, "the dearest order is above 1")
         .custom("no_such_column", lambda df: F.sum("nothing") > 0, "never")
         .not_null("missing_one")
         .pattern("order_number", "5")
     )
-    return suite.run(orders).select("name", "passed", "failed_rows", "total_rows")
+    # of an expression that cannot be built the reason is Spark's own text
+    message = F.regexp_replace("message", "(?s)^(cannot be computed):.*", "$1").alias("message")
+    return suite.run(orders).select("name", "passed", "failed_rows", "total_rows", message)
 
 
 @query(
     "referential_integrity",
     """SELECT 'ref_integrity_l_orderkey' AS name, count(*) FILTER (WHERE o_orderkey IS NULL) = 0 AS passed,
- count(*) FILTER (WHERE o_orderkey IS NULL) AS failed_rows, count(*) AS total_rows
+ count(*) FILTER (WHERE o_orderkey IS NULL) AS failed_rows, count(*) AS total_rows,
+ count(*) FILTER (WHERE o_orderkey IS NULL) || ' of ' || count(*) || ' rows: l_orderkey has no parent row' AS message
  FROM lineitem LEFT JOIN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') ON o_orderkey = l_orderkey""",
 )
 def referential_integrity(spark, d):
     """Lines whose order is not among the finished ones."""
     finished = star.table(spark, d, "orders").where(F.col("o_orderstatus") == "F")
     out = quality.Suite().references("l_orderkey", finished, "o_orderkey").run(star.table(spark, d, "lineitem"))
-    return out.select("name", "passed", "failed_rows", "total_rows")
+    return out.select("name", "passed", "failed_rows", "total_rows", "message")
 
 
 def _profile_sql(col: str, rel: str, numeric: bool) -> str:
@@ -318,7 +332,7 @@ def _profile_sql(col: str, rel: str, numeric: bool) -> str:
 )
 def profile_orders(spark, d):
     wanted = ["order_id", "customer_id", "total_amount", "status", "payment_method"]
-    return rounded(rounded(quality.profile(star.fact_orders(spark, d).select(*wanted)), ["mean"], 6), ["std"], 4)
+    return rounded(rounded(quality.profile(star.fact_orders(spark, d).select(*wanted), exact_distinct=True), ["mean"], 6), ["std"], 4)
 
 
 # --- anomalies ---------------------------------------------------------------------
@@ -335,24 +349,25 @@ def _event_series(spark, d) -> DataFrame:
 
 _BASE = f"""bs AS (SELECT avg(value) AS mean, stddev_pop(value) AS std, {linear('ev', 'value', 0.5)} AS median,
  {linear('ev', 'value', 0.25)} AS q1, {linear('ev', 'value', 0.75)} AS q3 FROM ev)"""
-_ROUND = "metric_name, idx, anomaly_type, severity, value, round(expected_value, 6) AS expected_value, round(deviation, 6) AS deviation, threshold, method"
+_ROUND = "metric_name, idx, anomaly_type, severity, value, round(expected_value, 6) AS expected_value, round(deviation, 6) AS deviation, threshold, method, rule_name"
 _GRADE = lambda x, t: f"CASE WHEN {x} > {t} * 2 THEN 'critical' WHEN {x} > {t} * 1.5 THEN 'high' ELSE 'medium' END"
 ZS = f"""zs AS (SELECT metric_name, idx, CASE WHEN value > mean THEN 'spike' ELSE 'drop' END AS anomaly_type,
  {_GRADE('abs((value - mean) / std)', '2.0')} AS severity, value, mean AS expected_value, abs((value - mean) / std) AS deviation,
- CAST(2 AS DOUBLE) AS threshold, 'z-score' AS method FROM ev, bs WHERE abs((value - mean) / std) > 2.0)"""
+ CAST(2 AS DOUBLE) AS threshold, 'z-score' AS method, CAST(NULL AS VARCHAR) AS rule_name FROM ev, bs WHERE abs((value - mean) / std) > 2.0)"""
 IQ = """iq AS (SELECT metric_name, idx, 'outlier' AS anomaly_type, 'medium' AS severity, value, (q1 + q3) / 2 AS expected_value,
  CASE WHEN value > q3 + 1.5 * (q3 - q1) THEN (value - (q3 + 1.5 * (q3 - q1))) / (q3 - q1) ELSE (q1 - 1.5 * (q3 - q1) - value) / (q3 - q1) END AS deviation,
- CAST(1.5 AS DOUBLE) AS threshold, 'iqr' AS method FROM ev, bs WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1))"""
+ CAST(1.5 AS DOUBLE) AS threshold, 'iqr' AS method, CAST(NULL AS VARCHAR) AS rule_name FROM ev, bs WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1))"""
 PC = f"""pw AS (SELECT *, lag(value) OVER (ORDER BY idx) AS prev FROM ev), px AS (SELECT *, (value - prev) / abs(prev) * 100 AS pct FROM pw WHERE prev <> 0),
 pc AS (SELECT metric_name, idx, CASE WHEN pct > 0 THEN 'spike' ELSE 'drop' END AS anomaly_type, {_GRADE('abs(pct)', '50.0')} AS severity,
- value, prev AS expected_value, pct AS deviation, CAST(50 AS DOUBLE) AS threshold, 'pct_change' AS method FROM px WHERE abs(pct) > 50)"""
+ value, prev AS expected_value, pct AS deviation, CAST(50 AS DOUBLE) AS threshold, 'pct_change' AS method, CAST(NULL AS VARCHAR) AS rule_name FROM px WHERE abs(pct) > 50)"""
 MI = """mi AS (SELECT metric_name, CAST(NULL AS BIGINT) AS idx, 'missing' AS anomaly_type,
  CASE WHEN p > 50 THEN 'critical' WHEN p > 20 THEN 'high' ELSE 'medium' END AS severity, n AS value, CAST(0 AS DOUBLE) AS expected_value,
- p AS deviation, CAST(5 AS DOUBLE) AS threshold, 'missing' AS method FROM (SELECT metric_name, CAST(count(*) - count(value) AS DOUBLE) AS n,
+ p AS deviation, CAST(5 AS DOUBLE) AS threshold, 'missing' AS method, CAST(NULL AS VARCHAR) AS rule_name FROM (SELECT metric_name, CAST(count(*) - count(value) AS DOUBLE) AS n,
  CAST(count(*) - count(value) AS DOUBLE) / count(*) * 100 AS p FROM ev GROUP BY 1) WHERE p > 5)"""
 RU = """ru AS (SELECT metric_name, idx, 'pattern' AS anomaly_type, CASE WHEN value < 1 THEN 'critical' ELSE 'high' END AS severity, value,
- CAST(0 AS DOUBLE) AS expected_value, CAST(0 AS DOUBLE) AS deviation, CAST(0 AS DOUBLE) AS threshold, 'rules' AS method FROM ev WHERE value < 2)"""
-_OUT = ["metric_name", "idx", "anomaly_type", "severity", "value", "expected_value", "deviation", "threshold", "method"]
+ CAST(0 AS DOUBLE) AS expected_value, CAST(0 AS DOUBLE) AS deviation, CAST(0 AS DOUBLE) AS threshold, 'rules' AS method,
+ CASE WHEN value < 1 THEN 'tiny' ELSE 'small' END AS rule_name FROM ev WHERE value < 2)"""
+_OUT = ["metric_name", "idx", "anomaly_type", "severity", "value", "expected_value", "deviation", "threshold", "method", "rule_name"]
 _RULES = [
     anomaly.Rule("tiny", lambda v: v < 1, "Tiny value: {value}", "critical"),
     anomaly.Rule("small", lambda v: v < 2, "Small value", "high"),
@@ -393,11 +408,13 @@ def anomaly_missing(spark, d):
 
 @query(
     "anomaly_rules",
-    with_(EV) + """SELECT metric_name, idx, 'tiny' AS rule_name, 'critical' AS severity, value FROM ev WHERE value < 1
- UNION ALL SELECT metric_name, idx, 'small', 'high', value FROM ev WHERE value < 2""",
+    with_(EV) + """SELECT metric_name, idx, 'tiny' AS rule_name, 'critical' AS severity, value, true AS named FROM ev WHERE value < 1
+ UNION ALL SELECT metric_name, idx, 'small', 'high', value, true FROM ev WHERE value < 2""",
 )
 def anomaly_rules(spark, d):
-    return anomaly.rules(_event_series(spark, d), _RULES).select("metric_name", "idx", "rule_name", "severity", "value")
+    found = anomaly.rules(_event_series(spark, d), _RULES)
+    text = F.when(F.col("rule_name") == "tiny", F.concat(F.lit("Tiny value: "), F.col("value").cast("string"))).otherwise("Small value")
+    return found.select("metric_name", "idx", "rule_name", "severity", "value", (F.col("message") == text).alias("named"))
 
 
 @query(
@@ -437,7 +454,7 @@ def anomaly_report(spark, d):
 
 @query(
     "anomaly_alerts",
-    _ALLM + """SELECT 'Data Anomaly Detected' AS alert_type, severity, metric_name, anomaly_type, idx FROM dt
+    _ALLM + """SELECT 'anomalies found' AS alert_type, severity, metric_name, anomaly_type, idx FROM dt
  ORDER BY CASE severity WHEN 'critical' THEN 0 WHEN 'high' THEN 1 ELSE 2 END, metric_name, anomaly_type, idx NULLS FIRST LIMIT 10""",
 )
 def anomaly_alerts(spark, d):
@@ -446,7 +463,7 @@ def anomaly_alerts(spark, d):
 
 OS = """ev AS (SELECT 'order_revenue' AS metric_name, order_id AS idx, total_amount AS value FROM fw
  UNION ALL SELECT 'items_per_order', order_id, CAST(item_count AS DOUBLE) FROM fw)"""
-_OB = f"""ob AS (SELECT metric_name, avg(value) AS mean, stddev_pop(value) AS std, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
+ORDER_FINDINGS = f"""ob AS (SELECT metric_name, avg(value) AS mean, nullif(stddev_pop(value), 0) AS std, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
  FROM ev GROUP BY 1), ej AS (SELECT * FROM ev JOIN ob USING (metric_name)),
 oz AS (SELECT metric_name, idx, CASE WHEN value > mean THEN 'spike' ELSE 'drop' END AS t, {_GRADE('abs((value - mean) / std)', '3.0')} AS severity, value, 1 AS m
  FROM ej WHERE abs((value - mean) / std) > 3),
@@ -461,7 +478,7 @@ od AS (SELECT * FROM oa QUALIFY row_number() OVER (PARTITION BY metric_name, t,
 
 @query(
     "order_anomalies",
-    with_(FO, FW, OS, _OB) + "SELECT metric_name, idx, t AS anomaly_type, severity, value FROM od",
+    with_(FO, FW, OS, ORDER_FINDINGS) + "SELECT metric_name, idx, t AS anomaly_type, severity, value FROM od",
 )
 def order_anomalies(spark, d):
     # the join with the lines is computed once; the detector reads its input several times
