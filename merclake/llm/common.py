@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from merclake.session import shared_dir
+from merclake.session import store  # noqa: F401  the operators take it from here
 
 #: Rows and bytes of one Arrow batch. Texts differ in length by orders of magnitude, so the bytes count;
 #: a single longer text still is one batch of its own.
@@ -36,18 +36,14 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame that later steps read again to the shared folder and read it back. It outlives lost
-    executors and cuts the lineage."""
-    spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
-    tidy = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # the shuffles of this write serve no other
-    before = spark.conf.get(tidy, "false")
-    spark.conf.set(tidy, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(tidy, before)
-    return spark.read.schema(df.schema).parquet(path)
+def sampled(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """About ``rows`` rows, never more: those with the smallest hash of ``key``, or all if there are fewer. The hash
+    is cut off in the tasks first, so what reaches the driver does not grow with the number of tasks."""
+    order = F.shiftrightunsigned(F.xxhash64(key), 11)  # 53 bits
+    total = df.count()
+    if total > rows:
+        df = df.where(order < int(2**53 * (rows / total)))
+    return df.orderBy(order, *df.columns).limit(rows)
 
 
 def remainder(doc_id: str, modulus: int) -> Column:

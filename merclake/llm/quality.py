@@ -4,8 +4,7 @@ One pass over the texts gives every document's statistics. The labelled ones amo
 monotonic constraints: more symbols, repeated lines or repeated words never make a document better. The trees are
 flattened into node arrays, which score the stored statistics batch by batch.
 
-The trees are fitted on a bounded sample of the labelled rows (``sample``, the rows with the smallest hash of their
-id); every document is scored.
+The trees are fitted on a bounded sample of the labelled rows (``sample``, those with the smallest hash of their id); every document is scored.
 
 Defined results: a null or empty text has no words and fails the base rules. Labels of one id that disagree count
 as bad; null labels don't count. Without labels of both classes the trees keep everything that the base rules keep.
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merclake.llm import trees
-from merclake.llm.common import documents, small_batches, store, text_bytes
+from merclake.llm.common import documents, sampled, small_batches, store, text_bytes
 from merclake.llm.registry import query
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_marks", "n_chars", "n_distinct")
@@ -110,8 +109,8 @@ def train(counted: DataFrame, labels: DataFrame, sample: int = 20_000) -> trees.
     """Trees from the statistics of the labelled documents; ``labels`` has doc_id and quality."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     known = known.groupBy(F.col("doc_id").alias("_id")).agg(F.min("quality").alias("_good"))
-    rows = counted.join(known, F.col("doc_id") == F.col("_id")).select(*COUNTS, "_good", F.xxhash64("doc_id").alias("_order"))
-    rows = rows.orderBy("_order", *COUNTS).limit(sample).collect()
+    rows = store(counted.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", *COUNTS, "_good"), "labelled")
+    rows = sampled(rows, "doc_id", sample).collect()
     counts = {c: np.array([r[c] for r in rows], dtype=np.int64) for c in COUNTS}
     return trees.fit(features(counts), np.array([r["_good"] > 0 for r in rows], dtype=bool), tuple(FEATURES.values()))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from merclake.llm import trees
-from merclake.llm.common import documents, small_batches, store
+from merclake.llm.common import documents, sampled, small_batches, store
 from merclake.llm.registry import query
 
 #: The rules of the query: host with the beginning of a path, and the verdict. Fixed values.
@@ -109,7 +109,7 @@ class Filter:
         ends = known.select("bad", F.explode(F.array_distinct(F.array(F.element_at(labels, -1), two))).alias("ending"))
         ends = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).orderBy(F.desc("n"), "ending").limit(suffixes)
         self.rates = {r["ending"]: (r["bad"] + smooth * self.rate) / (r["n"] + smooth) for r in ends.collect()}
-        rows = known.orderBy(F.xxhash64("url"), "url", "bad").limit(sample).collect()
+        rows = sampled(known, "url", sample).collect()
         table = self.features([(r["url"], r["host"], r["path"]) for r in rows])
         self.forest = trees.fit(table, np.array([r["bad"] for r in rows], dtype=bool))
 
