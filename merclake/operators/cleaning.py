@@ -244,12 +244,19 @@ def fill_numeric(df: DataFrame, value: float = 0) -> DataFrame:
     return df.na.fill(value)
 
 
-def cleaning_stats(raw: DataFrame, cleaned: DataFrame, key: str, filled: dict, parsed: list[str]) -> DataFrame:
-    """One row: rows before and after, NULLs filled, surplus rows per key, values whose text
-    changed when parsed as an amount. Each input is read once."""
+#: The text form of a time that needs no correction.
+PLAIN_TIME = "^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+
+
+def cleaning_stats(
+    raw: DataFrame, cleaned: DataFrame, key: str, filled: dict, parsed: list[str], dates: list[str] | None = None,
+    outlier_flag: str | None = None,
+) -> DataFrame:
+    """One row: rows before and after, NULLs filled, surplus rows per key, values whose text changed when parsed as an
+    amount or a time, and the rows that ``outlier_flag`` of the cleaned frame marks. Each input is read once."""
     changed = [
         F.count_if(F.col(c).cast("string").rlike(CURRENCY_SIGNS + r"|^\s|\s$")) for c in present(raw, parsed)
-    ]
+    ] + [F.count_if(~F.col(c).cast("string").rlike(PLAIN_TIME)) for c in present(raw, dates or [])]
     nulls = [F.count_if(F.col(c).isNull()) for c in present(raw, list(filled))]
     zero = F.lit(0).cast("bigint")
     before = raw.agg(
@@ -258,8 +265,10 @@ def cleaning_stats(raw: DataFrame, cleaned: DataFrame, key: str, filled: dict, p
         (F.count(key) - F.count_distinct(_strip(F.col(key).cast("string")))).alias("duplicates_removed"),
         sum(changed, zero).alias("format_corrections"),
     )
-    after = cleaned.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return before.withColumn("rows_after_cleaning", after)
+    marked = F.count_if(outlier_flag) if outlier_flag else F.lit(0).cast("bigint")
+    after = cleaned.agg(F.count(F.lit(1)).alias("rows_after_cleaning"), marked.alias("outliers_handled"))
+    # one row beside one row
+    return before.withColumn("_one", F.lit(1)).join(after.withColumn("_one", F.lit(1)), "_one").drop("_one")
 
 
 def counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

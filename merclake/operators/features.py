@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from merclake.functions.columns import Instant, as_date, exact_mean, exact_sum, moment, require, whole_days
+from merclake.functions.columns import Instant, as_date, day_bucket, exact_mean, exact_sum, moment, require, whole_days
+from merclake.functions.sequence import with_previous
 from merclake.operators.enrichment import attach_quantiles
 from merclake.session import materialize
 
@@ -187,6 +188,14 @@ def product_behaviour(
     )
 
 
+def stockout_frequency(levels: DataFrame, time_col: str = "snapshot_at", id_col: str = "snapshot_id") -> DataFrame:
+    """``(product_id, stockout_frequency)``: how often the stock of a product ran out, that is fell to zero or below
+    from more, or was empty at the first snapshot. ``levels`` has product_id, stock_quantity, a time and an id."""
+    before = with_previous(levels, ["product_id"], [time_col, id_col], {"_before": "stock_quantity"}, day_bucket(time_col))
+    ran_out = (F.col("stock_quantity") <= 0) & (F.coalesce("_before", F.lit(1)) > 0)
+    return before.groupBy("product_id").agg(F.count_if(ran_out).alias("stockout_frequency"))
+
+
 def demand_features(items: DataFrame, lags: tuple[int, ...] = (1, 7), means: tuple[int, ...] = (7, 30)) -> DataFrame:
     """Units per product and day of sale with the units k days before (0 on a day without a
     sale, NULL before the product's first day) and the mean over the last k calendar days, or

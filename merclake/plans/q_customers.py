@@ -215,6 +215,22 @@ def product_behaviour(spark, d):
     )
 
 
+@query(
+    "stockout_frequency",
+    """WITH l AS (SELECT l_partkey AS product_id, l_shipdate AS shipped, l_orderkey * 8 + l_linenumber AS id, CAST(l_quantity AS BIGINT) % 7 - 2 AS stock FROM lineitem),
+p AS (SELECT *, lag(stock) OVER (PARTITION BY product_id ORDER BY shipped, id) AS before FROM l)
+SELECT product_id, count(*) FILTER (WHERE stock <= 0 AND coalesce(before, 1) > 0) AS stockout_frequency FROM p GROUP BY 1""",
+)
+def stockout_frequency(spark, d):
+    """Stand-in for stock levels: one snapshot per line, with a stock that follows from its quantity."""
+    levels = star.table(spark, d, "lineitem").select(
+        F.col("l_partkey").alias("product_id"), F.col("l_shipdate").alias("snapshot_at"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("snapshot_id"),
+        (F.col("l_quantity").cast("bigint") % 7 - 2).alias("stock_quantity"),
+    )
+    return ft.stockout_frequency(levels)
+
+
 @query(
     "demand_features",
     with_(FO, FI, FIO, """y AS (SELECT product_id, CAST(order_timestamp AS DATE) AS day, sum(quantity) AS units FROM fio GROUP BY 1, 2),

@@ -82,18 +82,6 @@ def cleaning_rules(spark, d):
     return rules.apply(star.raw_products(spark, d), steps)
 
 
-@query(
-    "cleaning_stats",
-    """SELECT count(*) + count(*) FILTER (WHERE o_orderkey % 7 = 0) AS total_rows,
- CAST(sum((CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END)) FILTER (WHERE o_orderkey % 5 <> 0) AS BIGINT) AS nulls_filled,
- count(*) FILTER (WHERE o_orderkey % 7 = 0) AS duplicates_removed,
- CAST(sum((CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END)) AS BIGINT) AS format_corrections, count(*) AS rows_after_cleaning FROM orders""",
-)
-def cleaning_stats(spark, d):
-    raw = star.raw_orders(spark, d)
-    return cl.cleaning_stats(raw, cl.clean_orders(raw), "order_number", {"discount_amount": 0.0}, ["total_amount"])
-
-
 def _fences_sql(quantile) -> str:
     q1, q3 = quantile("fo", "total_amount", 0.25), quantile("fo", "total_amount", 0.75)
     return f"q AS (SELECT {q1} AS q1, {q3} AS q3), b AS (SELECT q1 - CAST(0.5 AS DOUBLE) * (q3 - q1) AS lo, q3 + CAST(0.5 AS DOUBLE) * (q3 - q1) AS hi FROM q)"
@@ -102,6 +90,22 @@ def _fences_sql(quantile) -> str:
 _NARROW = 0.5  # totals are spread evenly, so wider fences would flag nothing
 
 
+@query(
+    "cleaning_stats",
+    with_(FO, _fences_sql(nearest), "k AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS n FROM orders)")
+    + """SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n) FILTER (WHERE o_orderkey % 5 <> 0) AS BIGINT) AS nulls_filled,
+ count(*) FILTER (WHERE n = 2) AS duplicates_removed,
+ CAST(sum(n) + sum(n) FILTER (WHERE o_orderkey % 5 <> 0) AS BIGINT) AS format_corrections, count(*) AS rows_after_cleaning,
+ (SELECT count(*) FROM fo, b WHERE total_amount < lo OR total_amount > hi) AS outliers_handled FROM k""",
+)
+def cleaning_stats(spark, d):
+    raw = star.raw_orders(spark, d)
+    cleaned = cl.detect_outliers(materialize(cl.clean_orders(raw)), "total_amount", "iqr", _NARROW)
+    return cl.cleaning_stats(
+        raw, cleaned, "order_number", {"discount_amount": 0.0}, ["total_amount"], ["order_timestamp"], "_is_outlier"
+    )
+
+
 @query(
     "outliers_iqr",
     with_(FO, _fences_sql(nearest)) + "SELECT order_id, total_amount, total_amount < lo OR total_amount > hi AS _is_outlier FROM fo, b",

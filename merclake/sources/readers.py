@@ -138,10 +138,10 @@ def read_file(spark: SparkSession, spec: FileSpec) -> DataFrame:
 
 
 def read_directory(
-    spark: SparkSession, directory: str, file_format: str, pattern: str = "*", schema: str | T.StructType | None = None,
+    spark: SparkSession, directory: str | list[str], file_format: str, pattern: str = "*", schema: str | T.StructType | None = None,
     null_values: list[str] | None = None, **options,
 ) -> DataFrame:
-    """All files ``pattern.format`` of a directory as one scan, with ``_source_file``. Delimited files honour the same
+    """All files ``pattern.format`` of a directory, or of a list of files, as one scan, with ``_source_file``. Delimited files honour the same
     NULL texts as :func:`read_csv`."""
     if file_format not in READERS:
         raise ValueError(f"unsupported file format: {file_format}")
@@ -166,7 +166,7 @@ def file_row_counts(directory: DataFrame) -> DataFrame:
     return directory.groupBy("_source_file").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def file_fingerprints(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
+def file_fingerprints(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
     """``(path, length, file_hash)`` of every file. The hash is the MD5 of the number of lines and two sums over
     the MD5s of the lines (first and second 32 bits), so it does not depend on a file's name, time or size class, a
     large file is hashed by many tasks, and lines in another order count as the same content."""

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from merclake.functions.columns import moment
 from merclake.functions.sequence import first_per_key
-from merclake.sources.readers import FileSpec, file_fingerprints, read_file
+from merclake.session import materialize
+from merclake.sources.readers import FileSpec, file_fingerprints, read_directory, read_file
 
 # Type names of other tools and the Spark type names they stand for.
 TYPE_NAMES = {
@@ -52,14 +53,16 @@ def parse_date_columns(df: DataFrame, columns: list[str], fmt: str) -> DataFrame
     return df.withColumns({c: F.to_timestamp(F.col(c), fmt) for c in columns if c in df.columns})
 
 
+def dates_fit(df: DataFrame, columns: list[str], fmt: str) -> Column:
+    """Whether every date text of a row parses or is NULL."""
+    fits = [F.col(c).isNull() | F.try_to_timestamp(F.col(c), F.lit(fmt)).isNotNull() for c in columns if c in df.columns]
+    return reduce(lambda a, b: a & b, fits, F.lit(True))
+
+
 def split_bad_dates(df: DataFrame, columns: list[str], fmt: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose dates parse, with the dates; the other rows as they came)."""
-    present = [c for c in columns if c in df.columns]
-    if not present:
-        return df, df.where(F.lit(False))
-    fits = [F.col(c).isNull() | F.try_to_timestamp(F.col(c), F.lit(fmt)).isNotNull() for c in present]
-    good = reduce(lambda a, b: a & b, fits)
-    return parse_date_columns(df.where(good), present, fmt), df.where(~good)
+    good = dates_fit(df, columns, fmt)
+    return parse_date_columns(df.where(good), columns, fmt), df.where(~good)
 
 
 def drop_all_null_rows(df: DataFrame) -> DataFrame:
@@ -191,7 +194,10 @@ def load_batch(
             errors = validate_schema(raw, expected or {})
             if errors:
                 raise ValueError("schema validation failed: " + "; ".join(errors))
-            good, bad = split_bad_dates(drop_all_null_rows(raw), spec.date_columns, spec.datetime_format)
+            # one pass reads, types and judges the rows; good and bad ones are then taken from what it stored
+            staged = materialize(drop_all_null_rows(raw).withColumn("_fits", dates_fit(raw, spec.date_columns, spec.datetime_format)))
+            good = parse_date_columns(staged.where("_fits").drop("_fits"), spec.date_columns, spec.datetime_format)
+            bad = staged.where("NOT _fits").drop("_fits")
             rows = add_load_metadata(good, loaded_at, spec.path)
             fresh = insert_ignore(read_table(spark, target_path, rows.schema), rows, keys)
             wrote, rejected = Observation(f"loaded-{load_id}"), Observation(f"failed-{load_id}")
@@ -212,6 +218,75 @@ def load_batch(
     )
 
 
+def new_files(spark: SparkSession, path: str, history: DataFrame, pattern: str = "*") -> list[str]:
+    """Files of a folder that no completed load names, or that were changed after it. Only the listing is read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
+    listed = files.select(F.col("_metadata.file_path").alias("source_file"), "modificationTime")
+    done = history.where(F.col("status").isin("completed", "partial", "skipped")).groupBy("source_file").agg(
+        F.max("file_time").alias("file_time")
+    )
+    fresh = listed.join(done, "source_file", "left").where(
+        F.col("file_time").isNull() | (F.col("modificationTime").cast("timestamp_ntz") > F.col("file_time"))
+    )
+    return sorted(r["source_file"] for r in fresh.select("source_file").collect())  # names of the files to read
+
+
+FILE_HISTORY = HISTORY + ", file_time timestamp_ntz"
+
+
+def load_directory(
+    spark: SparkSession, spec: FileSpec, target_path: str, history_path: str, dead_letter_path: str,
+    loaded_at: datetime, keys: list[str], expected: dict[str, str] | None = None, pattern: str = "*",
+) -> DataFrame:
+    """Load the new files of a folder and return one result row per file, which is also added to the history.
+
+    Files that the history names and that have not changed since are neither hashed nor read. Of the others, content
+    that was loaded under another name, or that two of them share, is skipped. Rows with an unreadable
+    date go to the dead letters, known keys are skipped; all files are read, typed and judged in one pass."""
+    load_id = uuid.uuid4().hex
+    history = read_table(spark, history_path, FILE_HISTORY)
+    paths = new_files(spark, spec.path, history, pattern)
+    if not paths:
+        return spark.createDataFrame([], FILE_HISTORY)
+    stamp = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("modificationTime").cast("timestamp_ntz").alias("file_time")
+    )
+    prints = materialize(file_fingerprints(spark, paths).join(stamp, "path"))
+    unseen = unseen_files(prints, history).groupBy("file_hash").agg(F.min("path").alias("path"))
+    chosen = sorted(r["path"] for r in unseen.select("path").collect())
+    counts = spark.createDataFrame([], "source_file string, rows_loaded bigint, rows_failed bigint")
+    if chosen:
+        raw = read_directory(spark, chosen, spec.format, schema=spec.schema, null_values=spec.null_values)
+        errors = validate_schema(raw, expected or {})
+        if errors:
+            raise ValueError("schema validation failed: " + "; ".join(errors))
+        kept = raw.na.drop("all", subset=[c for c in raw.columns if c != "_source_file"])
+        staged = materialize(kept.withColumn("_fits", dates_fit(kept, spec.date_columns, spec.datetime_format)))
+        good = parse_date_columns(staged.where("_fits").drop("_fits"), spec.date_columns, spec.datetime_format)
+        rows = good.withColumn("_loaded_at", moment(loaded_at))
+        fresh = materialize(insert_ignore(read_table(spark, target_path, rows.schema), rows, keys))
+        fresh.write.mode("append").parquet(target_path)
+        bad = staged.where("NOT _fits").drop("_fits")
+        write_dead_letter(bad, dead_letter_path, "date does not fit " + spec.datetime_format, loaded_at)
+        per_file = lambda df, name: df.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias(name))
+        counts = per_file(fresh, "rows_loaded").join(per_file(bad, "rows_failed"), "source_file", "full_outer")
+    loaded = F.coalesce("rows_loaded", F.lit(0))
+    failed = F.coalesce("rows_failed", F.lit(0))
+    read = spark.createDataFrame([(p,) for p in chosen], "_read string")
+    result = prints.withColumnRenamed("path", "source_file").join(counts, "source_file", "left").join(
+        read, F.col("source_file") == F.col("_read"), "left"
+    )
+    status = F.when(F.col("_read").isNull(), "skipped").when(failed > 0, "partial").otherwise("completed")
+    result = result.select(
+        F.lit(load_id).alias("load_id"), "source_file", F.lit(target_path.rstrip("/").rsplit("/", 1)[-1]).alias("target_table"),
+        status.alias("status"), loaded.alias("rows_loaded"), failed.alias("rows_failed"), F.lit(None).cast("string").alias("error_message"),
+        "file_hash", moment(loaded_at).alias("started_at"), moment(loaded_at).alias("completed_at"), "file_time",
+    )
+    result = materialize(result)
+    result.write.mode("append").parquet(history_path)
+    return result
+
+
 def apply_scd2(
     current: DataFrame, changes: DataFrame, keys: list[str], tracked: list[str], effective: datetime
 ) -> DataFrame:
