@@ -81,14 +81,15 @@ def forget_shared(spark: SparkSession) -> None:
     _MADE.clear()
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write a frame that later steps read again to the shared folder and read it back. It outlives lost
-    executors, cuts the lineage, and keeps column pruning and statistics."""
+    executors, cuts the lineage, and keeps column pruning and statistics. Steps that read one value of a column
+    each say so by ``partition_by``."""
     spark, path = df.sparkSession, shared_dir(df.sparkSession, name)
     before = spark.conf.get(_TIDY, "false")
     spark.conf.set(_TIDY, "true")  # the shuffles of this write serve nothing else
     try:
-        df.write.parquet(path)
+        (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
     finally:
         spark.conf.set(_TIDY, before)
     return spark.read.schema(df.schema).parquet(path)
