@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 
 from merclake.session import store  # noqa: F401  the operators take it from here
 
-#: Rows and bytes of one Arrow batch. Texts differ in length by orders of magnitude, so the bytes count;
-#: a single longer text still is one batch of its own.
+#: Rows and bytes of one Arrow batch and of one batch of a Parquet scan. Texts differ in length by orders of magnitude,
+#: so the bytes count; a single longer text still is one batch of its own.
 ARROW = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+    "spark.sql.parquet.columnarReaderBatchSize": "512",
 }
 
 
