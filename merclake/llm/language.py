@@ -228,13 +228,12 @@ def judge(texts: list[str], langs, known, ranks, size) -> list[tuple[str, float]
 
 def identify(docs: DataFrame, held_out: Column, size: int = 400, keep: list[str] | None = None) -> DataFrame:
     """Predict each document's language with profiles of ``size`` n-grams, learnt from the rows with a known
-    ``lang`` that are not held out. Returns the columns ``keep`` (doc_id by default), held_out, lang_pred, score."""
-    keep = keep or ["doc_id"]
+    ``lang`` that are not held out. Returns doc_id, or a struct ``row`` of the columns ``keep``; held_out, lang_pred, score."""
     found = profiles(docs, ~held_out, size)
-    rows = docs.select(F.struct(*keep).alias("kept"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
-    kept = rows.schema["kept"].dataType.simpleString()
-    judged = rows.mapInArrow(predictor(found, size), f"kept {kept}, held_out boolean, lang_pred string, score double")
-    return judged.select("kept.*", "held_out", "lang_pred", "score")
+    rows = docs.select(F.struct(*(keep or ["doc_id"])).alias("row"), F.coalesce(held_out, F.lit(False)).alias("held_out"), "text")
+    kind = rows.schema["row"].dataType.simpleString()
+    judged = rows.mapInArrow(predictor(found, size), f"row {kind}, held_out boolean, lang_pred string, score double")
+    return judged.select("row" if keep else "row.doc_id", "held_out", "lang_pred", "score")
 
 
 @query("op5_language_id")

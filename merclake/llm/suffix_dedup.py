@@ -497,9 +497,9 @@ def _cut(plan: Plan):
 
 
 def remove_repeats(docs: DataFrame, length: int = 50, name: int = 16, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (doc_id by default) of every row, with n_bytes, n_removed, spans (the maximal removed
-    runs, in bytes), kept_sha256 (of the remaining bytes) and kept (the remaining text; a character that loses a
-    byte goes whole)."""
+    """For every row its doc_id, or a struct ``row`` of the columns ``keep``; n_bytes, n_removed, spans (the maximal
+    removed runs, in bytes), kept_sha256 (of the remaining bytes) and kept (the remaining text; a character that loses
+    a byte goes whole)."""
     spark = small_batches(docs.sparkSession)
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull())
@@ -525,7 +525,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, name: int = 16, keep: list
     covers = first.union(second).where(F.col("kind") == COVERS).select("place", "kind", none, "data", F.lit(None).cast(kept).alias("rest"))
     schema = f"rest {kept.simpleString()}, n_bytes long, n_removed long, spans array<struct<start:bigint,end:bigint>>, kept_sha256 string, kept string"
     cut = dealt(covers.union(texts)).mapInArrow(_cut(plan), schema)
-    return cut.select("rest.*", "n_bytes", "n_removed", "spans", "kept_sha256", "kept")
+    return cut.select(F.col("rest").alias("row") if keep else "rest.doc_id", "n_bytes", "n_removed", "spans", "kept_sha256", "kept")
 
 
 @query("op8_suffix_dedup")
