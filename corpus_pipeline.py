@@ -29,7 +29,7 @@ LENGTH = 50
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     judged = language.identify(docs, remainder("doc_id", 4) == 2, keep=docs.columns)
-    return judged.where(F.col("lang_pred") != language.UNDETERMINED).select(*docs.columns)
+    return judged.where(F.col("lang_pred") != language.UNDETERMINED).select("row.*")
 
 
 def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,10 +40,12 @@ def first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(docs, LENGTH, keep=docs.columns)
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
-    n_chars = F.when(F.col("n_removed") > 0, F.char_length("kept").cast("long")).otherwise(F.col("n_chars"))
-    left = cut.where((F.col("n_removed") == 0) | (F.col("kept") != ""))
-    return left.withColumns({"text": text, "n_chars": n_chars}).select(*docs.columns)
+    changed = F.col("n_removed") > 0
+    new = {"text": F.col("kept"), "n_chars": F.char_length("kept").cast("long")}
+    left = cut.where(~changed | (F.col("kept") != ""))
+    return left.select(*[
+        F.when(changed, new[c]).otherwise(F.col("row")[c]).alias(c) if c in new else F.col("row")[c].alias(c) for c in docs.columns
+    ])
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
