@@ -14,15 +14,14 @@ from merclake.plans.registry import (
     CF, CHURN, CLV, DC, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SV, mean, query, total, with_,
 )
 
-FIRST, LAST = star.FIRST_DAY, star.LAST_DAY
+FIRST = LAST = None  # open bounds: the reports cover all orders, whatever their dates
 HALF = "1998-04-18"  # the days before it, back to the first order, make an equally long period
 
 
 @query(
     "sales_by_category",
-    with_(FO, FI, DP, f"""cat AS (SELECT category, sum(CAST(round(line_total * 10000) AS BIGINT)) AS minor,
- count(DISTINCT order_id) AS orders FROM fo JOIN fi USING (order_id) JOIN dp USING (product_id)
- WHERE order_timestamp >= TIMESTAMP '{FIRST}' AND order_timestamp < TIMESTAMP '{LAST}' + INTERVAL 1 DAY GROUP BY 1)""")
+    with_(FO, FI, DP, """cat AS (SELECT category, sum(CAST(round(line_total * 10000) AS BIGINT)) AS minor,
+ count(DISTINCT order_id) AS orders FROM fo JOIN fi USING (order_id) JOIN dp USING (product_id) GROUP BY 1)""")
     + """SELECT category, CAST(minor AS DOUBLE) / 10000.0 AS revenue, orders,
  CAST(minor AS DOUBLE) * 100.0 / CAST(sum(minor) OVER () AS DOUBLE) AS percentage FROM cat""",
 )
@@ -444,7 +443,7 @@ def product_performance(spark, d):
  FROM dp LEFT JOIN s USING (product_id)""",
 )
 def inventory_snapshot(spark, d):
-    return aggregates.inventory_snapshot(star.dim_products(spark, d), star.items_with_orders(spark, d), LAST)
+    return aggregates.inventory_snapshot(star.dim_products(spark, d), star.items_with_orders(spark, d), star.LAST_DAY)
 
 
 @query(
