@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from merclake.session import store  # noqa: F401  the operators take it from here
 
+# Arrow's own allocators keep freed memory; a worker that lives through many stages should give it back
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Rows and bytes of one Arrow batch and of one batch of a Parquet scan. Texts differ in length by orders of magnitude,
 #: so the bytes count; a single longer text still is one batch of its own.
 ARROW = {
