@@ -162,6 +162,23 @@ def upsert(spark, d):
     return writers.upsert(stored, batch, ["order_id"], ["status"], "version")
 
 
+@query(
+    "upsert_partitions",
+    with_(FO) + """SELECT order_id, CAST(strftime(order_timestamp, '%Y%m') AS INTEGER) AS month_key,
+ CASE WHEN strftime(order_timestamp, '%Y%m') = '199803' THEN 'closed' ELSE status END AS status, total_amount FROM fo""",
+)
+def upsert_partitions(spark, d):
+    """A table by month without the processing orders of March 1998; the batch closes all orders of that month."""
+    path = shared_dir(spark, "by-month")
+    month = F.date_format("order_timestamp", "yyyyMM").cast("int").alias("month_key")
+    orders = star.fact_orders(spark, d).select("order_id", month, "status", "total_amount")
+    march = F.col("month_key") == 199803
+    orders.where(~march | (F.col("status") != "processing")).write.partitionBy("month_key").parquet(path)
+    batch = orders.where(march).withColumn("status", F.lit("closed"))
+    writers.upsert_partitions(path, batch, ["order_id"], ["status"], "month_key")
+    return spark.read.parquet(path)
+
+
 @query(
     "apply_scd2",
     """WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer)

@@ -115,6 +115,21 @@ def upsert(
     return joined.select(*out)
 
 
+def upsert_partitions(
+    path: str, batch: DataFrame, keys: list[str], update_columns: list[str], partition: str, newest: str | None = None
+) -> int:
+    """Upsert into a stored table that is partitioned by ``partition``, a column that never changes for a key (the day
+    of an order, say). Only partitions that the batch names are read and rewritten; the merged rows are set aside
+    before they replace anything. Returns the number of partitions rewritten."""
+    spark = batch.sparkSession
+    touched = [r[0] for r in batch.select(partition).distinct().collect()]  # partition names, not rows
+    stored = read_table(spark, path, batch.schema)
+    stored = stored.where(F.col(partition).isin([t for t in touched if t is not None]) | F.col(partition).isNull())
+    merged = materialize(upsert(stored.select(*batch.columns), batch, keys, update_columns, newest))
+    replace_partitions(merged, path, [partition])
+    return len(touched)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
     """Replace exactly the partitions that occur in ``df``."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

@@ -172,3 +172,48 @@ def test_curated_partitions(spark, tmp_path, orders):
 
 def test_moment_of_values():
     assert str(moment("2025-01-01")) and str(moment(AT))
+
+
+def test_upsert_touches_only_its_partitions(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    rows = [(i, i % 4, "old") for i in range(40)]
+    spark.createDataFrame(rows, "id long, part int, state string").write.partitionBy("part").parquet(path)
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    batch = spark.createDataFrame([(2, 2, "new"), (2, 2, "new"), (102, 2, "added")], "id long, part int, state string")
+    assert writers.upsert_partitions(path, batch, ["id"], ["state"], "part") == 1
+    got = {r.id: r.state for r in spark.read.parquet(path).collect()}
+    assert got == {**{i: "old" for i in range(40)}, 2: "new", 102: "added"}
+    after = {f: f.stat().st_mtime_ns for f in (tmp_path / "t").rglob("*.parquet")}
+    assert all(after.get(f) == t for f, t in before.items() if "part=2" not in str(f))
+
+
+def test_new_files_only(spark, tmp_path):
+    """A second run reads only the new file; content under another name and files of other columns are noticed."""
+    source, root = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.csv").write_text("id,at\n1,2024-01-01 00:00:00\n2,soon\nN/A,\n")
+    spec = FileSpec(str(source), "csv", schema="id BIGINT, at STRING", date_columns=["at"])
+    load = lambda: writers.load_directory(spark, spec, f"{root}/t", f"{root}/h", f"{root}/d", AT, ["id"], pattern="*.csv")
+    shown = lambda df: sorted((r.source_file.rsplit("/", 1)[1], r.status, r.rows_loaded, r.rows_failed) for r in df.collect())
+    assert shown(load()) == [("a.csv", "partial", 1, 1)]
+    assert load().count() == 0
+    (source / "b.csv").write_text("id,at\n1,2024-02-02 00:00:00\n3,2024-02-03 00:00:00\n")
+    (source / "c.csv").write_text((source / "a.csv").read_text())
+    assert shown(load()) == [("b.csv", "completed", 1, 0), ("c.csv", "skipped", 0, 0)]
+    rows = spark.read.parquet(f"{root}/t").collect()
+    assert sorted(r.id for r in rows) == [1, 3] and {r._source_file.rsplit("/", 1)[1] for r in rows} == {"a.csv", "b.csv"}
+
+
+def test_preamble_files_with_columns_in_another_order(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('top\n"id";"name";"v"\n1;x;2\n')
+    (tmp_path / "b.csv").write_text("top\nv;id;name\n9;7;y\n")
+    spec = FileSpec(f"{tmp_path}/*.csv", "csv", delimiter=";", skip_rows=1, schema="id INT, name STRING, v INT")
+    assert sorted((r.id, r.name, r.v) for r in readers.read_file(spark, spec).collect()) == [(1, "x", 2), (7, "y", 9)]
+    (tmp_path / "c.csv").write_text("top\nid;other\n1;2\n")
+    with pytest.raises(ValueError):
+        readers.read_file(spark, spec)
+
+
+def test_broken_table_is_no_empty_table(spark, tmp_path):
+    assert writers.read_table(spark, f"{tmp_path}/none", "id long").count() == 0
+    assert writers.drop_all_null_rows(spark.createDataFrame([(None, None), (1, None)], "a int, b int")).count() == 1
