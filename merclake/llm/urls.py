@@ -7,8 +7,8 @@ parameters and how often URLs with the same last host label, or host ending of t
 Labels. The trees are trained from labelled URLs, a table (url, bad). Where the corpus has none, ``weak_labels``
 labels a URL bad if a word of its host is on a list of words. The words are no feature, so the trees learn from the
 shape of such URLs and also judge hosts without them. They are fitted on a bounded sample (``sample`` labelled rows of
-the smallest hash); suffix statistics are counted over all labelled rows and then kept for the ``suffixes`` most
-frequent endings, other endings having the overall rate; every URL is judged.
+the smallest hash). Suffix statistics are counted over all labelled rows and stored as a table with a row for each
+ending, which is joined to the URLs; an ending without labelled rows has the overall rate. Every URL is judged.
 
 Defined results: host and path of a null URL, or one without ``://``, are empty; no rule fits it and, as it names no
 page, its verdict is block. Equal rules: the last one given holds. Repeated rows are judged each. Without
@@ -67,26 +67,30 @@ def entropy(text: str) -> float:
     return float(-(p * np.log2(p)).sum())
 
 
-def endings(host: str) -> tuple[str, str]:
-    labels = host.rsplit(".", 2)
-    return labels[-1], ".".join(labels[-2:])
+def endings(host: Column) -> tuple[Column, Column]:
+    """The last label of a host, and its last two."""
+    labels = F.split(host, r"\.")
+    return F.element_at(labels, -1), F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
 
 
-def lexical(url: str, host: str, path: str, rates: dict[str, float], rate: float) -> list[float]:
+def lexical(url: str, host: str, path: str, top_rate: float, ending_rate: float) -> list[float]:
     """The features of one URL, in the order of FEATURES."""
     labels = host.split(".")
     front, _, fragment = url.partition("#")
     params = front.partition("?")[2]
     letters = sum(c.isalpha() for c in host)
-    top, ending = endings(host)
     return [
         len(url), len(host), len(path), path.rstrip("/").count("/"), len(labels), max(map(len, labels)), sum(c.isdigit() for c in url) / max(1, len(url)),
         sum(c.isdigit() for c in host), host.count("-"), path.count("-") + path.count("_"), params.count("=") if params else 0, len(params), len(fragment),
         entropy(url), entropy(host), sum(c in "aeiou" for c in host) / max(1, letters), sum(c.isupper() for c in url) / max(1, len(url)), url.count("%"),
-        rates.get(top, rate), rates.get(ending, rate),
+        top_rate, ending_rate,
     ]
 
 
+def features(rows: list[tuple[str, str, str, float, float]]) -> np.ndarray:
+    return np.array([lexical(*r) for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
+
+
 def weak_labels(urls: DataFrame, words: tuple[str, ...] = BAD_WORDS) -> DataFrame:
     """(url, bad) for every URL with a host: bad if a word of the host is listed."""
     host, _ = parts(F.col("url"))
@@ -97,31 +101,40 @@ def weak_labels(urls: DataFrame, words: tuple[str, ...] = BAD_WORDS) -> DataFram
 class Filter:
     """Trained trees with the rates of host endings."""
 
-    def __init__(self, labelled: DataFrame, sample: int = 20_000, suffixes: int = 10_000, smooth: float = 20.0):
+    def __init__(self, labelled: DataFrame, sample: int = 20_000, smooth: float = 20.0):
         known = labelled.where(F.col("url").isNotNull() & F.col("bad").isNotNull())
         host, path = parts(F.col("url"))
         known = known.select("url", F.col("bad").cast("boolean").cast("int").alias("bad"), host.alias("host"), path.alias("path"))
         known = store(known, "labelled")
         total = known.agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).first()
         self.rate = ((total["bad"] or 0) + 0.5) / (total["n"] + 1.0)
-        labels = F.split("host", r"\.")
-        two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), ".")
-        ends = known.select("bad", F.explode(F.array_distinct(F.array(F.element_at(labels, -1), two))).alias("ending"))
-        ends = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).orderBy(F.desc("n"), "ending").limit(suffixes)
-        self.rates = {r["ending"]: (r["bad"] + smooth * self.rate) / (r["n"] + smooth) for r in ends.collect()}
-        rows = sampled(known, "url", sample).collect()
-        table = self.features([(r["url"], r["host"], r["path"]) for r in rows])
+        ends = known.select("bad", F.explode(F.array_distinct(F.array(*endings(F.col("host"))))).alias("ending"))
+        ends = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
+        self.rates = store(ends.withColumn("rate", (F.col("bad") + F.lit(smooth * self.rate)) / (F.col("n") + F.lit(smooth))), "endings")
+        order = F.shiftrightunsigned(F.xxhash64("url"), 11)
+        rows = self.rated(sampled(known, "url", sample)).orderBy(order, *known.columns).collect()
+        table = features([tuple(r[c] for c in ("url", "host", "path", "top_rate", "ending_rate")) for r in rows])
         self.forest = trees.fit(table, np.array([r["bad"] for r in rows], dtype=bool))
 
-    def features(self, rows: list[tuple[str, str, str]]) -> np.ndarray:
-        return np.array([lexical(*r, self.rates, self.rate) for r in rows], dtype=np.float64).reshape(-1, len(FEATURES))
+    def rated(self, urls: DataFrame) -> DataFrame:
+        """Add ``top_rate`` and ``ending_rate``, the rates of the endings of the column ``host``. A frequent ending is
+        left to Spark's skew join."""
+        top, ending = endings(F.col("host"))
+        tops = self.rates.where(~F.contains("ending", F.lit("."))).select(F.col("ending").alias("_top"), F.col("rate").alias("top_rate"))
+        ends = self.rates.select(F.col("ending").alias("_ending"), F.col("rate").alias("ending_rate"))
+        both = urls.join(tops, top == F.col("_top"), "left").join(ends, ending == F.col("_ending"), "left").drop("_top", "_ending")
+        return both.fillna(self.rate, ["top_rate", "ending_rate"])
 
-    def scores(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _scores(forest: trees.Forest):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("url", "host", "path"))))
-            score = self.forest.probability(self.features([(u or "", h, p) for u, h, p in rows]))
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("url", "host", "path", "top_rate", "ending_rate"))))
+            score = forest.probability(features([(u or "", *more) for u, *more in rows]))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("page_id", "host", "path", "rule")), pa.array(score)], ["page_id", "host", "path", "rule", "score"])
 
+    return run
+
 
 def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: dict[str, str] = RULES, threshold: float = 0.5, **how) -> DataFrame:
     """page_id, host, path, rule, verdict, and score, the trees' probability that the URL is bad. ``how`` goes to Filter."""
@@ -131,7 +144,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: dict[str,
     host, path = parts(F.col("url"))
     split = urls.withColumns({"host": host, "path": path}).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     kind = pages.schema["page_id"].dataType.simpleString()
-    scored = split.mapInArrow(trained.scores, f"page_id {kind}, host string, path string, rule string, score double")
+    scored = trained.rated(split).mapInArrow(_scores(trained.forest), f"page_id {kind}, host string, path string, rule string, score double")
     verdict = F.when(F.col("host") == "", "block").otherwise(F.when(F.col("score") >= threshold, "block").otherwise("allow"))
     for rule, what in rules.items():
         verdict = F.when(F.col("rule") == rule, what).otherwise(verdict)
