@@ -141,6 +141,13 @@ def mix(docs: DataFrame, seed: str = "mix", schedules=SCHEDULES, **how) -> DataF
     )
 
 
+def curriculum(mixed: DataFrame) -> DataFrame:
+    """The mix with one row for each document, range-sorted by the position of its first pass; documents that are never
+    read come last. Repeats of equal columns stand in any order."""
+    first = F.get("passes", F.lit(0))["position"]
+    return mixed.orderBy(first.asc_nulls_last(), "doc_id", "size")
+
+
 def training_order(mixed: DataFrame) -> DataFrame:
     """The mix as it is read: one row for each pass of a document, range-sorted by training position."""
     rows = mixed.select("doc_id", "source", "size", "source_size", "target", "taken", F.explode("passes").alias("p"))
@@ -168,4 +175,6 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 
 @query("op7_mixing", SQL)
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    """The documents in the order of the curriculum: by first position, those never read last. The columns are those of
+    the SQL, so the passes themselves are not among them."""
+    return curriculum(mix(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken")
