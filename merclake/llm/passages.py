@@ -13,10 +13,12 @@ of its tree, those at ``words`` words or more, are the repeats.
   at every depth. Sorted by the words before the anchor, they give the same to the left. Suffixes that share the node
   of depth ``words - j`` and the left node of depth j share the string that starts j words before the anchor: a maximal
   repeat spans what both trees share. The smallest doc_id of the shared node keeps it, the others lose it.
-* *Variable length.* A prefix with more than ``crowd`` suffixes is made longer, up to the whole string, where a group is
-  a single string whose smallest doc_id Spark finds by a combinable minimum; no task has to hold the group.
+* *Variable length.* A prefix with more than ``crowd`` suffixes is made longer, up to all that a suffix carries, where a
+  group is a single text whose smallest doc_id Spark finds by a combinable minimum; no task has to hold the group.
+  Whoever else has that text loses it. What the first document shares with still other texts is found from its strings,
+  again by a minimum per string.
 
-Words are compared by 48 bits of their hash each, strings of a crowded prefix by 128 bits.
+Words are compared by 48 bits of their hash each, texts of a crowded prefix by 128 bits.
 
 Defined results: a null text has no words. A row without doc_id keeps all its words and gives no reason to remove any.
 Rows that repeat a doc_id never remove words from each other; they may have different texts. Strings never span two
@@ -44,8 +46,8 @@ PREFIX = 4
 NAME = 6
 #: Words of one text that are laid out at once, bytes of text looked at together, and suffixes settled together.
 BLOCK, TEXT, ROWS = 1 << 20, 8 << 20, 1 << 15
-#: Odd multipliers of the string hashes. Any odd numbers do.
-BASES = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93], dtype=np.uint64)
+#: Multiplier of the hash of a prefix. Any large odd number does.
+BASE = np.uint64(0x9E3779B97F4A7C15)
 SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -99,11 +101,11 @@ def blocks_of(texts: list[bytes], words: int) -> Iterator[tuple[list[int], list[
         yield owner, first, lists
 
 
-def string_hash(names: np.ndarray, length: int, base: int = 0) -> np.ndarray:
+def string_hash(names: np.ndarray, length: int) -> np.ndarray:
     """A hash of the ``length`` words from every place on; the last places mean nothing."""
     out = np.zeros(len(names), dtype=np.uint64)
     for j in range(length):
-        out *= BASES[base]
+        out *= BASE
         out[: len(names) - j] += names[j:]
     return scramble(out)
 
@@ -168,7 +170,7 @@ _SUFFIX = "prefix long, doc_id long, row long, start long, before int, strings i
 
 
 def _picked(words: int, each: bool):
-    """Of the runs whose anchors were picked, the suffixes with their words, or each string by its hashes."""
+    """Of the runs whose anchors were picked, the suffixes with their words, or digests of all they carry and of each string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Names()
@@ -190,11 +192,13 @@ def _picked(words: int, each: bool):
                 doc = np.array(owner)[runs.owner[kept]]
                 start, count = runs.start[kept], runs.count[kept]
                 if each:
-                    string = np.repeat(start - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(count.sum())
-                    hashes = [string_hash(runs.names, words, b)[string].view(np.int64) for b in (0, 1)]
+                    data = runs.names.tobytes()
+                    digest = lambda a, b: xxhash.xxh128_digest(data[8 * a : 8 * b])
+                    whole = [digest(a, a + n + words - 1) for a, n in zip(start.tolist(), count.tolist())]
+                    strings = [digest(i, i + words) for a, n in zip(start.tolist(), count.tolist()) for i in range(a, a + n)]
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(strings, pa.binary()))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashes[0]), pa.array(hashes[1]), pa.array(np.repeat(ids[doc], count)), pa.array(np.repeat(rows[doc], count)), pa.array(string + np.repeat(base[kept], count))],
-                        ["one", "two", "doc_id", "row", "start"],
+                        [pa.array(whole, pa.binary()), pa.array(ids[doc]), pa.array(rows[doc]), pa.array(start + base[kept]), lists], ["whole", "doc_id", "row", "start", "strings"]
                     )
                     continue
                 data = runs.names.view(np.uint8).reshape(-1, 8)[:, :NAME].tobytes()
@@ -303,7 +307,7 @@ def forget(df: DataFrame) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
-def spans(docs: DataFrame, words: int = 13, crowd: int = 2000) -> DataFrame:
+def spans(docs: DataFrame, words: int = 13, crowd: int = 1000) -> DataFrame:
     """doc_id, row, a, b: words a to b (exclusive, from 0) of a text go. ``row`` is a hash of the text, for rows that
     repeat a doc_id. Spans may overlap."""
     if words < PREFIX:
@@ -311,7 +315,8 @@ def spans(docs: DataFrame, words: int = 13, crowd: int = 2000) -> DataFrame:
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
     anchors = store(texts.mapInArrow(_anchors(words), "prefix long, doc_id long, row long, place long"), "anchors")
     counted = anchors.groupBy("prefix").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-    census = counted.where("lo < hi").select("prefix", (F.col("n") > crowd).alias("crowded"))
+    # stored, so that both sides of a join are plain shuffles and Spark can split a frequent prefix
+    census = store(counted.where("lo < hi").select("prefix", (F.col("n") > crowd).alias("crowded")), "prefixes")
     shared = anchors.join(census.hint("shuffle_hash"), "prefix")
     picks = store(
         shared.groupBy("doc_id", "row").agg(
@@ -325,10 +330,19 @@ def spans(docs: DataFrame, words: int = 13, crowd: int = 2000) -> DataFrame:
 
     suffixes = chosen("picks").mapInArrow(_picked(words, False), _SUFFIX).repartition("prefix").sortWithinPartitions("prefix")
     found = store(suffixes.mapInArrow(_settled(words), "doc_id long, row long, a long, b long"), "spans")
-    strings = store(chosen("crowds").mapInArrow(_picked(words, True), "one long, two long, doc_id long, row long, start long"), "strings")
-    least = strings.groupBy("one", "two").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").drop("most")
-    hot = strings.join(least.hint("shuffle_hash"), ["one", "two"]).where("doc_id > least")
-    return found.unionByName(hot.select("doc_id", "row", F.col("start").alias("a"), (F.col("start") + words).alias("b")))
+    crowded = store(chosen("crowds").mapInArrow(_picked(words, True), "whole binary, doc_id long, row long, start long, strings array<binary>"), "crowded")
+    known = crowded.join(_least(crowded, "whole").hint("shuffle_hash"), "whole")
+    again = known.where("doc_id > least").select("doc_id", "row", F.col("start").alias("a"), (F.col("start") + F.size("strings") + words - 1).alias("b"))
+    first = known.where("doc_id = least").select("doc_id", "row", "start", F.posexplode("strings").alias("at", "string"))
+    first = store(first.select("doc_id", "row", (F.col("start") + F.col("at")).alias("a"), "string"), "strings")
+    least = _least(first, "string").where("least < most")
+    also = first.join(least.hint("shuffle_hash"), "string").where("doc_id > least").select("doc_id", "row", "a", (F.col("a") + words).alias("b"))
+    return found.unionByName(again).unionByName(also)
+
+
+def _least(rows: DataFrame, key: str) -> DataFrame:
+    """The smallest and largest doc_id of every key, set aside."""
+    return store(rows.groupBy(key).agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")), "least")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -364,7 +378,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("kept_columns"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["kept_columns", "n_words", "n_removed", "kept"])
 
 
-def remove_passages(docs: DataFrame, words: int = 13, crowd: int = 2000, keep: list[str] | None = None) -> DataFrame:
+def remove_passages(docs: DataFrame, words: int = 13, crowd: int = 1000, keep: list[str] | None = None) -> DataFrame:
     """The ``keep`` columns (doc_id by default) in a struct ``row``, n_words, n_removed and ``kept``: what is left of the
     text, its words joined by single spaces."""
     spark = small_batches(docs.sparkSession)
