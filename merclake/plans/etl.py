@@ -20,6 +20,9 @@ from merclake.operators.enrichment import (
 )
 from merclake.session import materialize
 from merclake.sources import writers
+from merclake.sources.keyed import Keyed, merge, outgrown, regrow
+from merclake.sources.ledger import Ledger
+from merclake.sources.loads import load_files, load_summary
 from merclake.sources.readers import FileSpec, recent_rows
 
 RESULT = (
@@ -160,25 +163,26 @@ def update_daily_aggregate(orders: DataFrame, day: Instant, path: str) -> DataFr
     return fresh
 
 
+#: Tables of the daily load and their keys.
+STAGED = {"orders": Keyed("staging_orders", ("order_id",)), "customers": Keyed("staging_customers", ("customer_id",))}
+
+
 def daily_batch_etl(
     spark: SparkSession, source_dir: str, warehouse: str, day: Instant, loaded_at: datetime, file_format: str = "csv"
 ) -> DataFrame:
-    """Load the day's order and customer files, then replace the day's aggregate. Returns one
-    load-result row per source. A failed load fails the run after its row was recorded."""
-    loads = []
-    for name, key, dates in (("orders", "order_id", ["order_timestamp"]), ("customers", "customer_id", [])):
+    """Load the order and customer files that have arrived, then replace the day's aggregate. Returns one load-result
+    row per source. Files of earlier days are listed, not read; of the stored orders the day's range is read. A failed
+    file fails the run after all others were loaded and its row was recorded; the next run tries it again."""
+    ledger, loads = Ledger(spark, f"{warehouse}/staging"), []
+    for name, dates in (("orders", ["order_timestamp"]), ("customers", [])):
         spec = FileSpec(f"{source_dir}/{name}", file_format, date_columns=dates)
-        loads.append(
-            writers.load_batch(
-                spark, spec, f"{warehouse}/staging_{name}", f"{warehouse}/load_history",
-                f"{warehouse}/dead_letter/{name}", loaded_at, [key],
-            )
-        )
-    results = loads[0].unionByName(loads[1])
+        files = load_files(ledger, spec, STAGED[name], loaded_at, pattern=f"*.{file_format}")
+        loads.append(load_summary(files, STAGED[name].table))
+    results = materialize(loads[0].unionByName(loads[1]))
     broken = results.where(F.col("status") == "failed").select("source_file", "error_message").take(2)
     if broken:
         raise RuntimeError("; ".join(f"{r.source_file}: {r.error_message}" for r in broken))
-    staged = spark.read.parquet(f"{warehouse}/staging_orders")
+    staged = ledger.read(STAGED["orders"].table)
     orders = staged.withColumn("order_date_key", date_key("order_timestamp"))
     update_daily_aggregate(orders, day, f"{warehouse}/agg_daily_sales")
     return results
@@ -195,6 +199,21 @@ def incremental_etl(target: DataFrame, changed: DataFrame, since, time_col: str
     return writers.upsert(target, rows.select(*target.columns), ["order_number"], update, time_col)
 
 
+def incremental_load(ledger: Ledger, target: Keyed, changed: DataFrame, since, time_col: str = "updated_at") -> list[int]:
+    """As :func:`incremental_etl` on a stored table: only the buckets of changed orders are read and rewritten, also
+    where an order's day changes. Returns these buckets."""
+    state = ledger.state()
+    rows = orders_frame(incremental_rows(changed, since, time_col))
+    if target.table in state.schemas:
+        rows = rows.select(*[c for c in ledger.read(target.table, state=state).columns if c != "bucket"])
+    update = [c for c in rows.columns if c not in target.keys]
+    change, buckets = merge(ledger, state, target, rows, update, time_col)
+    state = ledger.commit(state, change)
+    if outgrown(state, target):
+        regrow(ledger, state, target)
+    return buckets
+
+
 def data_quality_check(orders: DataFrame, reference: Instant, hours: int = 24) -> dict[str, DataFrame]:
     """Checks, summary, anomalies, report and alerts over the orders of the last hours."""
     recent = recent_rows(orders, moment(reference), hours)

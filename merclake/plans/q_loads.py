@@ -10,9 +10,11 @@ from merclake.functions.columns import moment
 from merclake.operators import quality
 from merclake.plans import etl, star
 from merclake.plans.q_quality import ORDER_CHECKS, ORDER_FINDINGS, OS, SUMMARY, order_totals
-from merclake.plans.registry import FO, FW, query, total, with_
+from merclake.plans.registry import FO, FW, SQL, query, total, with_
 from merclake.session import shared_dir
-from merclake.sources import readers, star_load, writers
+from merclake.sources import keyed, loads, readers, star_load, writers
+from merclake.sources.keyed import Keyed
+from merclake.sources.ledger import Ledger
 from merclake.sources.readers import FileSpec
 
 AT = datetime(2001, 8, 2, 12, 0, 0)
@@ -179,6 +181,81 @@ def upsert_partitions(spark, d):
     return spark.read.parquet(path)
 
 
+def _commit(ledger: Ledger, found) -> None:
+    ledger.commit(ledger.state(), found[0])
+
+
+@query("insert_new", with_(FO) + "SELECT order_id, customer_id, status, total_amount, CASE WHEN status = 'pending' THEN 2 ELSE 1 END AS version FROM fo WHERE status <> 'processing'")
+def insert_new(spark, d):
+    """Delivered orders come twice in one batch, then again as another version together with the pending ones."""
+    ledger, spec = Ledger(spark, shared_dir(spark, "ledger")), Keyed("orders", ("order_id",), buckets=8, blocks=256)
+    orders = star.fact_orders(spark, d).select("order_id", "customer_id", "status", "total_amount")
+    delivered, pending = orders.where("status = 'delivered'"), orders.where("status = 'pending'")
+    for version, batch in enumerate((delivered.unionByName(delivered), delivered.unionByName(pending)), start=1):
+        _commit(ledger, keyed.insert_new(ledger, ledger.state(), spec, batch.withColumn("version", F.lit(version))))
+    return ledger.read("orders").drop("bucket")
+
+
+@query("merge_buckets", SQL["upsert"])
+def merge_buckets(spark, d):
+    """The batches of ``upsert``, as merges into a stored table by bucket."""
+    ledger, spec = Ledger(spark, shared_dir(spark, "ledger")), Keyed("orders", ("order_id",), buckets=8, blocks=256)
+    orders = star.fact_orders(spark, d).select("order_id", "customer_id", "status", "total_amount")
+    stored = orders.where(F.col("status") != "processing").withColumn(
+        "total_amount", F.when(F.col("status") == "delivered", F.col("total_amount") + 1).otherwise(F.col("total_amount"))
+    )
+    version = lambda df, status, no: df.withColumn("status", F.lit(status)).withColumn("version", F.lit(no))
+    pending, fresh = orders.where(F.col("status") == "pending"), orders.where(F.col("status") == "processing")
+    _commit(ledger, keyed.merge(ledger, ledger.state(), spec, stored.withColumn("version", F.lit(0)), ["status"], "version"))
+    batch = (
+        version(pending.withColumn("total_amount", F.lit(0.0)), "archived", 2)
+        .unionByName(version(pending, "outdated", 1)).unionByName(version(fresh, "new", 1))
+    )
+    _commit(ledger, keyed.merge(ledger, ledger.state(), spec, batch, ["status", "version"], "version"))
+    return ledger.read("orders").drop("bucket", "version")
+
+
+@query(
+    "load_files",
+    """WITH r AS (SELECT *, o_orderkey % 4 AS part FROM orders)
+SELECT 1 AS run, part, CASE WHEN part = 2 THEN 'failed' ELSE 'partial' END AS status,
+ count(*) FILTER (WHERE o_orderstatus <> 'P' AND part <> 2) AS rows_loaded, count(*) FILTER (WHERE o_orderstatus = 'P' AND part <> 2) AS rows_failed,
+ part = 2 AS has_error FROM r GROUP BY 2
+ UNION ALL SELECT 2, 2, 'partial', count(*) FILTER (WHERE o_orderstatus <> 'P'), count(*) FILTER (WHERE o_orderstatus = 'P'), false FROM r WHERE part = 2""",
+)
+def load_files(spark, d):
+    """A folder with four files, one of which lacks its date; the second run reads the mended file alone."""
+    return _load_files(spark, d)[1]
+
+
+@query(
+    "load_files_rows",
+    """SELECT o_orderkey AS order_id, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS TIMESTAMP) END AS order_timestamp, o_orderstatus = 'P' AS dead FROM orders""",
+)
+def load_files_rows(spark, d):
+    ledger = _load_files(spark, d)[0]
+    rows = ledger.read("orders").select("order_id", F.col("order_timestamp").cast("timestamp_ntz").alias("order_timestamp"), F.lit(False).alias("dead"))
+    dead = ledger.read("orders_dead_letters").select("order_id", F.lit(None).cast("timestamp_ntz").alias("order_timestamp"), F.lit(True).alias("dead"))
+    return rows.unionByName(dead)
+
+
+def _load_files(spark, d):
+    source, ledger = shared_dir(spark, "folder"), Ledger(spark, shared_dir(spark, "ledger"))
+    when = F.when(F.col("o_orderstatus") == "P", "soon").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    rows = star.table(spark, d, "orders").select(F.pmod("o_orderkey", F.lit(4)).alias("part"), F.col("o_orderkey").alias("order_id"), when.alias("order_timestamp"))
+    write = lambda df, n: df.where(F.col("part") == n).drop("part").coalesce(1).write.mode("overwrite").option("header", True).csv(f"{source}/part={n}")
+    for n in range(4):
+        write(rows if n != 2 else rows.drop("order_timestamp"), n)
+    spec = FileSpec(f"{source}/part=*", "csv", schema="order_id BIGINT, order_timestamp STRING", date_columns=["order_timestamp"])
+    run = lambda: loads.load_files(ledger, spec, Keyed("orders", ("order_id",), buckets=8, blocks=256), AT, {"order_timestamp": "str"}, "*.csv")
+    first = run()
+    write(rows, 2)
+    second = run()
+    part = F.regexp_extract("source_file", "part=([0-9]+)/", 1).cast("bigint").alias("part")
+    shown = lambda df, n: df.select(F.lit(n).alias("run"), part, "status", "rows_loaded", "rows_failed", F.col("error_message").isNotNull().alias("has_error"))
+    return ledger, shown(first, 1).unionByName(shown(second, 2))
+
+
 @query(
     "apply_scd2",
     """WITH c AS (SELECT c_custkey, c_mktsegment, c_acctbal FROM customer)
@@ -436,6 +513,12 @@ def run_full_etl(spark, d):
  CASE WHEN status = 'delivered' THEN 'stored' ELSE 'changed' END AS status FROM fo""",
 )
 def incremental_etl(spark, d):
+    stored, changed = _incremental(spark, d)
+    merged = etl.incremental_etl(stored, changed, datetime(2001, 8, 1, 12))
+    return merged.select("order_number", "customer_id", "total_amount", "status")
+
+
+def _incremental(spark, d) -> tuple[DataFrame, DataFrame]:
     """Stored: delivered and pending orders. Since the last run the pending and processing ones
     were changed; the delivered ones carry an older change that must not be applied again."""
     o = star.fact_orders(spark, d).select("order_number", "customer_id", "order_timestamp", "total_amount", "status")
@@ -450,8 +533,17 @@ def incremental_etl(spark, d):
         F.concat(F.lit(" "), "order_number").alias("order_number"), "customer_id", "order_timestamp",
         (F.col("total_amount") + 10).alias("total_amount"), F.lit("changed").alias("status"), at("2001-08-02"),
     )
-    merged = etl.incremental_etl(stored, old.unionByName(new), datetime(2001, 8, 1, 12))
-    return merged.select("order_number", "customer_id", "total_amount", "status")
+    return stored, old.unionByName(new)
+
+
+@query("incremental_load", SQL["incremental_etl"])
+def incremental_load(spark, d):
+    """The changes of ``incremental_etl``, merged into a stored table by bucket."""
+    ledger, spec = Ledger(spark, shared_dir(spark, "ledger")), Keyed("orders", ("order_number",), buckets=8, blocks=256)
+    stored, changed = _incremental(spark, d)
+    etl.incremental_load(ledger, spec, stored, None)
+    etl.incremental_load(ledger, spec, changed, datetime(2001, 8, 1, 12))
+    return ledger.read("orders").select("order_number", "customer_id", "total_amount", "status")
 
 
 # the last 24 hours before the reference date, as the daily check sees them

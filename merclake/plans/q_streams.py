@@ -8,7 +8,9 @@ from merclake.plans import star
 from merclake.plans.registry import PV, SQL, SV, query, total, with_
 from merclake.session import shared_dir
 from merclake.sources.readers import read_event_files
-from merclake.streaming import events as ev, windows as win
+from merclake.sources.keyed import Keyed
+from merclake.sources.ledger import Ledger
+from merclake.streaming import events as ev, state, windows as win
 
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 PARSED = """pe AS (SELECT event_id, CASE WHEN event_type = 'purchase' THEN 'orders' WHEN event_type IN ('view', 'click') THEN 'clickstream' ELSE 'events' END AS topic,
@@ -261,6 +263,40 @@ def stream_order_state(spark, d):
     return state.drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
 
 
+@query("stream_order_facts", SQL["order_events_state"])
+def stream_order_facts(spark, d):
+    """The same messages into a ledger, whose buckets are folded every third batch."""
+    root = shared_dir(spark, "orders")
+    raw = star.raw_order_events(spark, d).select("topic", "value")
+    part = F.pmod(F.xxhash64("value"), F.lit(8))
+    raw.unionByName(raw.where(part == 3)).withColumn("part", part).repartition(8, "part").select("topic", "value").write.parquet(f"{root}/messages")
+    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=2)
+    ledger = Ledger(spark, f"{root}/ledger")
+    ev.consume(messages, {"order": state.keep_order_facts(ledger, buckets=8, fold=2)}, f"{root}/checkpoint", available_now=True).awaitTermination()
+    return state.stored_order_state(ledger).drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
+
+
+_NO_ID = """m AS (SELECT *, '{"event_type":"order_created","event_timestamp":"' || strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '","order_id":"ORD-' || event_id
+ || '","customer_id":"' || user_id || '","total_amount":1.5}' AS msg FROM events WHERE event_type = 'purchase')"""
+
+
+@query(
+    "events_without_id",
+    with_(_NO_ID) + """SELECT 'own-' || md5('orders' || chr(10) || msg) AS event_id, 'ORD-' || event_id AS order_id, CAST(user_id AS VARCHAR) AS customer_id FROM m""",
+)
+def events_without_id(spark, d):
+    """Messages that carry no id, some of them sent twice: none is lost, none stays double."""
+    rows = star.table(spark, d, "events").where("event_type = 'purchase'")
+    value = F.to_json(F.struct(
+        F.lit("order_created").alias("event_type"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_timestamp"),
+        F.concat(F.lit("ORD-"), F.col("event_id").cast("string")).alias("order_id"), F.col("user_id").cast("string").alias("customer_id"),
+        F.lit(1.5).alias("total_amount"),
+    ))
+    raw = rows.select(F.lit("orders").alias("topic"), value.alias("value"))
+    again = raw.where(F.pmod(F.xxhash64("value"), F.lit(4)) == 0)
+    return ev.drop_replayed(ev.of_family(ev.parse_events(raw.unionByName(again)), "order")).select("event_id", "order_id", "customer_id")
+
+
 def _run_append(df: DataFrame, spark, name: str) -> DataFrame:
     """Run a stream to the end of its files and read what it has emitted."""
     root = shared_dir(spark, name)
@@ -303,3 +339,19 @@ def stream_page_views(spark, d):
     return spark.read.parquet(f"{root}/rows").select(
         F.col("event_id").alias("page_view_id"), "event_type", star.date_key("event_timestamp").alias("date_key")
     )
+
+
+@query("stream_new_events", SQL["stream_page_views"])
+def stream_new_events(spark, d):
+    """The same events, told by the index of a keyed table."""
+    root = shared_dir(spark, "views")
+    rows = star.table(spark, d, "events").select(
+        F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("ts").cast("timestamp").alias("event_timestamp")
+    )
+    half = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
+    for part in (half, rows):
+        part.write.mode("append").parquet(f"{root}/in")
+    stream = read_event_files(spark, f"{root}/in", "event_id STRING, event_type STRING, event_timestamp TIMESTAMP", "*.parquet", files_per_trigger=1)
+    ledger, spec = Ledger(spark, f"{root}/ledger"), Keyed("events", ("event_id",), buckets=8, blocks=256)
+    stream.writeStream.foreachBatch(state.keep_new(ledger, spec, "views")).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return ledger.read("events").select(F.col("event_id").alias("page_view_id"), "event_type", star.date_key("event_timestamp").alias("date_key"))

@@ -6,7 +6,7 @@ import csv
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 # Texts that mean NULL in delimited files.
 NULL_TEXTS = ["", "NULL", "null", "None", "NA", "N/A"]
@@ -167,20 +167,35 @@ def file_row_counts(directory: DataFrame) -> DataFrame:
 
 
 def file_fingerprints(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
-    """``(path, length, file_hash)`` of every file. The hash is the MD5 of the number of lines and two sums over
-    the MD5s of the lines (first and second 32 bits), so it does not depend on a file's name, time or size class, a
-    large file is hashed by many tasks, and lines in another order count as the same content."""
+    """``(path, length, file_hash)`` of every file. The hash is the MD5 of the file's length, its number of lines and sums
+    over the MD5s of the lines (four numbers of 24 bits), plain and times the line's number. So it depends on
+    the content and its order, not on a file's name or time, nor on how Spark splits it: a large file is hashed by many
+    tasks, each of which gives one row of sums per block, and a block's lines are moved on by those of earlier blocks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
     listed = files.select(F.col("_metadata.file_path").alias("path"), "length")
     lines = spark.read.option("pathGlobFilter", pattern).option("lineSep", "\n").text(path)
-    digest = F.md5(F.col("value").cast("binary"))
-    part = lambda at: F.sum(F.conv(F.substring("_m", at, 8), 16, 10).cast("bigint"))
-    sums = lines.select(F.col("_metadata.file_path").alias("_p"), digest.alias("_m")).groupBy("_p").agg(
-        F.count(F.lit(1)).alias("_n"), part(1).alias("_a"), part(9).alias("_b")
+    # within a task the ids of lines rise by one
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    read = lines.select(
+        F.col("_metadata.file_path").alias("_p"), F.col("_metadata.file_block_start").alias("_block"), at.alias("_at"),
+        F.md5(F.col("value").cast("binary")).alias("_m"),
     )
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("string")
+    digits = [F.conv(F.substring("_m", 1 + 6 * i, 6), 16, 10).cast("bigint") for i in range(4)]
+    wide = "decimal(38,0)"  # 24 bits times a line number overflow 64 bits when summed
+    blocks = read.groupBy("_p", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"), *[F.sum(d).cast(wide).alias(f"_s{i}") for i, d in enumerate(digits)],
+        *[F.sum((d * F.col("_at")).cast("decimal(28,0)")).cast(wide).alias(f"_w{i}") for i, d in enumerate(digits)],
+    )
+    earlier = W.partitionBy("_p").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    placed = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    moved = (F.col("_before") - F.col("_first")).cast("decimal(18,0)")
+    sums = placed.groupBy("_p").agg(
+        F.sum("_n").alias("_n"), *[F.sum(f"_s{i}").alias(f"_s{i}") for i in range(4)],
+        *[F.sum(F.col(f"_w{i}") + F.col(f"_s{i}").cast("decimal(20,0)") * moved).alias(f"_w{i}") for i in range(4)],
+    )
+    zero = lambda c: F.coalesce(F.col(c).cast(wide), F.lit(0).cast(wide)).cast("string")
     return listed.join(sums, F.col("path") == F.col("_p"), "left").select(
-        "path", "length", F.md5(F.concat_ws("-", zero("_n"), zero("_a"), zero("_b"))).alias("file_hash")
+        "path", "length", F.md5(F.concat_ws("-", F.col("length").cast("string"), zero("_n"), *[zero(f"_{c}{i}") for c in "sw" for i in range(4)])).alias("file_hash"),
     )
 
 
@@ -200,7 +215,7 @@ def read_event_files(spark: SparkSession, path: str, schema: str, pattern: str =
 
 def read_event_topics(spark: SparkSession, servers: str, topics: list[str], starting: str = "earliest",
                       max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Kafka topics as ``(topic, value)`` rows of JSON text. Needs Spark's Kafka connector on
+    """Kafka topics as ``(topic, value, partition, offset)`` rows of JSON text. Needs Spark's Kafka connector on
     the class path; consumed offsets live in the query's checkpoint."""
     reader = (
         spark.readStream.format("kafka")
@@ -210,4 +225,4 @@ def read_event_topics(spark: SparkSession, servers: str, topics: list[str], star
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return reader.load().select("topic", F.col("value").cast("string").alias("value"))
+    return reader.load().select("topic", F.col("value").cast("string").alias("value"), "partition", "offset")

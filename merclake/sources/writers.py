@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -249,55 +250,137 @@ def new_files(spark: SparkSession, path: str, history: DataFrame, pattern: str =
 FILE_HISTORY = HISTORY + ", file_time timestamp_ntz"
 
 
-def load_directory(
-    spark: SparkSession, spec: FileSpec, target_path: str, history_path: str, dead_letter_path: str,
-    loaded_at: datetime, keys: list[str], expected: dict[str, str] | None = None, pattern: str = "*",
-) -> DataFrame:
-    """Load the new files of a folder and return one result row per file, which is also added to the history.
+def _file_groups(spark: SparkSession, spec: FileSpec, paths: list[str]) -> dict[str, list[str]]:
+    """Files that can be read together: delimited ones by their header line (empty files under an empty one)."""
+    if spec.format != "csv":
+        return {spec.format: paths}
+    lines = spark.read.option("encoding", spec.encoding).text(paths).select(
+        "value", F.col("_metadata.file_path").alias("_file"), (F.col("_metadata.file_block_start") == 0).alias("_top"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    first = lines.where("_top").groupBy("_file").agg(F.min_by("value", "_line").alias("header"))
+    found = {r["_file"]: r["header"] for r in first.collect()}  # a line of each new file
+    groups: dict[str, list[str]] = {}
+    for path in paths:
+        groups.setdefault(found.get(path, ""), []).append(path)
+    return groups
+
+
+def stage_files(
+    spark: SparkSession, spec: FileSpec, paths: list[str], expected: dict[str, str] | None = None, required: list[str] | None = None
+) -> tuple[DataFrame | None, dict[str, str]]:
+    """Read, type and judge files: their rows with ``_fits`` (whether the dates parse) and ``_source_file``, set aside,
+    and the files that cannot be loaded with the reason. Good files are read in one pass; where that fails, halves of
+    the list are tried, so a bad file among n costs some log n further attempts and no other file its load."""
+    staged: list[DataFrame] = []
+    failures: dict[str, str] = {}
+
+    def fail(some: list[str], reason: str) -> None:
+        failures.update(dict.fromkeys(some, reason))
+
+    def attempt(some: list[str]) -> None:
+        options = {"sep": spec.delimiter, "encoding": spec.encoding} if spec.format == "csv" else {}
+        try:
+            raw = read_directory(spark, some, spec.format, schema=spec.schema, null_values=spec.null_values, **options)
+            errors = [f"Missing column: {c}" for c in required or [] if c not in raw.columns] + validate_schema(raw, expected or {})
+            if errors and spec.format == "csv":  # the files of a group have one header
+                fail(some, "schema validation failed: " + "; ".join(errors))
+                return
+            if errors:
+                raise ValueError("schema validation failed: " + "; ".join(errors))
+            kept = raw.na.drop("all", subset=[c for c in raw.columns if c != "_source_file"])
+            staged.append(materialize(kept.withColumn("_fits", dates_fit(kept, spec.date_columns, spec.datetime_format))))
+        except Exception as problem:  # the file's result row carries the failure; the next run tries the file again
+            if len(some) == 1:
+                fail(some, str(problem).strip().splitlines()[0])
+            else:
+                attempt(some[: len(some) // 2])
+                attempt(some[len(some) // 2 :])
+
+    for header, some in _file_groups(spark, spec, paths).items():
+        if header:
+            attempt(some)
+        else:
+            fail(some, "the file is empty")
+    union = lambda a, b: a.unionByName(b, allowMissingColumns=True)
+    return (reduce(union, staged) if staged else None), failures
 
-    Files that the history names and that have not changed since are neither hashed nor read. Of the others, content
-    that was loaded under another name, or that two of them share, is skipped. Rows with an unreadable
-    date go to the dead letters, known keys are skipped; all files are read, typed and judged in one pass."""
-    load_id = uuid.uuid4().hex
-    history = read_table(spark, history_path, FILE_HISTORY)
+
+@dataclass
+class Arrived:
+    """New files of a folder: ``prints`` with a row per file, rows that fit and rows that do not, files read and failed."""
+
+    prints: DataFrame
+    good: DataFrame | None
+    bad: DataFrame | None
+    read: list[str]
+    failures: dict[str, str]
+
+
+def arrived_files(
+    spark: SparkSession, spec: FileSpec, history: DataFrame, loaded_at: datetime, keys: list[str],
+    expected: dict[str, str] | None = None, pattern: str = "*",
+) -> Arrived | None:
+    """Read the files that the history does not name; None without any. Content that was loaded under another name, or
+    that two of them share, is read once."""
     paths = new_files(spark, spec.path, history, pattern)
     if not paths:
-        return spark.createDataFrame([], FILE_HISTORY)
+        return None
     stamp = spark.read.format("binaryFile").load(paths).select(
         F.col("_metadata.file_path").alias("path"), F.col("modificationTime").cast("timestamp_ntz").alias("file_time")
     )
     prints = materialize(file_fingerprints(spark, paths).join(stamp, "path"))
     unseen = unseen_files(prints, history).groupBy("file_hash").agg(F.min("path").alias("path"))
     chosen = sorted(r["path"] for r in unseen.select("path").collect())
+    staged, failures = stage_files(spark, spec, chosen, expected, [*keys, *spec.date_columns]) if chosen else (None, {})
+    if staged is None:
+        return Arrived(prints, None, None, chosen, failures)
+    good = parse_date_columns(staged.where("_fits").drop("_fits"), spec.date_columns, spec.datetime_format)
+    return Arrived(prints, good.withColumn("_loaded_at", moment(loaded_at)), staged.where("NOT _fits").drop("_fits"), chosen, failures)
+
+
+def file_results(spark: SparkSession, target: str, arrived: Arrived, fresh: DataFrame | None, loaded_at: datetime) -> DataFrame:
+    """One history row per file, set aside."""
     counts = spark.createDataFrame([], "source_file string, rows_loaded bigint, rows_failed bigint")
-    if chosen:
-        raw = read_directory(spark, chosen, spec.format, schema=spec.schema, null_values=spec.null_values)
-        errors = validate_schema(raw, expected or {})
-        if errors:
-            raise ValueError("schema validation failed: " + "; ".join(errors))
-        kept = raw.na.drop("all", subset=[c for c in raw.columns if c != "_source_file"])
-        staged = materialize(kept.withColumn("_fits", dates_fit(kept, spec.date_columns, spec.datetime_format)))
-        good = parse_date_columns(staged.where("_fits").drop("_fits"), spec.date_columns, spec.datetime_format)
-        rows = good.withColumn("_loaded_at", moment(loaded_at))
-        fresh = materialize(insert_ignore(read_table(spark, target_path, rows.schema), rows, keys))
-        fresh.write.mode("append").parquet(target_path)
-        bad = staged.where("NOT _fits").drop("_fits")
-        write_dead_letter(bad, dead_letter_path, "date does not fit " + spec.datetime_format, loaded_at)
+    if fresh is not None:
         per_file = lambda df, name: df.groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias(name))
-        counts = per_file(fresh, "rows_loaded").join(per_file(bad, "rows_failed"), "source_file", "full_outer")
-    loaded = F.coalesce("rows_loaded", F.lit(0))
-    failed = F.coalesce("rows_failed", F.lit(0))
-    read = spark.createDataFrame([(p,) for p in chosen], "_read string")
-    result = prints.withColumnRenamed("path", "source_file").join(counts, "source_file", "left").join(
-        read, F.col("source_file") == F.col("_read"), "left"
+        counts = per_file(fresh, "rows_loaded").join(per_file(arrived.bad, "rows_failed"), "source_file", "full_outer")
+    loaded, failed = F.coalesce("rows_loaded", F.lit(0)), F.coalesce("rows_failed", F.lit(0))
+    tried = [(p, arrived.failures.get(p)) for p in arrived.read]
+    result = arrived.prints.withColumnRenamed("path", "source_file").join(counts, "source_file", "left").join(
+        spark.createDataFrame(tried, "_read string, _error string"), F.col("source_file") == F.col("_read"), "left"
     )
-    status = F.when(F.col("_read").isNull(), "skipped").when(failed > 0, "partial").otherwise("completed")
-    result = result.select(
-        F.lit(load_id).alias("load_id"), "source_file", F.lit(target_path.rstrip("/").rsplit("/", 1)[-1]).alias("target_table"),
-        status.alias("status"), loaded.alias("rows_loaded"), failed.alias("rows_failed"), F.lit(None).cast("string").alias("error_message"),
-        "file_hash", moment(loaded_at).alias("started_at"), moment(loaded_at).alias("completed_at"), "file_time",
+    status = (
+        F.when(F.col("_read").isNull(), "skipped").when(F.col("_error").isNotNull(), "failed")
+        .when(failed > 0, "partial").otherwise("completed")
     )
-    result = materialize(result)
+    return materialize(result.select(
+        F.lit(uuid.uuid4().hex).alias("load_id"), "source_file", F.lit(target).alias("target_table"), status.alias("status"),
+        loaded.alias("rows_loaded"), failed.alias("rows_failed"), F.col("_error").alias("error_message"),
+        "file_hash", moment(loaded_at).alias("started_at"), moment(loaded_at).alias("completed_at"), "file_time",
+    ))
+
+
+def load_directory(
+    spark: SparkSession, spec: FileSpec, target_path: str, history_path: str, dead_letter_path: str,
+    loaded_at: datetime, keys: list[str], expected: dict[str, str] | None = None, pattern: str = "*",
+) -> DataFrame:
+    """Load the new files of a folder and return one result row per file, which is also added to the history.
+
+    Files that the history names and that have not changed since are neither hashed nor read. Of the others, content
+    that was loaded under another name, or that two of them share, is skipped. Rows with an unreadable
+    date go to the dead letters, known keys are skipped. A file that cannot be read, or lacks a column, fails alone and
+    is tried again by the next run. For loads whose tables change together see :mod:`merclake.sources.loads`."""
+    history = read_table(spark, history_path, FILE_HISTORY)
+    arrived = arrived_files(spark, spec, history, loaded_at, keys, expected, pattern)
+    if arrived is None:
+        return spark.createDataFrame([], FILE_HISTORY)
+    fresh = None
+    if arrived.good is not None:
+        fresh = materialize(insert_ignore(read_table(spark, target_path, arrived.good.schema), arrived.good, keys))
+        fresh.write.mode("append").parquet(target_path)
+        write_dead_letter(arrived.bad, dead_letter_path, "date does not fit " + spec.datetime_format, loaded_at)
+    result = file_results(spark, target_path.rstrip("/").rsplit("/", 1)[-1], arrived, fresh, loaded_at)
     result.write.mode("append").parquet(history_path)
     return result
 

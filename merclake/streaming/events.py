@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from merclake.functions.columns import date_key
+from merclake.functions.columns import date_key, present
 from merclake.sources.writers import insert_ignore, read_table
 
 # Event types per family, schemas and required fields.
@@ -67,10 +67,21 @@ def _fields(family: str) -> list[str]:
     return T._parse_datatype_string(SCHEMAS[family]).fieldNames()
 
 
+#: Columns that say where a message lay in its source, where there are some.
+ORIGIN = ["partition", "offset"]
+
+
+def own_id(raw: DataFrame) -> Column:
+    """An id for a message that comes without one: a digest of its topic, its text and its place in the source. The same
+    message read again gets the same id, so replays stay recognisable; a source without places cannot tell
+    two messages of equal text apart."""
+    return F.concat(F.lit("own-"), F.md5(F.concat_ws("\n", "topic", *[F.col(c).cast("string") for c in present(raw, ORIGIN)], "value")))
+
+
 def parse_events(raw: DataFrame) -> DataFrame:
     """Add ``event_type, family, event`` (a struct over the fields of all families) and
     ``error``. A row with broken JSON, an unknown type, or a missing required field has an
-    error and keeps its text for the dead letters."""
+    error and keeps its text for the dead letters. An event without an id gets one (:func:`own_id`)."""
     every = ", ".join([ENVELOPE, ORDER_FIELDS, ", ".join(
         f for f in CLICK_FIELDS.split(", ") if not f.startswith("customer_id ")
     )])
@@ -83,7 +94,7 @@ def parse_events(raw: DataFrame) -> DataFrame:
         for field in REQUIRED[name]:
             lacking = lacking | ((F.col("family") == name) & F.col(f"_e.{field}").isNull())
     broken = F.col("family").isNull() | lacking
-    defaults = F.col("_e")
+    defaults = F.col("_e").withField("event_id", F.coalesce("_e.event_id", own_id(raw)))
     for field, value in DEFAULTS.items():
         defaults = defaults.withField(field, F.coalesce(F.col(f"_e.{field}"), F.lit(value)))
     return out.withColumn("error", F.when(F.coalesce(broken, F.lit(True)), F.lit(PARSE_ERROR))).withColumn(
@@ -155,9 +166,9 @@ def order_facts(orders: DataFrame) -> DataFrame:
     )
 
 
-def merge_facts(facts: DataFrame) -> DataFrame:
-    """One row per order from facts of several batches."""
-    return facts.groupBy("order_number").agg(
+def merge_facts(facts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """One row per order from facts of several batches. ``by`` names further columns that an order never changes."""
+    return facts.groupBy(*(by or []), "order_number").agg(
         *[F.min_by(c, "created_at").alias(c) for c in _CREATED.values()],
         F.min("created_at").alias("created_at"), F.max_by("status", "status_at").alias("status"), F.max("status_at").alias("status_at"),
         F.max("is_paid").alias("is_paid"), F.max("updated_at").alias("updated_at"),
