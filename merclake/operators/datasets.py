@@ -175,3 +175,30 @@ def co_purchased_with(items: DataFrame, product_ids: list) -> DataFrame:
         .groupBy(F.col("anchor").alias("product_id"), F.col("product_id").alias("other_id"))
         .agg(F.count(F.lit(1)).alias("orders"))
     )
+
+
+def frequent_pairs(items: DataFrame, min_orders: int) -> DataFrame:
+    """``product_a, product_b, orders, confidence, lift`` of the product pairs (a before b) that at least ``min_orders``
+    orders hold together. ``confidence`` is the share of a's orders that hold b, ``lift`` that share against b's share
+    of all orders.
+
+    A pair cannot be more frequent than its products, so lines of rarer products are dropped first, and with them orders
+    of which one product is left; pairs are formed among the rest and counted. The result has at most (lines /
+    min_orders) pairs per product. The join of the rest with itself is one Spark can split for large orders."""
+    lines = items.select("order_id", "product_id").distinct()
+    total = items.select("order_id").distinct().count()
+    counts = materialize(lines.groupBy("product_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_orders))
+    rest = lines.join(counts.select("product_id"), "product_id", "left_semi")
+    several = rest.groupBy("order_id").agg(F.count(F.lit(1)).alias("_of")).where("_of > 1").select("order_id")
+    rest = materialize(rest.join(several, "order_id", "left_semi"))
+    a = rest.withColumnRenamed("product_id", "product_a")
+    b = rest.withColumnRenamed("product_id", "product_b")
+    pairs = a.join(b, "order_id").where(F.col("product_a") < F.col("product_b")).groupBy("product_a", "product_b").agg(
+        F.count(F.lit(1)).alias("orders")
+    ).where(F.col("orders") >= min_orders)
+    of = lambda side: counts.select(F.col("product_id").alias(f"product_{side}"), F.col("n").alias(f"_n{side}"))
+    confidence = F.col("orders") / F.col("_na")
+    return pairs.join(of("a"), "product_a").join(of("b"), "product_b").select(
+        "product_a", "product_b", "orders", confidence.alias("confidence"),
+        (F.col("orders").cast("double") * total / (F.col("_na").cast("double") * F.col("_nb"))).alias("lift"),
+    )

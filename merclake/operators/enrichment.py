@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.functions.columns import (
-    Instant, cohort_label, day_bucket, exact_mean, exact_sum, hour_bucket, moment, seconds_between, whole_days,
+    Instant, cohort_label, day_bucket, exact_mean, exact_sum, moment, seconds_between, whole_days,
 )
 from merclake.functions.ranks import cuts
 from merclake.functions.sequence import beside, with_dense_rank, with_previous
@@ -160,8 +160,9 @@ def first_order_flag(orders: DataFrame, date_col: str = "order_timestamp") -> Da
 
 def days_since_previous_order(orders: DataFrame, date_col: str = "order_timestamp", id_col: str = "order_id") -> DataFrame:
     """Whole days since the customer's preceding order; NULL on the first. Orders without a customer
-    follow each other like those of one customer."""
-    out = with_previous(orders, ["customer_id"], [date_col, id_col], {"_before": date_col}, hour_bucket(date_col))
+    follow each other like those of one customer, spread over ranges of equal size."""
+    rows = ranged(orders, ["customer_id", date_col, id_col])
+    out = with_previous(rows, ["customer_id"], [date_col, id_col], {"_before": date_col}, F.col("_range")).drop("_range")
     return out.withColumn("days_since_previous_order", whole_days(F.col("_before"), F.col(date_col))).drop("_before")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.functions.columns import exact_sum, hour_bucket, seconds_between
-from merclake.functions.sequence import with_run_start, with_running_last
+from merclake.functions.sequence import ranged, with_run_start, with_running_last
 
 
 def windowed_sales(
@@ -36,7 +36,7 @@ def session_windows(
     session starts after more than ``gap_minutes`` without a page.
 
     A stream uses Spark's session window. A batch folds equal times first and then finds the
-    session starts hour by hour, so that a visitor with most of the rows fills no single task."""
+    session starts range by range, so that a visitor with most of the rows fills no single task."""
     if events.isStreaming:
         stamped = events.withColumn(time_col, F.col(time_col).cast("timestamp")).withWatermark(time_col, lateness)
         grouped = stamped.groupBy(visitor_col, F.session_window(time_col, f"{gap_minutes} minutes").alias("w")).agg(
@@ -61,9 +61,11 @@ def session_windows(
 def _with_session_start(
     events: DataFrame, visitor_col: str, time_col: str, order: list[str], gap_minutes: int
 ) -> DataFrame:
-    """``order`` is unique per visitor and begins with the time."""
+    """``order`` is unique per visitor and begins with the time. The rows are stored in ranges of equal size, so a
+    visitor with most of them, or most of an hour, fills no single task."""
     gap = F.expr(f"INTERVAL {gap_minutes} MINUTES")
-    return with_run_start(events, [visitor_col], order, time_col, gap, "session_start", hour_bucket(time_col))
+    rows = ranged(events, [visitor_col, *order])
+    return with_run_start(rows, [visitor_col], order, time_col, gap, "session_start", F.col("_range")).drop("_range")
 
 
 def sessionize(
@@ -73,7 +75,7 @@ def sessionize(
     """Rows with ``session_id`` (visitor and start time in microseconds) and ``session_start``. Rows without a
     visitor are taken as one visitor, whose sessions are named ``anonymous``.
 
-    A visitor with most of the rows is spread over hours; see ``functions.sequence``."""
+    A visitor with most of the rows is spread over ranges; see ``functions.sequence``."""
     out = _with_session_start(events, visitor_col, time_col, [time_col, id_col], gap_minutes)
     micros = F.unix_micros(F.col("session_start").cast("timestamp")).cast("string")
     return out.withColumn("session_id", F.concat_ws("-", F.coalesce(F.col(visitor_col).cast("string"), F.lit("anonymous")), micros))
@@ -126,23 +128,42 @@ def last_touch(
     """Orders with the source of the unit's last touch before the order (``attributed_source``,
     NULL without one). A touch at the very time of the order counts as before it.
 
-    An as-of join without a join: both sides are laid in one sequence per unit and the last
-    source is carried along, spread over hours for busy units."""
+    Orders without a unit share the touches without one. See :func:`as_of`, which spreads busy units."""
     src = F.col(source) if isinstance(source, str) else source
-    left = orders.select(
-        F.col(unit_col).alias("_u"), F.col(order_time).alias("_at"), F.lit(1).alias("_kind"),
-        F.col(id_col).cast("string").alias("_id"), F.lit(None).cast("string").alias("_src"),
-        F.struct(*orders.columns).alias("_row"),
+    dated = touches.where(src.isNotNull()).select(F.col(unit_col).alias("_u"), F.col(touch_time).alias("_t"), src.cast("string").alias("attributed_source"))
+    return as_of(orders, dated, {unit_col: "_u"}, order_time, "_t", id_col, match_null=True)
+
+
+def as_of(
+    facts: DataFrame, versions: DataFrame, keys: dict[str, str], fact_time: str, version_time: str, id_col: str, until: str | None = None,
+    match_null: bool = False,
+) -> DataFrame:
+    """Facts with the columns of the version of their key (``{fact column: version column}``) that held at their time:
+    the last one that began then or before, of equal times the largest. NULL where none had begun, or where it had
+    ended (``until``, exclusive). Columns of the versions that are neither key nor time are added. A NULL key has no
+    version, unless ``match_null``.
+
+    An as-of join without a join: both sides are laid in one sequence per key and the last version is carried
+    along. The sequence is stored in ranges of equal size, so a key with most of the facts fills no single task."""
+    added = [c for c in versions.columns if c not in (*keys.values(), version_time, until)]
+    held = F.struct(*added, *([F.col(until).alias("_until")] if until else []))
+    names = [f"_k{i}" for i in range(len(keys))]
+    kind = versions.select(held.alias("v")).schema["v"].dataType
+    left = facts.select(
+        *[F.col(k).alias(n) for k, n in zip(keys, names)], F.col(fact_time).alias("_at"), F.lit(1).alias("_kind"),
+        F.col(id_col).cast("string").alias("_id"), F.lit(None).cast(kind).alias("_v"), F.struct(*facts.columns).alias("_row"),
     )
-    right = touches.where(src.isNotNull()).select(
-        F.col(unit_col).alias("_u"), F.col(touch_time).alias("_at"), F.lit(0).alias("_kind"),
-        src.cast("string").alias("_id"), src.cast("string").alias("_src"),
+    right = versions.select(
+        *[F.col(k).alias(n) for k, n in zip(keys.values(), names)], F.col(version_time).alias("_at"), F.lit(0).alias("_kind"),
+        (F.col(added[0]).cast("string") if len(added) == 1 and until is None else F.to_json(held)).alias("_id"), held.alias("_v"),
         F.lit(None).cast(left.schema["_row"].dataType).alias("_row"),
     )
-    line = with_running_last(
-        left.unionByName(right), ["_u"], ["_at", "_kind", "_id"], "_src", "attributed_source", hour_bucket("_at")
-    )
-    return line.where(F.col("_kind") == 1).select("_row.*", "attributed_source")
+    if not match_null:
+        right = right.where(" and ".join(f"{n} is not null" for n in names))
+    line = ranged(left.unionByName(right), [*names, "_at", "_kind", "_id"])
+    carried = with_running_last(line, names, ["_at", "_kind", "_id"], "_v", "_held", F.col("_range")).where(F.col("_kind") == 1)
+    live = F.lit(True) if until is None else F.coalesce(F.col("_held._until") > F.col("_at"), F.lit(True))
+    return carried.select("_row.*", *[F.when(live, F.col(f"_held.{c}")).alias(c) for c in added])
 
 
 def attribution_report(attributed: DataFrame, amount_col: str = "total_amount") -> DataFrame:
