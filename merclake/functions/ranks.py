@@ -151,6 +151,20 @@ def cuts(df: DataFrame, probs: dict[str, list[float]], interpolation: str = "nea
     return {c: [rows[c][every.index(p)] if c in rows else None for p in ps] for c, ps in probs.items()}
 
 
+def cuts_of_each(frames: dict[str, DataFrame], probs: dict[str, list[float]], interpolation: str = "nearest") -> dict[str, dict[str, list[float | None]]]:
+    """:func:`cuts` of several frames with the same columns, found in one search."""
+    apart = lambda frame: [F.col(c).cast("double").alias(f"{frame}/{c}") for c in probs]
+    parts = [
+        df.select(*[col for name in frames for col in (apart(name) if name == own else [F.lit(None).cast("double").alias(f"{name}/{c}") for c in probs])])
+        for own, df in frames.items()
+    ]
+    rows = parts[0]
+    for more in parts[1:]:
+        rows = rows.unionByName(more)
+    found = cuts(rows, {f"{name}/{c}": ps for name in frames for c, ps in probs.items()}, interpolation)
+    return {name: {c: found[f"{name}/{c}"] for c in probs} for name in frames}
+
+
 def smallest_share(
     df: DataFrame, value: str, share: float, by: list[str], few_groups: bool = False
 ) -> DataFrame:

@@ -7,9 +7,9 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from merclake.functions.columns import Instant, exact_sum, within_days
-from merclake.functions.ranks import smallest_share
+from merclake.functions.ranks import cuts_of_each, smallest_share
 from merclake.functions.sequence import with_dense_index
-from merclake.operators.features import churn_features, clv_features, customer_features
+from merclake.operators.features import CHURN_QUANTILES, churn_features, clv_features, customer_features
 from merclake.session import materialize
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
@@ -61,17 +61,17 @@ def churn_dataset(
     """``customer_id, split, y, features...``: stratified train and val rows from the training
     days, test rows from the test days."""
 
-    def labelled(days: tuple[Instant, Instant]) -> DataFrame:
-        window = orders.where(within_days("order_timestamp", *days))
-        # one row per customer, read by both rank searches and the result
-        return churn_features(materialize(customer_features(window, reference_date)))
-
-    rows = labelled(train)
+    periods = {"train": train, **({"test": test} if test else {})}
+    # one row per customer and period, read by the rank searches and the result
+    features = {p: materialize(customer_features(orders.where(within_days("order_timestamp", *days)), reference_date)) for p, days in periods.items()}
+    found = cuts_of_each(features, CHURN_QUANTILES)
+    labelled = {p: churn_features(features[p], found=found[p]) for p in periods}
+    rows = labelled["train"]
     names = [c for c in select_features(rows, include, exclude) if c != "is_churned"]
     shaped = lambda df: df.select("customer_id", F.col("is_churned").cast("int").alias("y"), *names)
     out = train_val_split(shaped(rows), "customer_id", validation, seed, "y", few_labels=True)
     if test:
-        out = out.unionByName(shaped(labelled(test)).withColumn("split", F.lit("test")))
+        out = out.unionByName(shaped(labelled["test"]).withColumn("split", F.lit("test")))
     return out
 
 

@@ -12,10 +12,12 @@ from merclake.functions.sequence import beside, with_dense_rank, with_previous
 from merclake.session import materialize
 
 
-def attach_quantiles(df: DataFrame, probs: dict[str, list[float]], interpolation: str, name: str = "_q") -> DataFrame:
+def attach_quantiles(
+    df: DataFrame, probs: dict[str, list[float]], interpolation: str, name: str = "_q", found: dict[str, list[float | None]] | None = None
+) -> DataFrame:
     """Add a struct column with one array of quantiles per column of ``probs``, as literals: the quantiles are
     computed first, so that nothing of their search is repeated in the plan of the result."""
-    found = cuts(df, probs, interpolation)
+    found = cuts(df, probs, interpolation) if found is None else found
     arrays = [F.array(*[F.lit(v).cast("double") for v in values]).alias(c) for c, values in found.items()]
     return df.withColumn(name, F.struct(*arrays))
 

@@ -67,10 +67,16 @@ def _share_of(col: str, cut: Column) -> Column:
     return F.least(F.greatest(F.try_divide(F.col(col), cut), F.lit(0.0)), F.lit(1.0))
 
 
-def churn_features(features: DataFrame, lookback_days: int = 90, interpolation: str = "nearest") -> DataFrame:
+#: What the churn score measures order rate and spend against.
+CHURN_QUANTILES = {"orders_per_month": [0.9], "total_spend": [0.9]}
+
+
+def churn_features(
+    features: DataFrame, lookback_days: int = 90, interpolation: str = "nearest", found: dict[str, list[float | None]] | None = None
+) -> DataFrame:
     """Risk scores from recency (0-2) and from order rate and spend against their 90 %
-    quantiles (0-1), weighted .5/.3/.2; churned above 0.7."""
-    out = attach_quantiles(features, {"orders_per_month": [0.9], "total_spend": [0.9]}, interpolation)
+    quantiles (0-1; ``found`` has them if they are known), weighted .5/.3/.2; churned above 0.7."""
+    out = attach_quantiles(features, CHURN_QUANTILES, interpolation, found=found)
     recency = F.col("recency_days") / F.lit(float(lookback_days))
     risk = (
         F.col("recency_risk_score") * 0.5 + F.col("frequency_risk_score") * 0.3 + F.col("monetary_risk_score") * 0.2

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from merclake.operators import anomaly, datasets, drift, sketches
+from merclake.operators import anomaly, datasets, drift, search, sketches
 from merclake.plans import star
 from merclake.plans.registry import FO, PV, query, total, with_
 from merclake.session import materialize, shared_dir
-from merclake.sources import writers
+from merclake.sources import clustered
 from merclake.sources.readers import read_event_files
 from merclake.streaming import attribution, windows as win
 
@@ -166,6 +166,48 @@ def orders_as_of(spark, d):
     return win.as_of(orders, versions, {"customer_id": "k"}, "order_timestamp", "effective_from", "order_id", until="effective_to")
 
 
+# --- search and clustering ---------------------------------------------------------
+
+_PROD = "product_id, sku, name, brand, category, unit_price, stock_quantity"
+
+
+@query(
+    "product_search_index",
+    f"""WITH p AS (SELECT p_partkey AS product_id, 'SKU-' || p_partkey AS sku, p_name AS name, p_brand AS brand, p_type AS category, p_retailprice AS unit_price,
+ p_size AS stock_quantity FROM part), q(text) AS (VALUES ('RING'), ('part 12'), ('_'), ('no such name'), ('9'))
+SELECT text, p.* FROM p JOIN q ON contains(lower(name), lower(text))""",
+)
+def product_search_index(spark, d):
+    """Searches through the stored index, among them one with a wildcard sign, one without a hit and one of a single sign."""
+    path = shared_dir(spark, "names")
+    search.write_name_index(star.dim_products(spark, d).select(*_PROD.split(", ")), path, "product_id", "name", parts=16)
+    out = None
+    for text in ("RING", "part 12", "_", "no such name", "9"):
+        hits = search.search_names(spark, path, text).select(F.lit(text).alias("text"), *_PROD.split(", "))
+        out = hits if out is None else out.unionByName(hits)
+    return out
+
+
+@query(
+    "orders_clustered",
+    with_(FO) + """SELECT 'amount' AS asked, order_id, total_amount FROM fo WHERE total_amount >= 400000
+ UNION ALL SELECT 'customer', order_id, total_amount FROM fo WHERE customer_id BETWEEN 10 AND 14
+ UNION ALL SELECT 'both', order_id, total_amount FROM fo WHERE order_timestamp BETWEEN TIMESTAMP '1996-01-01' AND TIMESTAMP '1996-02-01' AND customer_id <= 100""",
+)
+def orders_clustered(spark, d):
+    """Filters on any of three columns of orders stored in Z-order."""
+    path = shared_dir(spark, "clustered")
+    orders = star.fact_orders(spark, d).select("order_id", "customer_id", "order_timestamp", "total_amount")
+    clustered.write_clustered(orders, path, ["customer_id", "order_timestamp", "total_amount"], files=16)
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    asked = {
+        "amount": {"total_amount": (400000.0, None)}, "customer": {"customer_id": (10, 14)},
+        "both": {"order_timestamp": (day("1996-01-01"), day("1996-02-01")), "customer_id": (None, 100)},
+    }
+    parts = [clustered.read_between(spark, path, bounds).select(F.lit(name).alias("asked"), "order_id", "total_amount") for name, bounds in asked.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # --- attribution -------------------------------------------------------------------
 
 _BOUNDED = """b AS (SELECT event_id AS order_id, user_id AS customer_id, ts AS order_timestamp, value AS total_amount,

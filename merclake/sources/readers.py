@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import csv
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 # Texts that mean NULL in delimited files.
 NULL_TEXTS = ["", "NULL", "null", "None", "NA", "N/A"]
-#: Different header lines that the files of one read may have.
-_HEADERS = 16
 
 
 @dataclass(frozen=True)
@@ -54,13 +51,14 @@ def infer_types(df: DataFrame) -> T.StructType:
     return T.StructType(fields)
 
 
-def _without_preamble(spark: SparkSession, spec: FileSpec) -> tuple[DataFrame, dict[str, list[str]]]:
-    """Lines after the first ``skip_rows`` and the header of each file, with the file's header, and the column names of
-    each different header.
+def _without_preamble(spark: SparkSession, spec: FileSpec) -> DataFrame:
+    """The cells of the lines after the first ``skip_rows`` and the header, as text, under the names of their own file's
+    header; the columns are in the order of some header.
 
     Files stay splittable: a line's position is known relative to the first line of its
     file, and only lines of the first block of a file can be preamble. The table of headers has one row per
-    file, and the planner decides by its size how to join it."""
+    file, and the planner decides by its size how to join it. However many orders the files have their columns in, the
+    lines are scanned once: a cell is taken by the place of its name in the header."""
     lines = spark.read.option("encoding", spec.encoding).text(spec.path).select(
         "value",
         F.col("_metadata.file_path").alias("_file"),
@@ -69,18 +67,28 @@ def _without_preamble(spark: SparkSession, spec: FileSpec) -> tuple[DataFrame, d
     )
     top = lines.where("_first_block").groupBy("_file").agg(F.min("_line").alias("_start"))
     first = lines.where("_first_block").join(top, "_file")
-    headers = first.where(F.col("_line") - F.col("_start") == spec.skip_rows).select(
-        "_file", "_start", F.col("value").alias("_header")
-    )
-    found = [r["_header"] for r in headers.select("_header").distinct().limit(_HEADERS + 1).collect()]
-    if not found:
+    headers = first.where(F.col("_line") - F.col("_start") == spec.skip_rows).select("_file", "_start", F.col("value").alias("_header"))
+    some = headers.agg(F.min("_header")).first()[0]
+    if some is None:
         raise ValueError(f"{spec.path} has no header after {spec.skip_rows} rows")
-    names = {h: [n.strip() for n in next(csv.reader([h], delimiter=spec.delimiter))] for h in found}
-    if len(found) > _HEADERS or len({frozenset(n) for n in names.values()}) > 1:
-        raise ValueError(f"the files of {spec.path} differ in their columns: {sorted(map(str, names.values()))[:3]}")
-    placed = lines.join(headers, "_file")
-    body = placed.where(~F.col("_first_block") | (F.col("_line") - F.col("_start") > spec.skip_rows))
-    return body.select("value", "_header"), names
+    names = [n.strip() for n in next(csv.reader([some], delimiter=spec.delimiter))]
+    width = len(names) + 1  # a header with more columns shows in one more cell
+    as_text = ", ".join(f"_c{i} STRING" for i in range(width))
+
+    def cells(text: str) -> Column:
+        # exploding a one-element array keeps the line from being parsed once per cell
+        return F.explode(F.array(F.from_csv(text, as_text, {"sep": spec.delimiter})))
+
+    as_array = lambda struct: F.array(*[F.col(f"{struct}._c{i}") for i in range(width)])
+    headers = headers.withColumn("_h", cells("_header")).withColumn("_names", F.transform(as_array("_h"), F.trim)).drop("_h")
+    same = F.array_sort(F.array_compact("_names")) == F.array(*map(F.lit, sorted(names)))
+    odd = [r["_header"] for r in headers.where(~same).select("_header").limit(3).collect()]
+    if odd:
+        raise ValueError(f"the files of {spec.path} differ in their columns: {[some, *odd]}")
+    placed = lines.join(headers.drop("_header"), "_file")
+    body = placed.where((~F.col("_first_block") | (F.col("_line") - F.col("_start") > spec.skip_rows)) & (F.length("value") > 0))
+    rows = body.select("_names", cells("value").alias("_v")).select("_names", as_array("_v").alias("_cells"))
+    return rows.select(*[F.get("_cells", (F.array_position("_names", n) - 1).cast("int")).alias(n) for n in names])
 
 
 def _nulled(text: DataFrame, null_values: list[str], but: tuple[str, ...] = ()) -> DataFrame:
@@ -94,13 +102,7 @@ def read_csv(spark: SparkSession, spec: FileSpec) -> DataFrame:
     (``schema``, or inferred over the whole file). With ``skip_rows`` a row is one line, and every file is read by
     its own header; files may order the same columns differently."""
     if spec.skip_rows:
-        lines, names = _without_preamble(spark, spec)
-        parts = []
-        for header, own in names.items():
-            as_text = ", ".join(f"`{n}` STRING" for n in own)
-            mine = lines.where((F.col("_header") == header) & (F.length("value") > 0))
-            parts.append(mine.select(F.from_csv("value", as_text, {"sep": spec.delimiter}).alias("r")).select("r.*"))
-        text = reduce(DataFrame.unionByName, parts)
+        text = _without_preamble(spark, spec)
     else:
         text = spark.read.csv(
             spec.path, sep=spec.delimiter, encoding=spec.encoding, header=True, inferSchema=False,
