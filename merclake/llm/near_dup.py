@@ -243,11 +243,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3) -> Dat
     """doc_id, fp (the fingerprint as a signed long) and component_id, the smallest doc_id that chains of links reach."""
     small_batches(docs.sparkSession)
     prints = store(docs.select("doc_id", "text").mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "fingerprints")
-    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
-    roots = components(links(nodes.where("rep IS NOT NULL"), distance))
-    named = nodes.join(roots, nodes["rep"] == roots["node"], "left")
-    named = named.select("fp", F.coalesce("root", "rep").alias("component_id"))
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    # fingerprints are linked, whether or not a document that has one has an id
+    nodes = store(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp", F.col("fp").alias("rep")), distance))
+    placed = store(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "placed")
+    named = placed.select("fp", "root").join(placed.groupBy("root").agg(F.min("least").alias("component_id")), "root")
+    return prints.join(named.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 @query("op10_near_duplicates")

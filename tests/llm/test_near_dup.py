@@ -66,6 +66,23 @@ def test_edge_rows(spark, docs_of):
     same(near_dup.near_duplicates(docs_of([])), [])
 
 
+def test_rows_without_id_link(spark, docs_of):
+    """Near copies of a few texts, half of them without an id: chains go through those too."""
+    rng = random.Random(12)
+    rows, prints = [], []
+    for base in range(3):
+        words = [f"w{base}x{rng.randrange(10**6)}" for _ in range(600)]
+        for _ in range(60):
+            words = list(words)
+            words[rng.randrange(600)] = f"v{rng.randrange(10**6)}"
+            prints.append(slow_print(" ".join(words)))
+            rows.append((len(rows) if rng.random() < 0.5 else None, " ".join(words)))
+    rows.append((None, "no id and no neighbour"))
+    chained = [i for i, p in enumerate(prints) if any(0 < (p ^ q).bit_count() <= 3 and rows[j][0] is None for j, q in enumerate(prints))]
+    assert len(chained) > 30
+    same(near_dup.near_duplicates(docs_of(rows)), rows)
+
+
 def test_links_at_every_distance(spark):
     """Planted distances 0 to 8, and a crowd under one key; connectivity must equal that of all pairs."""
     rng = random.Random(5)
