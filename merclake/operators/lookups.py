@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
-from merclake.functions.columns import Instant, all_of, within_days
+from merclake.functions.columns import Instant, all_of, as_date, within_days
 
 
 def filter_where(
@@ -119,6 +119,17 @@ def at_risk_customers(customers: DataFrame, limit: int = 100) -> DataFrame:
     )
 
 
+def store_scores(customers: DataFrame, path: str, day: Instant) -> None:
+    """Store the customers with their scores of a day, by segment; a day that is stored again is replaced."""
+    dated = customers.withColumn("score_day", F.lit(as_date(day).isoformat()))
+    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("score_day", "segment").parquet(path)
+
+
+def stored_scores(spark: SparkSession, path: str, day: Instant) -> DataFrame:
+    """The customers of a stored day. A filter on the segment reads that segment's files."""
+    return spark.read.parquet(path).where(F.col("score_day") == F.lit(as_date(day).isoformat())).drop("score_day")
+
+
 def find_products(
     products: DataFrame, category: str | None = None, brand: str | None = None, in_stock_only: bool = False,
     min_price: float | None = None, max_price: float | None = None, search: str | None = None,

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from datetime import date, timedelta
 
+from pyspark.sql import DataFrame, functions as F
+
+from merclake.functions.columns import as_date
 from merclake.operators import aggregates, lookups, sales
 from merclake.operators.datasets import co_purchased_with, interactions, order_baskets
 from merclake.operators.enrichment import product_sales_metrics, with_location
 from merclake.operators.features import churn_features, churn_outlook, customer_features
 from merclake.plans import star
-from merclake.session import materialize
+from merclake.session import materialize, shared_dir
 from merclake.plans.registry import (
-    CF, CHURN, CLV, DC, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SV, mean, query, total, with_,
+    CF, CHURN, CLV, DC, DIM_CUSTOMERS, DP, FI, FIO, FO, FW, PV, RFM, SQL, SV, mean, query, total, with_,
 )
 
 FIRST = LAST = None  # open bounds: the reports cover all orders, whatever their dates
-HALF = "1998-04-18"  # the days before it, back to the first order, make an equally long period
+
+
+def days_of(df: DataFrame, time_col: str) -> tuple[date, date, date]:
+    """The first day of the data, the day that begins its second half, and the last day."""
+    found = df.agg(F.min(time_col), F.max(time_col)).first()
+    first, last = (x.date() if x else as_date(star.REFERENCE_DATE) for x in found)
+    return first, first + timedelta(days=((last - first).days + 1) // 2), last
 
 
 @query(
@@ -31,20 +40,23 @@ def sales_by_category(spark, d):
     )
 
 
-def _overview_sql(convert: bool = False) -> str:
-    now, prev = f"order_timestamp >= TIMESTAMP '{HALF}'", f"order_timestamp < TIMESTAMP '{HALF}'"
-    base = with_(FO, f"""s AS (SELECT * FROM fo WHERE order_timestamp >= TIMESTAMP '1995-01-01'
- AND order_timestamp < TIMESTAMP '2001-08-03'),
-a AS (SELECT {total(f'CASE WHEN {now} THEN total_amount END')} AS r, count(*) FILTER (WHERE {now}) AS n,
- count(DISTINCT customer_id) FILTER (WHERE {now}) AS c, {total(f'CASE WHEN {prev} THEN total_amount END')} AS pr,
- count(*) FILTER (WHERE {prev}) AS pn FROM s)""")
-    return base + """SELECT r AS total_revenue, n AS total_orders, r / n AS avg_order_value, c AS total_customers,
- (r - pr) / pr * 100 AS revenue_growth, CAST(n - pn AS DOUBLE) / pn * 100 AS orders_growth FROM a"""
+_HALVES = """m AS (SELECT CAST(min(order_timestamp) AS DATE) AS lo, CAST(max(order_timestamp) AS DATE) AS hi FROM fo),
+h AS (SELECT fo.*, order_timestamp >= lo + CAST((hi - lo + 1) // 2 AS INTEGER) AS now FROM fo, m)"""
 
 
-@query("sales_overview", _overview_sql())
+@query(
+    "sales_overview",
+    with_(FO, _HALVES, f"""a AS (SELECT {total('CASE WHEN now THEN total_amount END')} AS r, count(*) FILTER (WHERE now) AS n,
+ count(DISTINCT customer_id) FILTER (WHERE now) AS c, {total('CASE WHEN NOT now THEN total_amount END')} AS pr,
+ count(*) FILTER (WHERE NOT now) AS pn FROM h)""")
+    + """SELECT r AS total_revenue, n AS total_orders, r / n AS avg_order_value, c AS total_customers,
+ (r - pr) / pr * 100 AS revenue_growth, CAST(n - pn AS DOUBLE) / pn * 100 AS orders_growth FROM a""",
+)
 def sales_overview(spark, d):
-    return sales.sales_overview(star.fact_orders(spark, d), HALF, star.REFERENCE_DATE)
+    """The second half of the days against the first."""
+    orders = star.fact_orders(spark, d)
+    _, half, last = days_of(orders, "order_timestamp")
+    return sales.sales_overview(orders, half, last)
 
 
 @query(
@@ -56,8 +68,10 @@ def sales_overview(spark, d):
  CAST(NULL AS DOUBLE) AS revenue_growth, CAST(NULL AS DOUBLE) AS orders_growth, CAST(n AS DOUBLE) / s AS conversion_rate FROM a""",
 )
 def sales_overview_conversion(spark, d):
+    views = star.page_views(spark, d)
+    first, _, last = days_of(views, "event_timestamp")
     return sales.sales_overview(
-        star.purchases(spark, d), "2024-01-01", "2024-12-31", compare_previous=False, page_views=star.session_views(spark, d)
+        star.purchases(spark, d), first, last, compare_previous=False, page_views=star.session_views(spark, d)
     )
 
 
@@ -312,6 +326,19 @@ def at_risk_customers(spark, d):
     return out.withColumn("churn_probability", F.round("churn_probability", 9))
 
 
+@query("at_risk_from_stored_scores", SQL["at_risk_customers"])
+def at_risk_from_stored_scores(spark, d):
+    """The same from scores that were stored for the day: the list reads one segment of one day."""
+    path = shared_dir(spark, "scores")
+    churn = churn_outlook(
+        churn_features(materialize(customer_features(star.orders_for_features(spark, d), star.REFERENCE_DATE)))
+    )
+    people = star.dim_customers(spark, d).join(churn.select("customer_id", "churn_probability"), "customer_id", "left")
+    lookups.store_scores(people, path, star.REFERENCE_DATE)
+    out = lookups.at_risk_customers(lookups.stored_scores(spark, path, star.REFERENCE_DATE)).select(*_CUST.split(", "), "churn_probability")
+    return out.withColumn("churn_probability", F.round("churn_probability", 9))
+
+
 _PROD = "product_id, sku, name, brand, category, unit_price, stock_quantity"
 
 

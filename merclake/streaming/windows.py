@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.functions.columns import exact_sum, hour_bucket, seconds_between
 from merclake.functions.sequence import ranged, with_run_start, with_running_last
+from merclake.session import materialize
 
 
 def windowed_sales(
@@ -95,9 +96,10 @@ def funnel(events: DataFrame, unit_col: str, time_col: str, type_col: str, steps
     hourly = acts.groupBy(unit_col, "_t", "_h").agg(F.min("_at").alias("_at"))
     reached = hourly.where(F.col("_t") == steps[0]).groupBy(unit_col).agg(F.min("_at").alias("_r0"))
     for i, step in enumerate(steps[1:], start=1):
-        prev = reached.where(F.col(f"_r{i - 1}").isNotNull()).select(
+        # stored, so that both sides of the join are plain shuffles and Spark can split a busy unit's hour
+        prev = materialize(reached.where(F.col(f"_r{i - 1}").isNotNull()).select(
             unit_col, F.col(f"_r{i - 1}").alias("_prev"), hour_bucket(f"_r{i - 1}").alias("_h")
-        )
+        ))
         same_hour = (
             acts.where(F.col("_t") == step).join(prev, [unit_col, "_h"])
             .where(F.col("_at") > F.col("_prev")).select(unit_col, "_at")
