@@ -155,26 +155,44 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return rows.orderBy("position", "doc_id", "pass")
 
 
+def _inverse_sql(knots: tuple[tuple[float, float], ...]) -> str:
+    """The same as ``invert_demand`` of a column ``share``, in SQL."""
+    number = lambda x: f"CAST({x!r} AS DOUBLE)"
+    area = sum((a + b) / 2 * (t1 - t0) for (t0, a), (t1, b) in zip(knots, knots[1:]))
+    cases, before = [], 0.0
+    for (t0, a), (t1, b) in zip(knots, knots[1:]):
+        need, slope = f"(share * {number(area)} - {number(before)})", (b - a) / (t1 - t0)
+        root = f"sqrt(greatest({number(a * a)} + {need} * {number(2 * slope)}, CAST(0 AS DOUBLE)))"
+        time = f"least(greatest({number(t0)} + {need} * 2 / ({root} + {number(a)}), {number(t0)}), {number(t1)})"
+        before += (a + b) / 2 * (t1 - t0)
+        cases.append((f"share * {number(area)} <= {number(before)}", time))
+    return "CASE " + " ".join(f"WHEN {test} THEN {time}" for test, time in cases[:-1]) + f" ELSE {cases[-1][1]} END" if cases[1:] else cases[0][1]
+
+
 SQL = """WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \\t\\n\\x0B\\f\\r]+')), 0) AS size,
  md5('mix-' || doc_id) AS key FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
-r AS (SELECT *, CAST([5, 2, 1][CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS INTEGER)] AS BIGINT) AS weight FROM s),
+n AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER) AS place FROM s),
+r AS (SELECT *, CAST([5, 2, 1][place + 1] AS BIGINT) AS weight FROM n),
 o AS (SELECT *, sum(source_size) OVER () AS total, row_number() OVER (ORDER BY source_size / CAST(weight AS DOUBLE), source) AS k FROM r),
 c AS (SELECT *, coalesce(sum(2 * source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS capped,
  sum(weight) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free FROM o),
 l AS (SELECT min(k) AS k FROM c WHERE weight * (3 * total - 2 * capped) <= 4 * free * source_size),
 v AS (SELECT CAST(3 * total - 2 * capped AS BIGINT) AS num, CAST(free AS BIGINT) AS free FROM c JOIN l USING (k)),
-t AS (SELECT source, source_size, least(weight * num / CAST(2 * free AS DOUBLE), CAST(2 * source_size AS DOUBLE)) AS target FROM r, v),
-p AS (SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS wanted,
+t AS (SELECT source, source_size, place, least(weight * num / CAST(2 * free AS DOUBLE), CAST(2 * source_size AS DOUBLE)) AS target FROM r, v),
+p AS (SELECT doc_id, size, CAST(source_size AS BIGINT) AS source_size, place, target, CAST(floor(target + 0.5) AS BIGINT) AS wanted,
  coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
- FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
- CAST(CASE WHEN source_size = 0 THEN 0 ELSE wanted // source_size * size
- + least(greatest(wanted - wanted // source_size * source_size - before, 0), size) END AS BIGINT) AS taken FROM p"""
+ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+w AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE wanted // source_size END AS whole FROM p),
+e AS (SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(greatest(wanted - whole * source_size - before, 0), size) END AS extra FROM w),
+f AS (SELECT *, CAST(before + CAST(CASE WHEN whole > 0 THEN size ELSE extra END AS DOUBLE) / 2 AS DOUBLE) / wanted AS share FROM e)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(whole * size + extra AS BIGINT) AS taken,
+ CASE WHEN whole * size + extra = 0 THEN NULL """ + " ".join(f"WHEN place = {i} THEN {_inverse_sql(knots)}" for i, knots in enumerate(SCHEDULES)) + " END AS position FROM f"
 
 
 @query("op7_mixing", SQL)
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents in the order of the curriculum: by first position, those never read last. The columns are those of
-    the SQL, so the passes themselves are not among them."""
-    return curriculum(mix(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken")
+    """The documents in the order of the curriculum, with the training position of their first pass; those never read
+    have none and come last."""
+    first = F.get("passes", F.lit(0))["position"].alias("position")
+    return curriculum(mix(documents(spark, sf_dir))).select("doc_id", "size", "source_size", "target", "taken", first)

@@ -8,10 +8,11 @@ Labels. The trees are trained from labelled URLs, a table (url, bad). Where the
 labels a URL bad if a word of its host is on a list of words. The words are no feature, so the trees learn from the
 shape of such URLs and also judge hosts without them. They are fitted on a bounded sample (``sample`` labelled rows of
 the smallest hash). Suffix statistics are counted over all labelled rows and stored as a table with a row for each
-ending, which is joined to the URLs; an ending without labelled rows has the overall rate. Every URL is judged.
+ending, which is joined to the URLs; an ending without labelled rows has the overall rate, and a row the trees are fitted
+on is left out of its own rates. Every URL is judged.
 
-Defined results: host and path of a null URL, or one without ``://``, are empty; no rule fits it and, as it names no
-page, its verdict is block. Equal rules: the last one given holds. Repeated rows are judged each. Without
+Defined results: host and path of a null URL, or one without ``://``, are empty; no rule fits it and the trees judge
+it like any other. Equal rules: the last one given holds. Repeated rows are judged each. Without
 labels of both classes the trees allow everything. Without rows the result is empty. Further columns are not read.
 """
 
@@ -110,20 +111,25 @@ class Filter:
         self.rate = ((total["bad"] or 0) + 0.5) / (total["n"] + 1.0)
         ends = known.select("bad", F.explode(F.array_distinct(F.array(*endings(F.col("host"))))).alias("ending"))
         ends = ends.groupBy("ending").agg(F.count("*").alias("n"), F.sum("bad").alias("bad"))
-        self.rates = store(ends.withColumn("rate", (F.col("bad") + F.lit(smooth * self.rate)) / (F.col("n") + F.lit(smooth))), "endings")
+        self.smooth, self.ends = smooth, store(ends, "endings")
         order = F.shiftrightunsigned(F.xxhash64("url"), 11)
-        rows = self.rated(sampled(known, "url", sample)).orderBy(order, *known.columns).collect()
+        rows = self.rated(sampled(known, "url", sample), own="bad").orderBy(order, *known.columns).collect()
         table = features([tuple(r[c] for c in ("url", "host", "path", "top_rate", "ending_rate")) for r in rows])
         self.forest = trees.fit(table, np.array([r["bad"] for r in rows], dtype=bool))
 
-    def rated(self, urls: DataFrame) -> DataFrame:
+    def rated(self, urls: DataFrame, own: str | None = None) -> DataFrame:
         """Add ``top_rate`` and ``ending_rate``, the rates of the endings of the column ``host``. A frequent ending is
-        left to Spark's skew join."""
+        left to Spark's skew join. ``own`` names the label of rows that were counted themselves: they are left out of
+        their own rates, else a rare ending would tell its row's label."""
         top, ending = endings(F.col("host"))
-        tops = self.rates.where(~F.contains("ending", F.lit("."))).select(F.col("ending").alias("_top"), F.col("rate").alias("top_rate"))
-        ends = self.rates.select(F.col("ending").alias("_ending"), F.col("rate").alias("ending_rate"))
-        both = urls.join(tops, top == F.col("_top"), "left").join(ends, ending == F.col("_ending"), "left").drop("_top", "_ending")
-        return both.fillna(self.rate, ["top_rate", "ending_rate"])
+        counts = lambda name: [F.col("ending").alias(f"_{name}"), F.col("n").alias(f"_{name}_n"), F.col("bad").alias(f"_{name}_bad")]
+        tops = self.ends.where(~F.contains("ending", F.lit("."))).select(*counts("top"))
+        both = urls.join(tops, top == F.col("_top"), "left").join(self.ends.select(*counts("ending")), ending == F.col("_ending"), "left")
+        out, one, mine = dict(), (1 if own else 0), (F.col(own) if own else F.lit(0))
+        for name in ("top", "ending"):
+            rate = F.try_divide(F.col(f"_{name}_bad") - mine + F.lit(self.smooth * self.rate), F.col(f"_{name}_n") - one + F.lit(self.smooth))
+            out[f"{name}_rate"] = F.coalesce(rate, F.lit(self.rate))
+        return both.withColumns(out).select(*urls.columns, *out)
 
 
 def _scores(forest: trees.Forest):
@@ -145,7 +151,7 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: dict[str,
     split = urls.withColumns({"host": host, "path": path}).withColumn("rule", rule_for(F.col("host"), F.col("path"), rules))
     kind = pages.schema["page_id"].dataType.simpleString()
     scored = trained.rated(split).mapInArrow(_scores(trained.forest), f"page_id {kind}, host string, path string, rule string, score double")
-    verdict = F.when(F.col("host") == "", "block").otherwise(F.when(F.col("score") >= threshold, "block").otherwise("allow"))
+    verdict = F.when(F.col("score") >= threshold, "block").otherwise("allow")
     for rule, what in rules.items():
         verdict = F.when(F.col("rule") == rule, what).otherwise(verdict)
     return scored.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "score")
