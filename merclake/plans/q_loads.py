@@ -104,15 +104,18 @@ def read_directory(spark, d):
 
 @query(
     "file_fingerprints",
-    """WITH l AS (SELECT c_mktsegment, md5(c_custkey || ',' || c_name) AS m FROM customer)
-SELECT c_mktsegment AS segment, md5(count(*) || '-' || CAST(sum(CAST('0x' || substr(m, 1, 8) AS BIGINT)) AS BIGINT)
- || '-' || CAST(sum(CAST('0x' || substr(m, 9, 8) AS BIGINT)) AS BIGINT)) AS file_hash FROM l GROUP BY 1""",
+    """WITH l AS (SELECT c_mktsegment, c_custkey || ',' || c_name AS line, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS i FROM customer),
+m AS (SELECT *, md5(line) AS m FROM l),
+d AS (SELECT *, """ + ", ".join(f"CAST('0x' || substr(m, {1 + 6 * k}, 6) AS BIGINT) AS d{k}" for k in range(4)) + """ FROM m)
+SELECT c_mktsegment AS segment, md5(sum(strlen(line) + 1) || '-' || count(*)""" + "".join(f" || '-' || sum(d{k})" for k in range(4))
+    + "".join(f" || '-' || sum(d{k} * i)" for k in range(4)) + ") AS file_hash FROM d GROUP BY 1",
 )
 def file_fingerprints(spark, d):
-    """One text file per market segment."""
+    """One text file per market segment, its lines in the order of the keys."""
     path = shared_dir(spark, "segments")
-    lines = star.table(spark, d, "customer").select("c_mktsegment", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
-    lines.repartition("c_mktsegment").write.partitionBy("c_mktsegment").text(path)
+    lines = star.table(spark, d, "customer").select("c_custkey", "c_mktsegment", F.concat_ws(",", "c_custkey", "c_name").alias("value"))
+    ordered = lines.repartition("c_mktsegment").sortWithinPartitions("c_mktsegment", "c_custkey").drop("c_custkey")
+    ordered.write.partitionBy("c_mktsegment").text(path)
     found = readers.file_fingerprints(spark, f"{path}/c_mktsegment=*", "*.txt")
     return found.select(F.regexp_extract("path", "c_mktsegment=([^/]+)/", 1).alias("segment"), "file_hash")
 

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
+from merclake.functions.columns import wide_sum
+
 # Texts that mean NULL in delimited files.
 NULL_TEXTS = ["", "NULL", "null", "None", "NA", "N/A"]
 
@@ -170,7 +172,7 @@ def file_row_counts(directory: DataFrame) -> DataFrame:
 
 def file_fingerprints(spark: SparkSession, path: str | list[str], pattern: str = "*") -> DataFrame:
     """``(path, length, file_hash)`` of every file. The hash is the MD5 of the file's length, its number of lines and sums
-    over the MD5s of the lines (four numbers of 24 bits), plain and times the line's number. So it depends on
+    over the MD5s of the lines (four numbers of 24 bits each), plain and times the line's number. So it depends on
     the content and its order, not on a file's name or time, nor on how Spark splits it: a large file is hashed by many
     tasks, each of which gives one row of sums per block, and a block's lines are moved on by those of earlier blocks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
@@ -183,10 +185,10 @@ def file_fingerprints(spark: SparkSession, path: str | list[str], pattern: str =
         F.md5(F.col("value").cast("binary")).alias("_m"),
     )
     digits = [F.conv(F.substring("_m", 1 + 6 * i, 6), 16, 10).cast("bigint") for i in range(4)]
-    wide = "decimal(38,0)"  # 24 bits times a line number overflow 64 bits when summed
+    wide = "decimal(38,0)"
     blocks = read.groupBy("_p", "_block").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"), *[F.sum(d).cast(wide).alias(f"_s{i}") for i, d in enumerate(digits)],
-        *[F.sum((d * F.col("_at")).cast("decimal(28,0)")).cast(wide).alias(f"_w{i}") for i, d in enumerate(digits)],
+        *[wide_sum(d * F.col("_at")).alias(f"_w{i}") for i, d in enumerate(digits)],  # beyond BIGINT
     )
     earlier = W.partitionBy("_p").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     placed = blocks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
