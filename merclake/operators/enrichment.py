@@ -8,7 +8,7 @@ from merclake.functions.columns import (
     Instant, cohort_label, day_bucket, exact_mean, exact_sum, moment, seconds_between, whole_days,
 )
 from merclake.functions.ranks import cuts
-from merclake.functions.sequence import beside, with_dense_rank, with_previous
+from merclake.functions.sequence import beside, ranged, with_dense_rank, with_previous
 from merclake.session import materialize
 
 
