@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from merclake.plans import star
 from merclake.plans.registry import PV, SQL, SV, query, total, with_
@@ -247,17 +247,33 @@ def stream_dead_letters(spark, d):
     return spark.read.parquet(f"{root}/dlq").select("dead_letter_topic", "original_topic", "error", "original_data")
 
 
+#: Rows of an input file. Larger inputs have more files, not larger ones, and a batch takes as many more.
+FILE_ROWS = 200_000
+
+
+def _files_of(rows: int) -> int:
+    return max(1, -(-rows // FILE_ROWS))
+
+
+def _deal(raw: DataFrame, again: DataFrame, part: Column, again_part: int, path: str) -> int:
+    """Write messages as eight parts by ``part`` (0 to 7), with further ones in part ``again_part``. A part is one
+    file, or as many as its share of the rows needs; returns that number."""
+    files = _files_of(-(-raw.count() // 8))
+    file = lambda part: (part * files + F.pmod(F.xxhash64("value", F.lit(2)), F.lit(files))).cast("int")
+    dealt = raw.withColumn("file", file(part)).unionByName(again.withColumn("file", file(F.lit(again_part))))
+    dealt.repartitionById(8 * files, "file").select("topic", "value").write.parquet(path)
+    return files
+
+
 @query("stream_order_state", SQL["order_events_state"])
 def stream_order_state(spark, d):
-    """The order messages, dealt over eight files whatever their order, read file by file; every fifth message is
-    sent again in the first file."""
+    """The order messages, dealt over eight parts whatever their order, read part by part; every fifth message is
+    sent again in the first part."""
     root = shared_dir(spark, "orders")
     raw = star.raw_order_events(spark, d).select("topic", "value")
-    part = F.pmod(F.xxhash64("value"), F.lit(8))
-    again = raw.where(F.pmod(F.xxhash64("value", F.lit(1)), F.lit(5)) == 0).withColumn("part", F.lit(0).cast("bigint"))
-    dealt = raw.withColumn("part", part).unionByName(again)
-    dealt.repartition(8, "part").select("topic", "value").write.parquet(f"{root}/messages")
-    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=1)
+    again = raw.where(F.pmod(F.xxhash64("value", F.lit(1)), F.lit(5)) == 0)
+    files = _deal(raw, again, F.pmod(F.xxhash64("value"), F.lit(8)), 0, f"{root}/messages")
+    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=files)
     ev.consume(messages, {"order": ev.write_facts(f"{root}/facts")}, f"{root}/checkpoint", available_now=True).awaitTermination()
     state = ev.order_state(ev.merge_facts(spark.read.parquet(f"{root}/facts")))
     return state.drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
