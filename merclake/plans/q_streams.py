@@ -285,8 +285,8 @@ def stream_order_facts(spark, d):
     root = shared_dir(spark, "orders")
     raw = star.raw_order_events(spark, d).select("topic", "value")
     part = F.pmod(F.xxhash64("value"), F.lit(8))
-    raw.unionByName(raw.where(part == 3)).withColumn("part", part).repartition(8, "part").select("topic", "value").write.parquet(f"{root}/messages")
-    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=2)
+    files = _deal(raw, raw.where(part == 3), part, 3, f"{root}/messages")
+    messages = read_event_files(spark, f"{root}/messages", "topic STRING, value STRING", "*.parquet", files_per_trigger=2 * files)
     ledger = Ledger(spark, f"{root}/ledger")
     ev.consume(messages, {"order": state.keep_order_facts(ledger, buckets=8, fold=2)}, f"{root}/checkpoint", available_now=True).awaitTermination()
     return state.stored_order_state(ledger).drop("updated_at").withColumn("order_timestamp", F.col("order_timestamp").cast("timestamp_ntz"))
