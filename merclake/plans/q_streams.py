@@ -336,6 +336,16 @@ def stream_windowed_sales(spark, d):
     return _run_append(win.windowed_sales(bought, "order_timestamp"), spark, "sales")
 
 
+def _sent_twice(spark, rows: DataFrame, path: str) -> DataFrame:
+    """Events as a stream of two batches, whatever the number of their files: half of the rows, then all of them, which
+    bring the other half, and the first half again."""
+    half = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
+    files = _files_of(rows.count())
+    for part in (half, rows):
+        part.repartition(files).write.mode("append").parquet(path)
+    return read_event_files(spark, path, "event_id STRING, event_type STRING, event_timestamp TIMESTAMP", "*.parquet", files_per_trigger=files)
+
+
 @query(
     "stream_page_views",
     "SELECT CAST(event_id AS VARCHAR) AS page_view_id, event_type, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_key FROM events",
@@ -346,10 +356,7 @@ def stream_page_views(spark, d):
     rows = star.table(spark, d, "events").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("ts").cast("timestamp").alias("event_timestamp")
     )
-    half = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
-    for part in (half, rows):  # the later files bring the other half, and the first half again
-        part.write.mode("append").parquet(f"{root}/in")
-    stream = read_event_files(spark, f"{root}/in", "event_id STRING, event_type STRING, event_timestamp TIMESTAMP", "*.parquet", files_per_trigger=1)
+    stream = _sent_twice(spark, rows, f"{root}/in")
     sink = ev.write_once(f"{root}/rows", ["event_id"])
     stream.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{root}/rows").select(
@@ -364,10 +371,7 @@ def stream_new_events(spark, d):
     rows = star.table(spark, d, "events").select(
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.col("ts").cast("timestamp").alias("event_timestamp")
     )
-    half = rows.where(F.pmod(F.xxhash64("event_id"), F.lit(2)) == 0)
-    for part in (half, rows):
-        part.write.mode("append").parquet(f"{root}/in")
-    stream = read_event_files(spark, f"{root}/in", "event_id STRING, event_type STRING, event_timestamp TIMESTAMP", "*.parquet", files_per_trigger=1)
+    stream = _sent_twice(spark, rows, f"{root}/in")
     ledger, spec = Ledger(spark, f"{root}/ledger"), Keyed("events", ("event_id",), buckets=8, blocks=256)
     stream.writeStream.foreachBatch(state.keep_new(ledger, spec, "views")).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return ledger.read("events").select(F.col("event_id").alias("page_view_id"), "event_type", star.date_key("event_timestamp").alias("date_key"))
