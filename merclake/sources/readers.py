@@ -36,20 +36,32 @@ def _typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
 
 
-def infer_types(df: DataFrame) -> T.StructType:
-    """Types that fit every non-NULL text value, from one aggregation over the file: BIGINT,
-    DOUBLE, BOOLEAN, TIMESTAMP_NTZ, else STRING. Only one row of counts reaches the driver."""
-    kinds = ["bigint", "double", "boolean", "timestamp_ntz"]
-    names = df.columns
+#: Types of text columns, the first that fits counts; rows of a file's part that are looked at beforehand.
+KINDS, FIRST_ROWS = ["bigint", "double", "boolean", "timestamp_ntz"], 200
+
+
+def _fitting(df: DataFrame, kinds: dict[str, list[str]]) -> dict[str, tuple[int, list[str]]]:
+    """Of every column the number of values, and which of its types fit them all. One row of counts reaches the driver."""
+    names = list(kinds)
     aggs = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(names)]
-    aggs += [
-        F.count(F.col(f"`{c}`").try_cast(k)).alias(f"n{i}_{k}") for i, c in enumerate(names) for k in kinds
-    ]
+    aggs += [F.count(F.col(f"`{c}`").try_cast(k)).alias(f"n{i}_{k}") for i, c in enumerate(names) for k in kinds[c]]
     seen = df.agg(*aggs).first()
+    return {c: (seen[f"n{i}"], [k for k in kinds[c] if seen[f"n{i}_{k}"] == seen[f"n{i}"]]) for i, c in enumerate(names)}
+
+
+def infer_types(df: DataFrame) -> T.StructType:
+    """Types that fit every non-NULL text value, from an aggregation over the file: BIGINT,
+    DOUBLE, BOOLEAN, TIMESTAMP_NTZ, else STRING.
+
+    A cast that fails costs an exception, so types that a value of the first rows does not fit are ruled out by these;
+    all rows are then asked for the types that are left."""
+    if not df.columns:
+        return T.StructType()
+    first = _fitting(df.limit(FIRST_ROWS), dict.fromkeys(df.columns, KINDS))
+    seen = _fitting(df, {c: fits for c, (_, fits) in first.items()})
     fields = []
-    for i, c in enumerate(names):
-        fits = [k for k in kinds if seen[f"n{i}"] and seen[f"n{i}_{k}"] == seen[f"n{i}"]]
-        fields.append(T.StructField(c, T._parse_datatype_string(fits[0]) if fits else T.StringType()))
+    for c, (n, fits) in seen.items():
+        fields.append(T.StructField(c, T._parse_datatype_string(fits[0]) if n and fits else T.StringType()))
     return T.StructType(fields)
 
 

@@ -163,7 +163,7 @@ def read_table(spark: SparkSession, path: str, schema) -> DataFrame:
     except AnalysisException as problem:
         if problem.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).where(F.lit(False))  # known to be empty when a plan is made
 
 
 def append_history(spark: SparkSession, path: str, rows: list[tuple]) -> None:
