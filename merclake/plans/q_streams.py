@@ -248,7 +248,7 @@ def stream_dead_letters(spark, d):
 
 
 #: Rows of an input file. Larger inputs have more files, not larger ones, and a batch takes as many more.
-FILE_ROWS = 200_000
+FILE_ROWS = 50_000
 
 
 def _files_of(rows: int) -> int:
